@@ -1,0 +1,43 @@
+"""Every registered query against DuckDB on the shared tables."""
+
+import os
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from filingloom.checks.oracle import ORACLE
+from filingloom.checks.queries import QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_same_rows(spark, duck, name):
+    result = QUERIES[name](spark, SF_DIR)
+    relation = duck.sql(ORACLE[name])
+    columns = sorted(result.columns)
+    assert columns == sorted(relation.columns)
+    expected_types = dict(zip(relation.columns, map(str, relation.types)))
+    names = {"bigint": "BIGINT", "string": "VARCHAR", "int": "INTEGER"}
+    types = {f.name: names[f.dataType.simpleString()] for f in result.schema.fields}
+    assert types == expected_types
+    quoted = [f"`{c}`" for c in columns]
+    got = Counter(tuple(row) for row in result.select(*quoted).collect())
+    positions = [relation.columns.index(c) for c in columns]
+    expected = Counter(tuple(row[i] for i in positions) for row in relation.fetchall())
+    assert sum(expected.values()) > 0
+    assert got == expected
