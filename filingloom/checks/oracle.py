@@ -77,7 +77,7 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
     "dated": (
         ["firsts"],
         """
-        SELECT *, strptime("Tradedate", '%d/%m/%Y %H:%M:%S') AS dt
+        SELECT *, try_strptime("Tradedate", '%d/%m/%Y %H:%M:%S') AS dt
         FROM firsts WHERE "Tradedate" <> 'n/a'""",
     ),
     "clean": (
@@ -220,11 +220,14 @@ BLOCKS["spelled"] = (
     """
     SELECT event_id, user_id, date_trunc('second', ts) AS at,
       CASE WHEN event_id % 29 = 0 THEN 'bad'
-           ELSE strftime(ts, CASE event_id % 8
-             WHEN 0 THEN '%Y-%m-%d %H:%M:%S' WHEN 1 THEN '%Y-%m-%d'
-             WHEN 2 THEN '%d/%m/%Y %H:%M:%S' WHEN 3 THEN '%d/%m/%Y'
-             WHEN 4 THEN '%Y%m%d' WHEN 5 THEN '%d-%m-%Y'
-             WHEN 6 THEN '%d-%m-%Y %H:%M:%S' ELSE '%Y-%m-%dT%H:%M:%S' END) END AS spelled,
+           WHEN event_id % 8 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+           WHEN event_id % 8 = 1 THEN strftime(ts, '%Y-%m-%d')
+           WHEN event_id % 8 = 2 THEN strftime(ts, '%d/%m/%Y %H:%M:%S')
+           WHEN event_id % 8 = 3 THEN strftime(ts, '%d/%m/%Y')
+           WHEN event_id % 8 = 4 THEN strftime(ts, '%Y%m%d')
+           WHEN event_id % 8 = 5 THEN strftime(ts, '%d-%m-%Y')
+           WHEN event_id % 8 = 6 THEN strftime(ts, '%d-%m-%Y %H:%M:%S')
+           ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS spelled,
       CASE WHEN event_id % 29 = 0 THEN NULL
            WHEN event_id % 8 IN (1, 3, 4, 5) THEN date_trunc('day', ts)
            ELSE date_trunc('second', ts) END AS meant
@@ -315,11 +318,11 @@ _CLAMP = """
             CASE WHEN wanted_to IS NULL OR wanted_to < lo OR wanted_to > hi THEN hi
                  ELSE wanted_to END AS t
           FROM (SELECT o_orderkey, TIMESTAMP '1996-03-01' AS lo, TIMESTAMP '2000-10-31' AS hi,
-                  CASE WHEN o_orderstatus <> 'P' THEN at END AS wanted_from,
+                  CASE WHEN o_orderstatus <> 'P' THEN filed END AS wanted_from,
                   CASE WHEN o_orderpriority <> '5-LOW'
-                       THEN at + to_hours(CAST(floor(o_totalprice % 5000) AS INT) - 2000) END
+                       THEN filed + to_hours(CAST(floor(o_totalprice % 5000) AS INT) - 2000) END
                     AS wanted_to
-                FROM (SELECT *, o_orderdate + to_seconds(o_orderkey * 37 % 86400) AS at FROM orders)))"""
+                FROM (SELECT *, o_orderdate + to_seconds(o_orderkey * 37 % 86400) AS filed FROM orders)))"""
 
 ORACLE = {
     "src_announcements": _sql(
@@ -553,7 +556,7 @@ ORACLE = {
     ),
     "clean_after_parse": _sql(
         """SELECT ingest_seq, news_id,
-             strftime(strptime("Tradedate", '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S')
+             strftime(try_strptime("Tradedate", '%d/%m/%Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S')
                AS "Tradedate",
              trim("Descriptor") AS "Descriptor", "HeadLine", trim("NewsBody") AS "NewsBody",
              CASE WHEN ingest_seq % 11 = 0 THEN 'Annual Report'

@@ -535,7 +535,7 @@ def reports_continued(spark, sf):
 
 def _batches(spark, sf, name):
     """The earlier run and the full run as two stored batches."""
-    store = Store(new_folder(spark, name))
+    store = Store(new_folder(spark, name), period="year")
     companies = master.company_master(fx.companies(spark, sf))
     raw = fx.announcements(spark, sf)
     for batch, rows in (("run-1", raw.where("o_orderstatus = 'F'")), ("run-2", raw)):
@@ -550,7 +550,7 @@ def ingest_batches(spark, sf):
 
 def recheck_reports(spark, sf):
     """The second run stops between its two writes; the recheck adds the reports that lack."""
-    store = Store(new_folder(spark, "recheck"))
+    store = Store(new_folder(spark, "recheck"), period="year")
     companies = master.company_master(fx.companies(spark, sf))
     raw = fx.announcements(spark, sf)
     run_batch(raw.where("o_orderstatus = 'F'"), companies, store, "run-1", as_of=fx.AS_OF)
@@ -567,7 +567,7 @@ def stream_ingest(spark, sf):
     path = new_folder(spark, "stream")
     raw = fx.announcements(spark, sf)
     raw.withColumnRenamed("ingest_seq", "order_seq").write.json(f"{path}/landed")
-    store = Store(f"{path}/store", ORDER_SEQ)
+    store = Store(f"{path}/store", ORDER_SEQ, period="year")
     stream = landed.stream_announcements(spark, f"{path}/landed", extra=ORDER_SEQ)
     run_stream(
         stream,

@@ -87,8 +87,9 @@ def minute_start(ts: Column) -> Column:
     return F.substring(ts.cast("string"), 1, 16).cast("timestamp_ntz")
 
 
-def quarter_start(ts: Column) -> Column:
-    return F.trunc(ts.cast("date"), "quarter")
+def period_start(ts: Column, period: str) -> Column:
+    """First date of the day, month, quarter or year."""
+    return ts.cast("date") if period == "day" else F.trunc(ts.cast("date"), period)
 
 
 def days_before(ts: Column, days: int) -> Column:

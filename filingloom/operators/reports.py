@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from filingloom.functions.categories import report_code
-from filingloom.functions.dates import datecode, quarter_start, render, timestamp
+from filingloom.functions.dates import datecode, period_start, render, timestamp
 from filingloom.functions.fiscal import base_report_id, fiscal_quarter, fiscal_year, report_id
 from filingloom.functions.text import non_empty, without_last_part
 from filingloom.operators.keys import without_keys
@@ -96,6 +96,6 @@ def build_reports(
         optional(numbered, "NewsBody").alias("report_line"),
         "count",
         made.alias("document_date"),
-        quarter_start(dt).alias("quarter_start"),
+        period_start(dt, "quarter").alias("quarter_start"),
         F.col("category").alias("report_type"),
     )

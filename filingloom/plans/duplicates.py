@@ -1,12 +1,13 @@
 """Remove duplicate rows from a stored table in place."""
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from filingloom.operators.keys import surplus_rows
 from filingloom.sinks.tables import even_files
-from filingloom.sinks.workspace import staged
+from filingloom.sinks.workspace import hadoop_path, staged
 from filingloom.sources.stored import read_table
 
 
@@ -59,7 +60,6 @@ def remove_duplicates(
 
 def _delete_folders(folders: DataFrame) -> None:
     """Delete partition folders; there are at most as many as the table has partitions."""
-    context = folders.sparkSession.sparkContext
     for (folder,) in folders.toLocalIterator():
-        target = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(folder))
-        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+        path, system = hadoop_path(folders.sparkSession, unquote(folder))
+        system.delete(path, True)

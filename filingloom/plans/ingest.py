@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from filingloom.functions.dates import quarter_start
+from filingloom.functions.dates import period_start, timestamp
 from filingloom.operators.announcements import clean_announcements
 from filingloom.operators.numbering import MAX_GROUP_ROWS
 from filingloom.operators.reports import build_reports
@@ -14,22 +14,25 @@ from filingloom.operators.shape import optional, with_default
 from filingloom.rules import CATEGORY_RULES, DEFAULT_CATEGORY, REPORT_CODES, Rule
 from filingloom.schemas import ANNOUNCEMENTS, REPORTS
 from filingloom.sinks.tables import other_batches, write_batch
-from filingloom.sources.stored import existing_news_ids, read_table
+from filingloom.sources.stored import existing_news_ids, read_table, since_day
 
 
 @dataclass(frozen=True)
 class Store:
     """Where the two tables live.
 
-    Announcements are partitioned by trade date, so that state windows and rechecks prune; reports
-    by calendar quarter and type, because a report number counts the reports of one quarter.
-    ``extra`` names further raw fields to keep with the announcements.
+    Announcements are partitioned by the start of their period (day, month, quarter or year), so
+    that state windows and rechecks read only the periods they need; choose the shortest period that
+    still fills files of a good size. Reports are partitioned by calendar quarter and type, because a
+    report number counts the reports of one quarter. ``extra`` names further raw fields to keep with
+    the announcements.
     """
 
     root: str
     extra: T.StructType = T.StructType()
+    period: str = "day"
 
-    ANNOUNCEMENT_PARTITIONS = ("trade_date",)
+    ANNOUNCEMENT_PARTITIONS = ("trade_period",)
     REPORT_PARTITIONS = ("quarter_start", "report_type")
 
     @property
@@ -44,8 +47,15 @@ class Store:
     def announcements_schema(self) -> T.StructType:
         return T.StructType(self.extra.fields + ANNOUNCEMENTS.fields)
 
-    def announcements(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.announcements_path, self.announcements_schema)
+    def announcements(
+        self, spark: SparkSession, since: str | datetime | None = None
+    ) -> DataFrame:
+        """Stored announcements, from the midnight of ``since`` on if given."""
+        rows = read_table(spark, self.announcements_path, self.announcements_schema)
+        if since is not None:
+            first = period_start(timestamp(since), self.period)
+            rows = since_day(rows.where(F.col("trade_period") >= first), since)
+        return rows
 
     def reports(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.reports_path, REPORTS)
@@ -54,7 +64,7 @@ class Store:
 def store_announcements(clean: DataFrame, store: Store, batch: str) -> int:
     """Write one batch of clean announcements; without categories all are General."""
     rows = with_default(clean, "category", DEFAULT_CATEGORY).withColumn(
-        "trade_date", F.col("dt").cast("date")
+        "trade_period", period_start(F.col("dt"), store.period)
     )
     stored_columns = [
         optional(rows, field.name, field.dataType).alias(field.name)
@@ -84,7 +94,7 @@ def store_reports(
     with the new ones, so older partitions are not read.
     """
     spark = announcements.sparkSession
-    oldest = announcements.agg(quarter_start(F.min("dt"))).first()[0]
+    oldest = announcements.agg(period_start(F.min("dt"), "quarter")).first()[0]
     if oldest is None:
         return 0
     stored = other_batches(store.reports(spark), batch).where(F.col("quarter_start") >= oldest)
@@ -116,11 +126,11 @@ def run_batch(
     ``since`` bounds the stored ids a new announcement is compared with. One writer at a time.
     """
     spark = raw.sparkSession
-    earlier = other_batches(store.announcements(spark), batch)
+    earlier = other_batches(store.announcements(spark, since), batch)
     clean = clean_announcements(
         raw,
         master,
-        existing_news_ids(earlier, since),
+        existing_news_ids(earlier),
         rules=rules,
         order_by=order_by,
         dedup=dedup,

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from filingloom.plans.ingest import Store, store_reports
 from filingloom.rules import REPORT_CODES
 from filingloom.sources.requests import HISTORY_MIN
-from filingloom.sources.stored import recheck_scan
+from filingloom.sources.stored import recheck_scan, recheck_start
 
 # Fixed value: days a recheck looks back.
 RECHECK_DAYS = 5
@@ -24,5 +24,6 @@ def recheck(
     codes: dict[str, str] = REPORT_CODES,
 ) -> int:
     """Reports written for announcements of the last ``days`` days; ``None`` takes all history."""
-    rows = recheck_scan(store.announcements(spark), as_of, days, earliest, codes)
+    announcements = store.announcements(spark, recheck_start(as_of, days, earliest))
+    rows = recheck_scan(announcements, as_of, days, earliest, codes)
     return store_reports(rows, store, batch, as_of, codes=codes)

@@ -39,7 +39,7 @@ ANNOUNCEMENTS = T.StructType(
         symbolmap=SYMBOLMAP,
         category=T.StringType(),
         dt=T.TimestampNTZType(),
-        trade_date=T.DateType(),
+        trade_period=T.DateType(),
         batch=T.StringType(),
     ).fields
 )

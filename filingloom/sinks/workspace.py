@@ -28,6 +28,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, uri: str):
+    """A file system path and the file system it is on."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, uri: str) -> bool:
+    path, system = hadoop_path(spark, uri)
+    return system.exists(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write once as Parquet in the shared folder and read back.
 

@@ -1,41 +1,31 @@
 """Stored announcements and reports."""
 
-from datetime import datetime
+from datetime import datetime, time, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from filingloom.functions.dates import day_start, days_before, render, timestamp
+from filingloom.functions.dates import day_start, render, timestamp
 from filingloom.operators.keys import distinct_keys, only_keys
 from filingloom.operators.reports import report_candidates
 from filingloom.rules import REPORT_CODES
+from filingloom.sinks.workspace import path_exists
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table, read afresh; empty while nothing has been written."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    return spark.createDataFrame([], schema)
 
 
-def since_day(announcements: DataFrame, since: str | datetime, column: str = "dt") -> DataFrame:
-    """Rows from the midnight of ``since`` on; prunes ``trade_date`` partitions where there are any."""
-    cutoff = day_start(timestamp(since))
-    rows = announcements.where(F.col(column) >= cutoff)
-    if "trade_date" in announcements.columns:
-        rows = rows.where(F.col("trade_date") >= cutoff.cast("date"))
-    return rows
+def since_day(df: DataFrame, since: str | datetime | None, column: str = "dt") -> DataFrame:
+    """Rows from the midnight of ``since`` on; all rows when it is ``None``."""
+    return df if since is None else df.where(F.col(column) >= day_start(timestamp(since)))
 
 
-def existing_news_ids(
-    announcements: DataFrame, since: str | datetime | None = None, column: str = "dt"
-) -> DataFrame:
+def existing_news_ids(announcements: DataFrame, since: str | datetime | None = None) -> DataFrame:
     """Distinct non-empty news ids stored since a day."""
-    rows = announcements if since is None else since_day(announcements, since, column)
-    return distinct_keys(rows, "news_id")
+    return distinct_keys(since_day(announcements, since), "news_id")
 
 
 def existing_report_ids(
@@ -49,6 +39,14 @@ def existing_report_ids(
     return distinct_keys(reports, "report_id")
 
 
+def recheck_start(
+    as_of: str | datetime, days: int | None, earliest: str | datetime
+) -> datetime:
+    """Midnight ``days`` days before ``as_of``, or of ``earliest`` without a number of days."""
+    start = datetime.fromisoformat(str(earliest if days is None else as_of))
+    return datetime.combine(start.date() - timedelta(days=days or 0), time())
+
+
 def recheck_scan(
     announcements: DataFrame,
     as_of: str | datetime,
@@ -57,11 +55,7 @@ def recheck_scan(
     codes: dict[str, str] = REPORT_CODES,
 ) -> DataFrame:
     """Announcements of the report types from ``days`` days before ``as_of``, or since ``earliest``."""
-    cutoff = timestamp(earliest) if days is None else days_before(timestamp(as_of), days)
-    rows = announcements.where(F.col("dt") >= day_start(cutoff))
-    if "trade_date" in announcements.columns:
-        rows = rows.where(F.col("trade_date") >= cutoff.cast("date"))
-    return report_candidates(rows, codes)
+    return report_candidates(since_day(announcements, recheck_start(as_of, days, earliest)), codes)
 
 
 def stored_rows_of(
