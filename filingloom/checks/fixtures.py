@@ -28,9 +28,9 @@ def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     name = F.when(k % 10 == 9, k - 1).otherwise(k).cast("string")
     suffix = F.when(k % 17 == 0, ".xml").when(k % 19 == 0, ".PDF").otherwise(".pdf")
-    day_first = F.regexp_replace(
-        render(filed_at()), r"^(\d{4})-(\d\d)-(\d\d) (.*)$", "$3/$2/$1 $4"
-    )
+    at = render(filed_at())
+    day, month, year, clock = (F.substring(at, *p) for p in ((9, 2), (6, 2), (1, 4), (11, 9)))
+    day_first = F.concat(day, F.lit("/"), month, F.lit("/"), year, clock)
     headline = F.substring("o_orderpriority", 1, 1)
     return table(spark, sf_dir, "orders").select(
         k.alias("ingest_seq"),

@@ -584,7 +584,10 @@ ORACLE = {
         "e_reports",
     ),
     "report_numbering": _sql("SELECT * FROM nation_numbered", "nation_numbered"),
-    "report_numbering_spread": _sql("SELECT * FROM nation_numbered", "nation_numbered"),
+    "report_numbering_spread": """
+        SELECT o_orderkey, o_orderpriority,
+          row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS "count"
+        FROM orders""",
     "reports_full": _sql(f"SELECT {_REPORT_COLUMNS} FROM numbered", "numbered"),
     "reports_continued": _sql(f"SELECT {_REPORT_COLUMNS} FROM fresh", "fresh"),
     "ingest_batches": _sql(

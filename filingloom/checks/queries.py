@@ -65,8 +65,15 @@ def earlier_announcements(spark: SparkSession, sf: str) -> DataFrame:
 
 def earlier_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Reports of that earlier run."""
-    rows = staged(earlier_announcements(spark, sf), "earlier")
-    return reports.build_reports(rows, spark.createDataFrame([], REPORTS), fx.AS_OF)
+    rows = staged(earlier_announcements(spark, sf), "announcements")
+    built = reports.build_reports(rows, stored.empty_table(spark, REPORTS), fx.AS_OF)
+    return staged(built, "reports")
+
+
+def _duplicated(spark, sf):
+    return staged(
+        fx.duplicated(earlier_reports(spark, sf), fx.urgent_ids(spark, sf)), "duplicated"
+    )
 
 
 def report_columns(df: DataFrame) -> DataFrame:
@@ -196,8 +203,7 @@ def recheck_scan(spark, sf):
 
 
 def semi_by_ids(spark, sf):
-    rows = fx.duplicated(earlier_reports(spark, sf), fx.urgent_ids(spark, sf))
-    return stored.stored_rows_of(rows, fx.urgent_ids(spark, sf))
+    return stored.stored_rows_of(_duplicated(spark, sf), fx.urgent_ids(spark, sf))
 
 
 def flatten_json(spark, sf):
@@ -376,10 +382,6 @@ def dedup_documents(spark, sf):
     return rows.select("doc_id", "lang", "source", "n_chars")
 
 
-def _duplicated(spark, sf):
-    return fx.duplicated(earlier_reports(spark, sf), fx.urgent_ids(spark, sf))
-
-
 def duplicate_groups(spark, sf):
     return keys.duplicate_groups(_duplicated(spark, sf))
 
@@ -496,7 +498,7 @@ def nation_filings(spark, sf):
     )
 
 
-def _nation_numbering(spark, sf, **options):
+def report_numbering(spark, sf):
     rows = nation_filings(spark, sf)
     taken = counts.counts_by(rows.where("o_orderstatus = 'F'"), "base_id")
     numbered = numbering.number_within(
@@ -504,33 +506,30 @@ def _nation_numbering(spark, sf, **options):
         "base_id",
         ["o_orderdate", "o_orderkey"],
         taken,
-        **options,
     )
     return numbered.select("o_orderkey", "base_id", "count")
 
 
-def report_numbering(spark, sf):
-    return _nation_numbering(spark, sf)
-
-
 def report_numbering_spread(spark, sf):
-    """The same numbers with every group above 20 rows spread over tasks by range."""
-    return _nation_numbering(spark, sf, max_group_rows=20)
+    """Five groups, each a fifth of all orders; groups above 1000 rows are spread over tasks."""
+    rows = fx.table(spark, sf, "orders")
+    return numbering.number_within(
+        rows, "o_orderpriority", ["o_orderdate", "o_orderkey"], max_group_rows=1000
+    ).select("o_orderkey", "o_orderpriority", "count")
 
 
 def reports_full(spark, sf):
     """Flagship: all announcements to numbered reports, nothing stored before."""
     rows = staged(clean(spark, sf), "announcements")
     return report_columns(
-        reports.build_reports(rows, spark.createDataFrame([], REPORTS), fx.AS_OF)
+        reports.build_reports(rows, stored.empty_table(spark, REPORTS), fx.AS_OF)
     )
 
 
 def reports_continued(spark, sf):
     """A later run: stored ids and stored reports from the earlier one."""
     rows = staged(clean(spark, sf, stored_ids=fx.stored_ids(spark, sf)), "announcements")
-    before = staged(earlier_reports(spark, sf), "reports")
-    return report_columns(reports.build_reports(rows, before, fx.AS_OF))
+    return report_columns(reports.build_reports(rows, earlier_reports(spark, sf), fx.AS_OF))
 
 
 def _batches(spark, sf, name):

@@ -1,6 +1,8 @@
 """Rule-based categories."""
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -9,8 +11,19 @@ from filingloom.rules import CATEGORY_RULES, DEFAULT_CATEGORY, REPORT_CODES, Rul
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Case-insensitive search; NULL text matches nothing."""
-    return F.coalesce(text.rlike(f"(?iu){pattern}"), F.lit(False))
+    """Case-insensitive search in the lower-cased text; NULL text matches nothing.
+
+    A pattern of plain words is looked up without regular expressions. The long s counts as an s
+    there too.
+    """
+    lowered = F.lower(text)
+    words = pattern.split("|")
+    if all(re.fullmatch("[a-z0-9 ]+", word) for word in words):
+        plain = F.replace(lowered, F.lit("\u017f"), F.lit("s"))
+        found = reduce(Column.__or__, [plain.contains(word) for word in words])
+    else:
+        found = lowered.rlike(f"(?iu){pattern}")
+    return F.coalesce(found, F.lit(False))
 
 
 def category(

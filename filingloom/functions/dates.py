@@ -44,16 +44,20 @@ def _pattern_and_iso(fmt: str) -> tuple[str, str]:
     iso = "{Y}-{m}-{d}".format(**group)
     if "H" in group:
         iso += " {H}:{M}:{S}".format(**group)
-    return f"^{pattern}$", iso
+    return pattern, iso
 
 
 def parse_timestamp(text: Column, *formats: str) -> Column:
-    """Parse with the first strptime format that fits; NULL when none does or no such day exists."""
+    """Parse with the first strptime format that fits; NULL when none does or no such day exists.
+
+    Text that does not fit takes the second branch of the pattern, where all groups are empty, and
+    what is left of the replacement is no timestamp.
+    """
     attempts = []
     for fmt in formats:
         pattern, iso = _pattern_and_iso(fmt)
-        as_iso = F.regexp_replace(text, pattern, iso)
-        attempts.append(F.when(text.rlike(pattern), as_iso.try_cast("timestamp_ntz")))
+        as_iso = F.regexp_replace(text, rf"(?s)\A{pattern}\z|\A.*\z", iso)
+        attempts.append(as_iso.try_cast("timestamp_ntz"))
     return F.coalesce(*attempts)
 
 

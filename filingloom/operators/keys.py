@@ -16,6 +16,11 @@ def _columns(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def _in_order(df: DataFrame, joined: DataFrame) -> DataFrame:
+    """The columns in their own order; a join by name puts the key in front."""
+    return joined.select(*[f"`{name}`" for name in df.columns])
+
+
 def keep_first(
     df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str | Column]
 ) -> DataFrame:
@@ -41,7 +46,7 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 def only_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key is in ``keys``."""
     on = _columns(on)
-    return df.join(keys.select(*on), on, "left_semi")
+    return _in_order(df, df.join(keys.select(*on), on, "left_semi"))
 
 
 def without_keys(
@@ -60,7 +65,7 @@ def without_keys(
     known = keys.select(*on)
     if narrow_first:
         known = known.join(df.select(*on), on, "left_semi")
-    return df.join(known.distinct(), on, "left_anti")
+    return _in_order(df, df.join(known.distinct(), on, "left_anti"))
 
 
 def ids_difference(ids: DataFrame, minus: DataFrame, on: str) -> DataFrame:
@@ -91,7 +96,7 @@ def surplus_rows(
     """
     listed = _among(df, ids, key)
     kept = listed.groupBy(key).agg(F.min(row_id).alias(row_id))
-    return listed.join(kept.select(row_id), row_id, "left_anti")
+    return _in_order(df, listed.join(kept.select(row_id), row_id, "left_anti"))
 
 
 def without_surplus(
@@ -99,4 +104,4 @@ def without_surplus(
 ) -> DataFrame:
     """All rows but those of ``surplus_rows``. Rows with a NULL key stay."""
     surplus = surplus_rows(df, ids, key, row_id).select(row_id)
-    return df.join(surplus, row_id, "left_anti")
+    return _in_order(df, df.join(surplus, row_id, "left_anti"))

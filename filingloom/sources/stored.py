@@ -11,11 +11,17 @@ from filingloom.rules import REPORT_CODES
 from filingloom.sinks.workspace import path_exists
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows. Spark sees that while planning and drops the joins with it."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).where(F.lit(False)).select(*columns)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table, read afresh; empty while nothing has been written."""
     if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    return empty_table(spark, schema)
 
 
 def since_day(df: DataFrame, since: str | datetime | None, column: str = "dt") -> DataFrame:

@@ -1,0 +1,160 @@
+"""Landed files, replies and request planning."""
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from filingloom.functions.dates import render
+from filingloom.plans.backfill import backfill_plan
+from filingloom.schemas import RAW_ANNOUNCEMENT, RESPONSE
+from filingloom.sources import landed, requests, stored
+
+RECORDS = [
+    {"AttachmentName": " a.pdf", "SCRIP_CD": 500325, "Tradedate": "1/9/2025 1:2:3", "MORE": "m1"},
+    {"AttachmentName": "b.pdf", "SCRIP_CD": "500326", "HeadLine": "h", "Nested": {"x": 1}},
+]
+
+
+@pytest.mark.parametrize("layout", ["lines", "array"])
+def test_both_layouts(spark, tmp_path, layout):
+    text = "\n".join(map(json.dumps, RECORDS)) if layout == "lines" else json.dumps(RECORDS)
+    (tmp_path / "20250901.json").write_text(text)
+    extra = T.StructType([T.StructField("MORE", T.StringType())])
+    out = landed.read_announcements(spark, str(tmp_path), layout, extra).orderBy("AttachmentName")
+    assert out.columns == [*RAW_ANNOUNCEMENT.fieldNames(), "MORE", "ingest_seq"]
+    rows = out.collect()
+    assert [(r.AttachmentName, r.SCRIP_CD, r.HeadLine, r.MORE) for r in rows] == [
+        (" a.pdf", "500325", None, "m1"),
+        ("b.pdf", "500326", "h", None),
+    ]
+    assert all(r.ingest_seq.file.endswith("20250901.json") for r in rows)
+    with pytest.raises(ValueError):
+        landed.read_announcements(spark, str(tmp_path), "csv")
+
+
+def test_triage_of_every_kind(spark):
+    bodies = {
+        "list": (200, json.dumps(RECORDS), "ok", 2),
+        "empty": (200, "[]", "ok", 0),
+        "none": (200, '{"Error_Msg": "No Record found"}', "no_record", 0),
+        "other": (200, '{"Error_Msg": "no record found"}', "unexpected_object", 0),
+        "object": (200, "{}", "unexpected_object", 0),
+        "text": (200, '"x"', "unexpected_type", 0),
+        "number": (200, "3", "unexpected_type", 0),
+        "null": (200, "null", "unexpected_type", 0),
+        "html": (200, "<html>", "unparseable", 0),
+        "nothing": (200, None, "unparseable", 0),
+        "error": (500, json.dumps(RECORDS), "http_error", 0),
+        "timeout": (None, None, "http_error", 0),
+    }
+    rows = [(name, status, body) for name, (status, body, _, _) in bodies.items()]
+    triaged = landed.triage(spark.createDataFrame(rows, RESPONSE))
+    got = {r.tradedt: r.status_class for r in triaged.collect()}
+    assert got == {name: kind for name, (_, _, kind, _) in bodies.items()}
+    found = landed.records(triaged).groupBy("tradedt").count().collect()
+    assert {r.tradedt: r["count"] for r in found} == {"list": 2}
+    first = landed.records(triaged).where("position = 0").first()
+    assert (first.tradedt, first.status, first.SCRIP_CD) == ("list", 200, "500325")
+
+
+MIN, MAX = datetime(2023, 11, 1), datetime(2025, 10, 31)
+
+
+def python_range(start, end):
+    """The clamping steps one after the other."""
+    if start is None or not MIN <= start <= MAX:
+        start = MIN
+    if end is None or not MIN <= end <= MAX:
+        end = MAX
+    return (start, end) if start <= end else (end, start)
+
+
+def test_ranges_and_spines(spark):
+    points = [
+        None, datetime(2020, 1, 1), MIN, datetime(2024, 2, 28, 13, 5), datetime(2024, 3, 1, 12, 0),
+        MAX, datetime(2025, 10, 31, 0, 1), datetime(2026, 1, 1),
+    ]
+    pairs = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in points for b in points)]
+    df = spark.createDataFrame(pairs, "i int, from_dt timestamp_ntz, to_dt timestamp_ntz")
+    clamped = requests.clamp_range(df)
+    got = {r.i: (r.from_dt, r.to_dt) for r in clamped.collect()}
+    expected = {i: python_range(a, b) for i, a, b in pairs}
+    assert got == expected
+    spine = requests.day_spine(clamped).groupBy("i").agg(
+        F.count("*").alias("n"), F.max("request_ts").alias("last")
+    )
+    for r in spine.collect():
+        start, end = expected[r.i]
+        days = (end - start).days
+        assert (r.n, r.last) == (days + 1, start + timedelta(days=days))
+
+
+AS_OF = datetime(2025, 9, 10, 15, 30)
+
+
+@pytest.mark.parametrize(
+    "cursor, literal, expected",
+    [
+        (None, False, ["2025-09-06 00:00:00", "2025-09-10 00:00:00", 5]),
+        ("", True, ["2025-09-06 00:00:00", "2025-09-10 00:00:00", 5]),
+        ("garbage", False, ["2025-09-06 00:00:00", "2025-09-10 00:00:00", 5]),
+        ("2025-09-01", False, ["2025-09-06 00:00:00", "2025-09-10 00:00:00", 5]),
+        ("2025-09-09 10:00:00", True, ["2025-09-09 10:00:00", "2025-09-09 10:00:00", 1]),
+        ("2025-09-09 10:00:00", False, ["2025-09-09 00:00:00", "2025-09-10 00:00:00", 2]),
+        ("10/09/2025", False, ["2025-09-10 00:00:00", "2025-09-10 00:00:00", 1]),
+        ("2025-09-10 10:00:05", False, ["2025-09-10 10:00:05", "2025-09-10 10:00:05", 1]),
+        ("2025-09-12", True, ["2025-09-12 00:00:00", "2025-09-12 00:00:00", 1]),
+    ],
+)
+def test_live_requests(spark, cursor, literal, expected):
+    df = spark.createDataFrame([(cursor,)], "cursor string")
+    rows = requests.live_spine(df, AS_OF, literal=literal).select(render(F.col("request_ts"))).collect()
+    days = sorted(r[0] for r in rows)
+    assert [days[0], days[-1], len(days)] == expected
+
+
+def test_request_fields(spark):
+    df = spark.createDataFrame([(datetime(2025, 3, 9, 2, 5, 7),)], "request_ts timestamp_ntz")
+    assert tuple(requests.request_plan(df).first())[1:] == ("20250309", "02", "05", "07")
+    out = df.select(render(requests.next_cursor(F.col("request_ts"))))
+    assert out.first()[0] == "2025-03-09 02:05:00"
+
+
+def test_backfill_asks_for_missing_days_only(spark):
+    ranges = spark.createDataFrame(
+        [(datetime(2024, 1, 30), datetime(2024, 2, 2))], "from_dt timestamp_ntz, to_dt timestamp_ntz"
+    )
+    landed_days = spark.createDataFrame([("20240131",), ("20240131",)], "tradedt string")
+    days = sorted(r.tradedt for r in backfill_plan(ranges, landed_days).collect())
+    assert days == ["20240130", "20240201", "20240202"]
+    assert backfill_plan(ranges).count() == 4
+
+
+def test_stored_ids_and_scans(spark):
+    rows = [
+        ("a", "2025-09-10 00:00:00", "Credit Rating"),
+        ("a", "2025-09-11 00:00:00", "General"),
+        ("b", "2025-09-09 23:59:59", "Credit Rating"),
+        ("", "2025-09-12 00:00:00", "Annual Report"),
+        (None, "2025-09-12 00:00:00", "Annual Report"),
+    ]
+    df = spark.createDataFrame(rows, "news_id string, t string, category string").withColumn(
+        "dt", F.col("t").cast("timestamp_ntz")
+    )
+
+    def ids(since):
+        return sorted(r.news_id for r in stored.existing_news_ids(df, since).collect())
+
+    assert ids(None) == ["a", "b"]
+    assert ids("2025-09-10 18:00:00") == ["a"]
+    scan = stored.recheck_scan(df, "2025-09-15 12:00:00", 5, "2025-01-01 00:00:00")
+    assert sorted(r.t for r in scan.collect()) == ["2025-09-10 00:00:00"] + ["2025-09-12 00:00:00"] * 2
+    everything = stored.recheck_scan(df, "2025-09-15 12:00:00", None, "2025-09-09 00:00:00")
+    assert everything.count() == 4
+
+
+def test_missing_table_is_empty(spark, tmp_path):
+    out = stored.read_table(spark, str(tmp_path / "none"), RESPONSE)
+    assert out.schema == RESPONSE and out.count() == 0
