@@ -19,23 +19,28 @@ def _options(layout: str) -> dict[str, str]:
     return {"multiLine": str(layout == "array").lower()}
 
 
-def _with_arrival(df: DataFrame) -> DataFrame:
-    """Add ``ingest_seq``: arrival of the file, then a stable order inside it.
-
-    The content hash does not depend on how files are split into tasks, so a retried task puts the
-    rows in the same order.
-    """
-    content = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+def _with_file(df: DataFrame) -> DataFrame:
+    """Add ``ingest_file``: when the file arrived, which it is, and where its block starts."""
     return df.withColumn(
-        "ingest_seq",
+        "ingest_file",
         F.struct(
             F.col("_metadata.file_modification_time").alias("arrived"),
             F.col("_metadata.file_path").alias("file"),
-            content.alias("content"),
+            F.col("_metadata.file_block_start").alias("block"),
         ),
     )
 
 
+def with_arrival_order(df: DataFrame) -> DataFrame:
+    """Replace ``ingest_file`` by ``ingest_seq``, which sorts rows as they arrived.
+
+    Inside a block the row id grows with the position in the file, whichever task reads it. Use it
+    on rows as they come from the files, before any shuffle.
+    """
+    order = F.struct("ingest_file.*", F.monotonically_increasing_id().alias("row"))
+    return df.withColumn("ingest_seq", order).drop("ingest_file")
+
+
 def read_announcements(
     spark: SparkSession,
     path: str | list[str],
@@ -44,7 +49,8 @@ def read_announcements(
 ) -> DataFrame:
     """Raw announcements with ``ingest_seq``. Fields named in ``extra`` are carried along."""
     schema = T.StructType(RAW_ANNOUNCEMENT.fields + (extra.fields if extra else []))
-    return _with_arrival(spark.read.schema(schema).options(**_options(layout)).json(path))
+    rows = spark.read.schema(schema).options(**_options(layout)).json(path)
+    return with_arrival_order(_with_file(rows))
 
 
 def stream_announcements(
@@ -54,12 +60,12 @@ def stream_announcements(
     extra: T.StructType | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The same as a stream of files, oldest first."""
+    """The same as a stream of files, oldest first, with ``ingest_file``."""
     schema = T.StructType(RAW_ANNOUNCEMENT.fields + (extra.fields if extra else []))
     reader = spark.readStream.schema(schema).options(**_options(layout))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _with_arrival(reader.json(path))
+    return _with_file(reader.json(path))
 
 
 def _kind(body: Column) -> Column:

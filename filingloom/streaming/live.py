@@ -10,6 +10,7 @@ from filingloom.functions.dates import parse_trade_date, timestamp
 from filingloom.functions.text import strip
 from filingloom.plans.ingest import Store, run_batch
 from filingloom.rules import CATEGORY_RULES, REPORT_CODES, Rule
+from filingloom.sources.landed import with_arrival_order
 from filingloom.sources.requests import LIVE_DAYS
 
 # Fixed value: time between two live runs.
@@ -55,11 +56,11 @@ def run_stream(
         moment = now()
         label = f"{_query_id(batch)}-{batch_id:09d}"
         since = None
-        rows = batch
+        rows = with_arrival_order(batch) if "ingest_file" in batch.columns else batch
         if live_days is not None:
             today: date = moment.date()
             since = datetime.combine(today - timedelta(days=live_days - 1), time())
-            rows = not_late(batch, since)
+            rows = not_late(rows, since)
         run_batch(
             rows,
             master(),

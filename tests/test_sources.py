@@ -1,6 +1,7 @@
 """Landed files, replies and request planning."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -34,6 +35,27 @@ def test_both_layouts(spark, tmp_path, layout):
         landed.read_announcements(spark, str(tmp_path), "csv")
 
 
+@pytest.mark.parametrize("layout", ["lines", "array"])
+def test_arrival_order(spark, tmp_path, layout):
+    """Oldest file first, then the position in it, however the files are split."""
+    expected = []
+    for age, name in enumerate(["z", "a", "m"]):
+        ids = [f"{name}{i * 7919 % 3000}" for i in range(3000)]
+        records = [json.dumps({"AttachmentName": i, "HeadLine": "x" * 100}) for i in ids]
+        text = "\n".join(records) if layout == "lines" else f"[{','.join(records)}]"
+        (tmp_path / f"{name}.json").write_text(text)
+        os.utime(tmp_path / f"{name}.json", (1e9 + age, 1e9 + age))
+        expected += ids
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        df = landed.read_announcements(spark, str(tmp_path), layout)
+        assert df.rdd.getNumPartitions() > 2
+        assert [r.AttachmentName for r in df.orderBy("ingest_seq").collect()] == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+
+
 def test_triage_of_every_kind(spark):
     bodies = {
         "list": (200, json.dumps(RECORDS), "ok", 2),
