@@ -107,7 +107,7 @@ def clean_announcements(
         rows = with_trade_date(rows)
     rows = keep_first(rows, "news_id", order_by)
     if stored_ids is not None:
-        rows = without_keys(rows, stored_ids, "news_id", narrow_first)
+        rows = without_keys(rows, stored_ids, "news_id", narrow_first, unique=True)
     if dedup == "before_parse":
         rows = with_trade_date(rows)
     return categorise(_tidy_text(rows, preserve_case), rules)

@@ -2,7 +2,10 @@
 
 No operator here gathers the rows of one key in one place. The first row of a key is chosen by a
 ranking window that Spark limits to one row per key and task before the shuffle; counts and minima
-are pre-aggregated; joins that bring rows back use the unique row id.
+are pre-aggregated. Joins have at most one row per key on the right: Spark broadcasts it while it is
+small, and otherwise adaptive execution splits the left partition of a key with very many rows. It
+can do so only where both sides are shuffled for the join alone, so the right side is grouped by the
+key and its hash: that layout serves no join, and the join adds a shuffle of the few keys.
 """
 
 from collections.abc import Sequence
@@ -43,10 +46,18 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).where(non_empty(F.col(key))).distinct()
 
 
+def _per_key(df: DataFrame, on: list[str], *measures: Column) -> DataFrame:
+    """One row per key, laid out so that a join on the key can be split."""
+    spread = F.xxhash64(*on).alias("_spread")
+    if not measures:
+        return df.select(*on, spread).distinct().drop("_spread")
+    return df.groupBy(*on, spread).agg(*measures).drop("_spread")
+
+
 def only_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key is in ``keys``."""
     on = _columns(on)
-    return _in_order(df, df.join(keys.select(*on), on, "left_semi"))
+    return _in_order(df, df.join(_per_key(keys, on), on, "left_semi"))
 
 
 def without_keys(
@@ -54,9 +65,13 @@ def without_keys(
     keys: DataFrame,
     on: str | Sequence[str],
     narrow_first: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows whose key is not in ``keys``. Rows with a NULL key stay.
 
+    ``unique`` says that ``df`` has one row per key: then nothing needs splitting and the join shares
+    the shuffle ``df`` comes from.
+
     ``narrow_first`` suits a small ``df`` that is cheap to read twice against a big ``keys``: the
     keys are first cut down to those that occur in ``df``, so that Spark can keep the big side in
     place and move only ``df``'s keys.
@@ -64,8 +79,10 @@ def without_keys(
     on = _columns(on)
     known = keys.select(*on)
     if narrow_first:
-        known = known.join(df.select(*on), on, "left_semi")
-    return _in_order(df, df.join(known.distinct(), on, "left_anti"))
+        own = df.select(*on) if unique else _per_key(df, on)
+        known = known.join(own, on, "left_semi")
+    known = known.distinct() if unique else _per_key(known, on)
+    return _in_order(df, df.join(known, on, "left_anti"))
 
 
 def ids_difference(ids: DataFrame, minus: DataFrame, on: str) -> DataFrame:
@@ -91,12 +108,14 @@ def surplus_rows(
 ) -> DataFrame:
     """Every row but the first of each key; with ``ids``, only for the keys listed there.
 
-    The rows to keep are one per key, found by a pre-aggregated minimum. They are taken out by
-    ``row_id``, which is unique, so a key with many copies never meets in one task.
+    Only keys that do have copies are joined back, which leaves a small right side where copies are
+    few or belong to few keys.
     """
     listed = _among(df, ids, key)
-    kept = listed.groupBy(key).agg(F.min(row_id).alias(row_id))
-    return _in_order(df, listed.join(kept.select(row_id), row_id, "left_anti"))
+    copies = F.count(F.lit(1)).alias("_copies")
+    groups = _per_key(listed, [key], copies, F.min(row_id).alias("keep_id")).where("_copies > 1")
+    surplus = listed.join(groups, key).where(F.col(row_id) > F.col("keep_id"))
+    return _in_order(df, surplus)
 
 
 def without_surplus(

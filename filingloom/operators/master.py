@@ -34,14 +34,11 @@ def company_master(df: DataFrame, order_by: Sequence[str] = ("load_seq",)) -> Da
     """
     code = F.col("bsecode").try_cast("bigint")
     symbol = F.col("nsesymbol")
-    valid = (
-        df.where(valid_company())
-        .withColumn("_code", code)
-        .where("_code is not null")
-        .withColumn("SCRIP_CD", F.col("_code").cast("string"))
-    )
-    return keep_last(valid, "SCRIP_CD", order_by).select(
-        "SCRIP_CD",
+    valid = df.where(valid_company()).withColumn("_code", code).where("_code is not null")
+    # Ranked by the number, joined by its text: so a join gets a shuffle of its own, which adaptive
+    # execution can split where one company is crowded.
+    return keep_last(valid, "_code", order_by).select(
+        F.col("_code").cast("string").alias("SCRIP_CD"),
         F.col("isin").alias("company"),
         F.struct(
             symbol.alias("NSE"),

@@ -4,14 +4,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from filingloom.sinks.workspace import checkpointed
+from filingloom.sinks.workspace import broadcast_up_to, checkpointed
 
 # A group of this many rows sorts well inside one task.
 MAX_GROUP_ROWS = 2_000_000
 
-# Up to this many group ids are sent to every executor; beyond it they are joined by shuffle.
-MAX_BROADCAST_GROUPS = 100_000
-
 
 def number_within(
     df: DataFrame,
@@ -39,8 +36,7 @@ def number_within(
         return _number_by_window(df, group, order_by, start, into)
 
     large = checkpointed(oversized.select(group))
-    if n_groups <= MAX_BROADCAST_GROUPS:
-        large = F.broadcast(large)
+    large = broadcast_up_to(large, n_groups)
     parts = 2 * -(-n_rows // max_group_rows)
     ordinary = _number_by_window(df.join(large, group, "left_anti"), group, order_by, start, into)
     spread = _number_spread(

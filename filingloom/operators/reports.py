@@ -8,7 +8,7 @@ from filingloom.functions.categories import report_code
 from filingloom.functions.dates import datecode, period_start, render, timestamp
 from filingloom.functions.fiscal import base_report_id, fiscal_quarter, fiscal_year, report_id
 from filingloom.functions.text import non_empty, without_last_part
-from filingloom.operators.keys import without_keys
+from filingloom.operators.keys import only_keys, without_keys
 from filingloom.operators.numbering import MAX_GROUP_ROWS, number_within
 from filingloom.operators.shape import optional
 from filingloom.rules import REPORT_CODES
@@ -22,8 +22,13 @@ def report_candidates(
     return announcements.where(F.col("category").isin(list(codes)))
 
 
-def new_reports(candidates: DataFrame, stored: DataFrame, literal_no_op: bool = False) -> DataFrame:
-    """Candidates without a stored report of their type.
+def new_reports(
+    candidates: DataFrame,
+    stored: DataFrame,
+    literal_no_op: bool = False,
+    narrow_first: bool = False,
+) -> DataFrame:
+    """Candidates, one row per news id, without a stored report of their type.
 
     ``literal_no_op`` compares news ids with report ids, which excludes nothing; it exists to
     reproduce runs made that way.
@@ -31,17 +36,26 @@ def new_reports(candidates: DataFrame, stored: DataFrame, literal_no_op: bool =
     if literal_no_op:
         return candidates
     reported = stored.select(F.col("report_type").alias("category"), "news_id")
-    return without_keys(candidates, reported, ["category", "news_id"])
+    return without_keys(candidates, reported, ["category", "news_id"], narrow_first, unique=True)
 
 
-def existing_counts(stored: DataFrame, since: str | datetime | None = None) -> DataFrame:
-    """Stored report ids per base id: ``base_report_id, n``. ``since`` looks at later ones only."""
+def existing_counts(
+    stored: DataFrame,
+    since: str | datetime | None = None,
+    wanted: DataFrame | None = None,
+) -> DataFrame:
+    """Stored report ids per base id: ``base_report_id, n``.
+
+    ``since`` looks at later reports only; ``wanted`` at the base ids it holds, before any shuffle.
+    """
     if since is not None:
         stored = stored.where(F.col("dt_tm") >= render(timestamp(since)))
-    ids = stored.select("report_id").where(non_empty(F.col("report_id"))).distinct()
-    return ids.groupBy(without_last_part(F.col("report_id")).alias("base_report_id")).agg(
-        F.count(F.lit(1)).alias("n")
+    ids = stored.where(non_empty(F.col("report_id"))).select(
+        "report_id", without_last_part(F.col("report_id")).alias("base_report_id")
     )
+    if wanted is not None:
+        ids = only_keys(ids, wanted, "base_report_id")
+    return ids.distinct().groupBy("base_report_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def with_base_report_id(candidates: DataFrame, codes: dict[str, str] = REPORT_CODES) -> DataFrame:
@@ -71,16 +85,18 @@ def build_reports(
     codes: dict[str, str] = REPORT_CODES,
     literal_no_op: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
+    narrow_first: bool = False,
 ) -> DataFrame:
     """Reports the announcements give rise to, numbered after the stored ones.
 
     ``announcements`` is read twice (sizes, then rows), so hand in a stored table rather than a long
-    computation. ``as_of`` becomes ``document_date``; NULL takes the time of the query.
+    computation. ``as_of`` becomes ``document_date``; without it the time of the query counts.
+    ``narrow_first`` suits few announcements against many stored reports.
     """
-    candidates = with_base_report_id(
-        new_reports(report_candidates(announcements, codes), stored, literal_no_op), codes
-    )
-    numbered = number_reports(candidates, existing_counts(stored, since), max_group_rows)
+    based = with_base_report_id(report_candidates(announcements, codes), codes)
+    candidates = new_reports(based, stored, literal_no_op, narrow_first)
+    counts = existing_counts(stored, since, based if narrow_first else None)
+    numbered = number_reports(candidates, counts, max_group_rows)
     made = render(timestamp(as_of) if as_of is not None else F.localtimestamp())
     dt = F.col("dt")
     return numbered.select(

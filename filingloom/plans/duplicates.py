@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from filingloom.operators.keys import surplus_rows
 from filingloom.sinks.tables import even_files
-from filingloom.sinks.workspace import hadoop_path, staged
+from filingloom.sinks.workspace import broadcast_up_to, hadoop_path, staged
 from filingloom.sources.stored import read_table
 
 
@@ -41,6 +41,7 @@ def remove_duplicates(
     if not removed:
         return 0
     affected = surplus.select(*partition_by).distinct()
+    affected = broadcast_up_to(affected, affected.count())
     kept = staged(
         located.join(affected, list(partition_by), "left_semi").join(
             surplus.select("_row"), "_row", "left_anti"

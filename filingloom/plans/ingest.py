@@ -87,6 +87,7 @@ def store_reports(
     *,
     codes: dict[str, str] = REPORT_CODES,
     max_group_rows: int = MAX_GROUP_ROWS,
+    narrow_first: bool = False,
 ) -> int:
     """Number and write the reports of stored announcements that have none yet.
 
@@ -99,7 +100,12 @@ def store_reports(
         return 0
     stored = other_batches(store.reports(spark), batch).where(F.col("quarter_start") >= oldest)
     reports = build_reports(
-        announcements, stored, as_of, codes=codes, max_group_rows=max_group_rows
+        announcements,
+        stored,
+        as_of,
+        codes=codes,
+        max_group_rows=max_group_rows,
+        narrow_first=narrow_first,
     )
     return write_batch(reports, store.reports_path, batch, Store.REPORT_PARTITIONS)
 
@@ -123,7 +129,8 @@ def run_batch(
 
     Announcements are written first and reports are built from what was written, so the cleaning is
     computed once and a batch that runs again under its name rebuilds exactly its own output.
-    ``since`` bounds the stored ids a new announcement is compared with. One writer at a time.
+    ``since`` bounds the stored ids a new announcement is compared with; ``narrow_first`` suits a
+    small batch against big tables. One writer at a time.
     """
     spark = raw.sparkSession
     earlier = other_batches(store.announcements(spark, since), batch)
@@ -139,5 +146,7 @@ def run_batch(
     )
     n_announcements = store_announcements(clean, store, batch)
     written = store.announcements(spark).where(F.col("batch") == batch)
-    n_reports = store_reports(written, store, batch, as_of, codes=codes) if n_announcements else 0
+    n_reports = store_reports(
+        written, store, batch, as_of, codes=codes, narrow_first=narrow_first
+    )
     return {"announcements": n_announcements, "reports": n_reports}

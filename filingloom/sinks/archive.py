@@ -43,7 +43,10 @@ def archive_jsonl(
         (F.col("data_type") == data_type) & (F.col("fetch_type") == fetch_type)
     )
     rows = without_keys(
-        keep_first(df.where(non_empty(F.col(key))), key, order_by), other_batches(index, batch), key
+        keep_first(df.where(non_empty(F.col(key))), key, order_by),
+        other_batches(index, batch),
+        key,
+        unique=True,
     )
     columns = ["data_type", "fetch_type"]
     written = write_batch(labelled(rows), f"{path}/records", batch, columns, format="json")

@@ -12,7 +12,7 @@ def new_rows(
     df: DataFrame, stored: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
 ) -> DataFrame:
     """Rows a table with a unique key takes: the first of each key that is not stored yet."""
-    return without_keys(keep_first(df, keys, order_by), stored, keys)
+    return without_keys(keep_first(df, keys, order_by), stored, keys, unique=True)
 
 
 def even_files(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

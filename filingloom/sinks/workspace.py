@@ -3,7 +3,10 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Up to this many ids are sent to every executor.
+MAX_BROADCAST_ROWS = 100_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -28,6 +31,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def broadcast_up_to(df: DataFrame, n_rows: int) -> DataFrame:
+    """Mark a counted, narrow table for broadcast while it is short; else leave the join to Spark."""
+    return F.broadcast(df) if n_rows <= MAX_BROADCAST_ROWS else df
+
+
 def hadoop_path(spark: SparkSession, uri: str):
     """A file system path and the file system it is on."""
     context = spark.sparkContext

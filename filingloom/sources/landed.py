@@ -68,29 +68,23 @@ def stream_announcements(
     return _with_file(reader.json(path))
 
 
-def _kind(body: Column) -> Column:
-    """JSON type of a text: ARRAY, OBJECT, ... or NULL when it is not JSON."""
-    return F.regexp_extract(F.schema_of_variant(body), "^[A-Z]+", 0)
-
-
 def triage(responses: DataFrame, status: str = "status", body: str = "body") -> DataFrame:
     """Add ``status_class`` to landed replies.
 
     ``ok`` (a list), ``no_record``, ``http_error``, ``unparseable``, ``unexpected_object`` or
-    ``unexpected_type``. Only ``ok`` replies hold records.
+    ``unexpected_type``. Only ``ok`` replies hold records. Lists and objects are told by functions
+    that read through the text without building it, so their size does not matter.
     """
-    parsed = responses.withColumn("_json", F.try_parse_json(F.col(body)))
-    kind = _kind(F.col("_json"))
-    message = F.try_variant_get(F.col("_json"), "$.Error_Msg", "string")
-    return parsed.withColumn(
+    text = F.col(body)
+    return responses.withColumn(
         "status_class",
         F.when(F.coalesce(F.col(status) != 200, F.lit(True)), "http_error")
-        .when(F.col("_json").isNull(), "unparseable")
-        .when(kind == "ARRAY", "ok")
-        .when((kind == "OBJECT") & (message == NO_RECORD_MESSAGE), "no_record")
-        .when(kind == "OBJECT", "unexpected_object")
-        .otherwise("unexpected_type"),
-    ).drop("_json")
+        .when(F.json_array_length(text).isNotNull(), "ok")
+        .when(F.get_json_object(text, "$.Error_Msg") == NO_RECORD_MESSAGE, "no_record")
+        .when(F.json_object_keys(text).isNotNull(), "unexpected_object")
+        .when(F.try_parse_json(text).isNotNull(), "unexpected_type")
+        .otherwise("unparseable"),
+    )
 
 
 def records(

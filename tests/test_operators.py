@@ -9,6 +9,7 @@ from filingloom.operators import announcements as ann
 from filingloom.operators import counts, keys, numbering, reports, shape
 from filingloom.operators.master import company_master
 from filingloom.schemas import COMPANY_MASTER, REPORTS
+from filingloom.sinks import workspace
 from filingloom.sources.stored import empty_table
 
 RAW = (
@@ -196,9 +197,9 @@ def expected_numbers(rows, start):
 
 
 @pytest.mark.parametrize("limit", [10, 300, 10_000])
-@pytest.mark.parametrize("broadcast_groups", [0, 100])
-def test_numbers_do_not_depend_on_the_way(spark, skewed, limit, broadcast_groups, monkeypatch):
-    monkeypatch.setattr(numbering, "MAX_BROADCAST_GROUPS", broadcast_groups)
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_numbers_do_not_depend_on_the_way(spark, skewed, limit, broadcast_rows, monkeypatch):
+    monkeypatch.setattr(workspace, "MAX_BROADCAST_ROWS", broadcast_rows)
     start = spark.createDataFrame([("hot", 7), ("3", 2), ("absent", 9)], "g string, n long")
     out = numbering.number_within(skewed, "g", ["t", "id"], start, max_group_rows=limit)
     got = {(r.g, r.id): r["count"] for r in out.collect()}

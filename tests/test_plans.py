@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from filingloom.checks import fixtures as fx
 from filingloom.checks import queries as q
+from filingloom.operators import announcements as ann
 from filingloom.operators import keys, reports
 from filingloom.operators.master import company_master
 from filingloom.sinks.workspace import staged
@@ -34,8 +36,8 @@ def test_cleaning_shares_its_shuffle_with_the_exclusion(spark, no_broadcast):
     """Raw rows move for the company join and once for first rows and stored ids together."""
     text = plan(q.clean(spark, SF, stored_ids=fx.stored_ids(spark, SF)))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    # raw by code, master by code, raw by news id, stored ids by news id
-    assert shuffles(text) == 4
+    # raw by code; master for the last row per code and for the join; raw and stored by news id
+    assert shuffles(text) == 5
     assert text.count("WindowGroupLimit") == 4
 
 
@@ -60,6 +62,67 @@ def test_first_row_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
 
 
+@pytest.fixture
+def eager_split(spark, no_broadcast):
+    """Let adaptive execution split partitions as small as those of a test."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.fixture
+def crowded(spark):
+    """Two thirds of the filings are of one company, which files everything under one id."""
+    row = F.col("id")
+    hot = row % 3 < 2
+    return spark.range(0, 60_000, 1, 8).select(
+        F.sha2(row.cast("string"), 256).alias("AttachmentName"),
+        F.when(hot, 500001).otherwise(500000 + row % 97).cast("string").alias("SCRIP_CD"),
+        F.when(hot, "hot").otherwise((row % 20_011).cast("string")).alias("news_id"),
+        row.alias("row_id"),
+    )
+
+
+def was_split(df):
+    return "SortMergeJoin(skew=true)" in plan(df)
+
+
+def test_crowded_company_is_split(spark, eager_split, crowded):
+    master = company_master(fx.companies(spark, SF))
+    codes = {r.SCRIP_CD for r in master.collect()}
+    expected = sum(r.SCRIP_CD in codes for r in crowded.collect())
+    enriched = ann.enrich_company(crowded, master)
+    known = ann.known_company(crowded, master)
+    for out in (enriched, known):
+        assert len(out.collect()) == expected
+        assert was_split(out)
+
+
+def test_crowded_key_is_split(spark, eager_split, crowded):
+    rows = crowded.collect()
+    stored = crowded.where("row_id % 3 = 2 and row_id < 20000").select("news_id")
+    known = {r.news_id for r in stored.collect()}
+    fresh = keys.without_keys(crowded, stored, "news_id")
+    assert len(fresh.collect()) == sum(r.news_id not in known for r in rows)
+    assert was_split(fresh)
+
+    listed = keys.only_keys(crowded, stored.unionAll(crowded.select("news_id")), "news_id")
+    assert len(listed.collect()) == len(rows)
+    assert was_split(listed)
+
+    surplus = keys.surplus_rows(crowded)
+    assert len(surplus.collect()) == len(rows) - len({r.news_id for r in rows})
+    assert was_split(surplus)
+
+
 def test_scans_are_pruned_and_filtered(spark):
     text = plan(company_master(fx.table(spark, SF, "customer").selectExpr(
         "cast(c_custkey as string) bsecode", "c_name nsesymbol", "c_name companyname",
