@@ -87,7 +87,7 @@ def without_keys(
 
 def ids_difference(ids: DataFrame, minus: DataFrame, on: str) -> DataFrame:
     """Distinct ids that are not in ``minus``."""
-    return ids.select(on).subtract(minus.select(on))
+    return ids.select(on).distinct().subtract(minus.select(on).distinct())
 
 
 def duplicate_groups(df: DataFrame, key: str = "news_id", row_id: str = "row_id") -> DataFrame:
