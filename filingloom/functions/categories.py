@@ -10,19 +10,24 @@ from filingloom.functions.text import strip
 from filingloom.rules import CATEGORY_RULES, DEFAULT_CATEGORY, REPORT_CODES, Rule
 
 
+def folded(text: Column) -> Column:
+    """Text as rules see it: lower-cased, with the long s as an s."""
+    return F.replace(F.lower(text), F.lit("\u017f"), F.lit("s"))
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """Case-insensitive search in the lower-cased text; NULL text matches nothing.
+    """Case-insensitive search in folded text; NULL text matches nothing.
 
-    A pattern of plain words is looked up without regular expressions. The long s counts as an s
-    there too.
+    Plain words are looked up without regular expressions. A lower-case ASCII pattern needs no
+    case-insensitive matching in folded text.
     """
-    lowered = F.lower(text)
     words = pattern.split("|")
     if all(re.fullmatch("[a-z0-9 ]+", word) for word in words):
-        plain = F.replace(lowered, F.lit("\u017f"), F.lit("s"))
-        found = reduce(Column.__or__, [plain.contains(word) for word in words])
+        found = reduce(Column.__or__, [text.contains(word) for word in words])
+    elif pattern.isascii() and pattern == pattern.lower():
+        found = text.rlike(pattern)
     else:
-        found = lowered.rlike(f"(?iu){pattern}")
+        found = text.rlike(f"(?iu){pattern}")
     return F.coalesce(found, F.lit(False))
 
 
@@ -33,7 +38,10 @@ def category(
     rules: Sequence[Rule] = CATEGORY_RULES,
     default: str = DEFAULT_CATEGORY,
 ) -> Column:
-    """The descriptor if it names a category exactly, else the first rule that matches."""
+    """The descriptor if it names a category exactly, else the first rule that matches.
+
+    ``headline`` and ``body`` are folded texts.
+    """
     known = strip(descriptor)
     chain = F.when(known.isin([rule.category for rule in rules]), known)
     for rule in rules:

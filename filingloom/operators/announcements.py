@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from filingloom.functions.categories import category
+from filingloom.functions.categories import category, folded
 from filingloom.functions.dates import parse_trade_date, render
 from filingloom.functions.text import normalised, strip, strip_strings, without_last_chars
 from filingloom.operators.keys import keep_first, without_keys
@@ -62,13 +62,16 @@ def categorise(
     default: str = DEFAULT_CATEGORY,
     into: str = "category",
 ) -> DataFrame:
-    """Add the category. A text column the table lacks matches nothing."""
-    return df.withColumn(
-        into,
-        category(
-            optional(df, descriptor), optional(df, headline), optional(df, body), rules, default
-        ),
+    """Add the category. A text column the table lacks matches nothing.
+
+    Each text is folded once for all rules, in a step of its own.
+    """
+    texts = {"_headline": headline, "_body": body}
+    folds = df.withColumns({name: folded(optional(df, text)) for name, text in texts.items()})
+    found = category(
+        optional(df, descriptor), F.col("_headline"), F.col("_body"), rules, default
     )
+    return folds.withColumn(into, found).drop(*texts)
 
 
 def _tidy_text(df: DataFrame, preserve_case: bool) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from filingloom.operators.keys import surplus_rows
 from filingloom.sinks.tables import even_files
-from filingloom.sinks.workspace import broadcast_up_to, hadoop_path, staged
+from filingloom.sinks.workspace import broadcast_up_to, delete_folder, new_folder, staged
 from filingloom.sources.stored import read_table
 
 
@@ -25,6 +25,14 @@ def remove_duplicates(
     Only partitions that hold surplus rows are rewritten; those left without a row are dropped last.
     Running it again after a failure finishes the work.
     """
+    work = new_folder(spark, "duplicates")
+    try:
+        return _remove(spark, path, schema, list(partition_by), ids, key, order_by, work)
+    finally:
+        delete_folder(spark, work)
+
+
+def _remove(spark, path, schema, partition_by, ids, key, order_by, work) -> int:
     rows = read_table(spark, path, schema)
     if rows.isEmpty():
         return 0
@@ -36,17 +44,20 @@ def remove_duplicates(
         }
     )
     places = ["_row", "_folder", *partition_by]
-    surplus = staged(surplus_rows(located.select(key, *places), ids, key, "_row"), "surplus")
+    surplus = staged(
+        surplus_rows(located.select(key, *places), ids, key, "_row"), "surplus", f"{work}/surplus"
+    )
     removed = surplus.count()
     if not removed:
         return 0
     affected = surplus.select(*partition_by).distinct()
     affected = broadcast_up_to(affected, affected.count())
     kept = staged(
-        located.join(affected, list(partition_by), "left_semi").join(
+        located.join(affected, partition_by, "left_semi").join(
             surplus.select("_row"), "_row", "left_anti"
         ),
         "kept",
+        f"{work}/kept",
     )
     (
         even_files(kept.select(*schema.fieldNames()), partition_by)
@@ -55,12 +66,7 @@ def remove_duplicates(
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    _delete_folders(surplus.select("_folder").subtract(kept.select("_folder")))
+    emptied = surplus.select("_folder").subtract(kept.select("_folder").distinct())
+    for (folder,) in emptied.toLocalIterator():  # at most one per partition of the table
+        delete_folder(spark, unquote(folder))
     return removed
-
-
-def _delete_folders(folders: DataFrame) -> None:
-    """Delete partition folders; there are at most as many as the table has partitions."""
-    for (folder,) in folders.toLocalIterator():
-        path, system = hadoop_path(folders.sparkSession, unquote(folder))
-        system.delete(path, True)

@@ -48,12 +48,17 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return system.exists(path)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def delete_folder(spark: SparkSession, uri: str) -> None:
+    path, system = hadoop_path(spark, uri)
+    system.delete(path, True)
+
+
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write once as Parquet in the shared folder and read back.
 
     For a result that several later steps read: each step then scans just the columns it needs
     instead of computing the result again.
     """
-    path = new_folder(df.sparkSession, name)
+    path = path or new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import functions as F
 
-from filingloom.functions.categories import category, matches
+from filingloom.functions.categories import folded, matches
 from filingloom.functions.dates import (
     DATE_FORMATS,
     TRADE_DATE_FORMAT,
@@ -22,6 +22,7 @@ from filingloom.functions.dates import (
 )
 from filingloom.functions.fiscal import base_report_id, bucketize, fiscal_quarter, fiscal_year
 from filingloom.functions.text import strip, strip_strings, without_last_chars, without_last_part
+from filingloom.operators.announcements import categorise
 from filingloom.rules import CATEGORY_RULES, Rule
 
 
@@ -149,8 +150,7 @@ def test_base_id_keeps_the_calendar_year_and_needs_a_company(spark):
 
 def categories(spark, rows, rules=CATEGORY_RULES):
     df = spark.createDataFrame(rows, "d string, h string, b string")
-    out = category(F.col("d"), F.col("h"), F.col("b"), rules)
-    return [r[0] for r in df.select(out).collect()]
+    return [r.category for r in categorise(df, rules, "d", "h", "b").collect()]
 
 
 def test_rule_order_and_descriptor(spark):
@@ -186,6 +186,7 @@ def test_body_rules_and_regular_expressions(spark):
     rules = [
         Rule("Both", headline=r"q[1-4]\s+results", body="dividend"),
         Rule("Body", body="bonus (issue|shares)"),
+        Rule("Upper", headline=r"\bAGM\b\S"),
         Rule("Nothing"),
     ]
     rows = [
@@ -193,13 +194,14 @@ def test_body_rules_and_regular_expressions(spark):
         (None, None, "Interim DIVIDEND"),
         (None, "x", "Bonus Issue"),
         (None, "bonus issue", "x"),
+        (None, "the agm: x", "x"),
         ("Nothing", None, None),
     ]
-    assert categories(spark, rows, rules) == ["Both", "Both", "Body", "General", "Nothing"]
+    assert categories(spark, rows, rules) == ["Both", "Both", "Body", "General", "Upper", "Nothing"]
 
 
 def test_plain_words_and_patterns_agree(spark):
     texts = ["A Conference CALL", "conferencecall", "", None, "transcripts", "call"]
-    plain = values(spark, texts, matches(F.col("v"), "conference call|transcript"))
-    regex = values(spark, texts, matches(F.col("v"), "(conference call|transcript)"))
+    plain = values(spark, texts, matches(folded(F.col("v")), "conference call|transcript"))
+    regex = values(spark, texts, matches(folded(F.col("v")), "(conference call|transcript)"))
     assert plain == regex == [True, False, False, False, True, False]

@@ -133,6 +133,22 @@ def test_failure_after_a_write_and_before_the_commit(live, monkeypatch, step):
     }
 
 
+def test_polling_trigger(live):
+    """The endless form: rows that land while it runs are picked up."""
+    live.land(record("a"))
+    stream = stream_announcements(live.spark, str(live.path / "landed"))
+    query = run_stream(
+        stream, master(live.spark), live.store, str(live.path / "c"), now=lambda: NOW, interval="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        live.land(record("b"), record("a"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert live.announcements() == ["a", "b"]
+
+
 def test_new_checkpoint_keeps_old_output(live):
     live.land(record("a"))
     live.run()
