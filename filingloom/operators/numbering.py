@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from filingloom.sinks.workspace import broadcast_up_to, checkpointed
 
-# A group of this many rows sorts well inside one task.
-MAX_GROUP_ROWS = 2_000_000
+# A group of this many rows sorts well inside one task, whole texts included.
+MAX_GROUP_ROWS = 500_000
 
 
 def number_within(
@@ -17,6 +17,7 @@ def number_within(
     start: DataFrame | None = None,
     into: str = "count",
     max_group_rows: int = MAX_GROUP_ROWS,
+    rows_at_most: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3, ... in the given order, as a BIGINT.
 
@@ -24,11 +25,14 @@ def number_within(
     groups it does not mention start at 1. ``order_by`` must be a total order inside a group. Rows
     without a group are left out.
 
-    Group sizes are counted first: a narrow, pre-aggregated pass. Groups of ordinary size are
-    numbered by a window. Groups above ``max_group_rows`` are spread over many tasks by range, see
-    ``_number_spread``. Both ways give the same numbers.
+    Group sizes are counted first: a narrow, pre-aggregated pass, left out when the caller knows that
+    there are ``rows_at_most`` so many rows and one group could hold them all. Groups of ordinary size
+    are numbered by a window. Groups above ``max_group_rows`` are spread over many tasks by range, see
+    ``_number_spread``. All ways give the same numbers.
     """
     df = df.where(F.col(group).isNotNull())
+    if rows_at_most is not None and rows_at_most <= max_group_rows:
+        return _number_by_window(df, group, order_by, start, into)
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
     oversized = sizes.where(F.col("_size") > max_group_rows)
     n_groups, n_rows = oversized.agg(F.count(F.lit(1)), F.sum("_size")).first()

@@ -67,11 +67,19 @@ def with_base_report_id(candidates: DataFrame, codes: dict[str, str] = REPORT_CO
 
 
 def number_reports(
-    candidates: DataFrame, counts: DataFrame, max_group_rows: int = MAX_GROUP_ROWS
+    candidates: DataFrame,
+    counts: DataFrame,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    rows_at_most: int | None = None,
 ) -> DataFrame:
     """Add ``count`` and ``report_id``, continuing after the stored counts, in filing order."""
     numbered = number_within(
-        candidates, "base_report_id", ["dt", "news_id"], counts, "count", max_group_rows
+        candidates,
+        "base_report_id",
+        ["dt", "news_id"],
+        counts,
+        max_group_rows=max_group_rows,
+        rows_at_most=rows_at_most,
     )
     return numbered.withColumn("report_id", report_id(F.col("base_report_id"), F.col("count")))
 
@@ -89,14 +97,14 @@ def build_reports(
 ) -> DataFrame:
     """Reports the announcements give rise to, numbered after the stored ones.
 
-    ``announcements`` is read twice (sizes, then rows), so hand in a stored table rather than a long
-    computation. ``as_of`` becomes ``document_date``; without it the time of the query counts.
+    ``announcements`` is counted first and read again for group sizes if it is large, so hand in a
+    stored table, whose count is in its file footers, rather than a long computation. ``as_of`` becomes ``document_date``; without it the time of the query counts.
     ``narrow_first`` suits few announcements against many stored reports.
     """
     based = with_base_report_id(report_candidates(announcements, codes), codes)
     candidates = new_reports(based, stored, literal_no_op, narrow_first)
     counts = existing_counts(stored, since, based if narrow_first else None)
-    numbered = number_reports(candidates, counts, max_group_rows)
+    numbered = number_reports(candidates, counts, max_group_rows, announcements.count())
     made = render(timestamp(as_of) if as_of is not None else F.localtimestamp())
     dt = F.col("dt")
     return numbered.select(

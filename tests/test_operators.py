@@ -207,6 +207,12 @@ def test_numbers_do_not_depend_on_the_way(spark, skewed, limit, broadcast_rows,
     assert dict(out.dtypes)["count"] == "bigint"
 
 
+def test_known_small_input_skips_the_sizes(spark, skewed):
+    options = {"max_group_rows": 5000, "rows_at_most": 5000}
+    out = numbering.number_within(skewed, "g", ["t", "id"], **options)
+    assert {(r.g, r.id): r["count"] for r in out.collect()} == expected_numbers(skewed.collect(), {})
+
+
 def test_spread_groups_use_many_tasks(spark, skewed):
     hot = skewed.where("g = 'hot'")
     out = numbering.number_within(hot, "g", ["t", "id"], max_group_rows=100)
