@@ -98,8 +98,9 @@ def build_reports(
     """Reports the announcements give rise to, numbered after the stored ones.
 
     ``announcements`` is counted first and read again for group sizes if it is large, so hand in a
-    stored table, whose count is in its file footers, rather than a long computation. ``as_of`` becomes ``document_date``; without it the time of the query counts.
-    ``narrow_first`` suits few announcements against many stored reports.
+    stored table, whose count is in its file footers, rather than a long computation. ``as_of``
+    becomes ``document_date``; without it the time of the query counts. ``narrow_first`` suits few
+    announcements against many stored reports.
     """
     based = with_base_report_id(report_candidates(announcements, codes), codes)
     candidates = new_reports(based, stored, literal_no_op, narrow_first)

@@ -23,7 +23,9 @@ SF = "/root/testdata/sf0.001"
 def inputs(spark):
     raw = fx.announcements(spark, SF).cache()
     master = company_master(fx.companies(spark, SF)).cache()
-    return raw, master
+    yield raw, master
+    raw.unpersist()
+    master.unpersist()
 
 
 def reports_of(store, spark):
