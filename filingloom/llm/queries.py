@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filingloom.llm import chat, mixing, secrets
+from filingloom.llm import chat, language, lengths, mixing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +62,26 @@ def op10_chat_format(spark, sf_dir):
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], told.schema)
     return chat.conversation_digests(chat.formatted_turns(told.unionByName(extra)))
+
+
+@query
+def op2_language_codes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = language.held_out()
+    model = language.fit(docs, ~held)
+    told = language.with_language(docs.select("doc_id", "text"), model)
+    return told.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query
+def op7_token_lengths(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("text")
+    return lengths.context_report(lengths.summed(docs))
+
+
+@query
+def op6_simhash_groups(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
