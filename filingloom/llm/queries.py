@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filingloom.llm import chat, language, lengths, mixing, secrets, simhash
+from filingloom.llm import chat, html, language, lengths, mixing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,3 +85,10 @@ def op6_simhash_groups(spark, sf_dir):
     found = simhash.near_duplicates(docs)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op8_main_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.col("text")
+    return html.with_main_text(pages).select("page_id", "url", text, F.char_length(text).cast("long").alias("n_chars"))
