@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filingloom.llm import chat, html, language, lengths, mixing, secrets, simhash
+from filingloom.llm import chat, html, language, lengths, mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +92,9 @@ def op8_main_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     text = F.col("text")
     return html.with_main_text(pages).select("page_id", "url", text, F.char_length(text).cast("long").alias("n_chars"))
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return quality.judged(docs).drop("lang", "source")
