@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filingloom.llm import chat, html, language, lengths, mixing, quality, secrets, simhash
+from filingloom.llm import chat, contamination, html, language, lengths, mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,3 +98,18 @@ def op8_main_text(spark, sf_dir):
 def op9_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     return quality.judged(docs).drop("lang", "source")
+
+
+@query
+def op5_decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    found = contamination.contaminated(docs, items)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
