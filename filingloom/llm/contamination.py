@@ -187,6 +187,6 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
     keyed = docs.select("doc_id", "text")
     marks = contaminated(keyed.withColumn("_h", F.xxhash64("text")), items, width).filter("contaminated")
-    gone = broadcast_if_small(checkpointed(marks.select(F.col("doc_id").alias("_id"), "_h").distinct()))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
+    gone = broadcast_if_small(checkpointed(marks.select(F.col("doc_id").alias("_gone_id"), "_h").distinct()))
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_h"))
     return docs.join(gone, same, "left_anti")

@@ -115,7 +115,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         "n_repeat_words": repeated_words(F.col("_words")),
     }
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    kept = docs.drop(*own, "base_failed")
+    kept = docs.drop(*own, "base_failed", "distance", "kept")
     return kept.withColumn("_words", words).select(*kept.columns, *[c.alias(n) for n, c in own.items()]).withColumn("base_failed", failed)
 
 

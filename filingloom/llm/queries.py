@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filingloom.llm import chat, contamination, html, language, lengths, mixing, quality, secrets, simhash
+from filingloom.llm import backoff, chat, contamination, html, language, lengths, mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +113,11 @@ def op5_decontaminate(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op3_backoff_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = backoff.held_out()
+    found = backoff.scored(docs, ~held)
+    return found.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
