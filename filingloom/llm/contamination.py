@@ -151,8 +151,11 @@ def _covered(found: DataFrame) -> DataFrame:
     fresh = F.greatest(F.col("end") - F.greatest(F.col("place"), reached), F.lit(0))
     hit = places.withColumn("fresh", fresh).groupBy(*KEY).agg(F.sum("fresh").alias("n_hit"))
     ids = found.select(*KEY, F.col("item_id").cast("string").alias("item")).distinct()
-    items = ids.groupBy(*KEY).agg(F.sort_array(F.collect_set("item")).alias("items"))
-    return hit.join(items, list(KEY))
+    items = ids.groupBy(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash")).agg(
+        F.sort_array(F.collect_list("item")).alias("items")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
+    return hit.join(items, same).drop("_id", "_hash")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
