@@ -10,6 +10,8 @@ from filingloom.functions.dates import render
 
 # As-of time of every registered query that needs one.
 AS_OF = "2001-07-31 12:00:00"
+# Days of the live window of the streams: about the last three years of orders.
+STREAM_DAYS = 2200
 EVENTS_AS_OF = "2024-01-30 12:00:00"
 
 

@@ -1,6 +1,6 @@
 """DuckDB SQL for the registered queries, written from the description of each operator."""
 
-from filingloom.checks.fixtures import AS_OF, EVENTS_AS_OF
+from filingloom.checks.fixtures import AS_OF, EVENTS_AS_OF, STREAM_DAYS
 
 # Building blocks: name -> (the blocks it needs, its SELECT).
 BLOCKS: dict[str, tuple[list[str], str]] = {
@@ -185,14 +185,42 @@ BLOCKS["second_ann"] = (
 BLOCKS["second_based"] = _reports("second_ann")
 BLOCKS["second"] = _numbered("second_based", "e_reports")
 BLOCKS["copies"] = (
-    ["e_reports"],
+    ["numbered"],
     """
-    SELECT *, 2 * CAST(news_id AS BIGINT) AS row_id FROM e_reports
+    SELECT *, 2 * CAST(news_id AS BIGINT) AS row_id FROM numbered
     UNION ALL
-    SELECT *, 2 * CAST(news_id AS BIGINT) + 1 AS row_id FROM e_reports
+    SELECT *, 2 * CAST(news_id AS BIGINT) + 1 AS row_id FROM numbered
     WHERE CAST(news_id AS BIGINT) IN
       (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
 )
+# Every other stored report is gone; numbers go on after the highest left.
+BLOCKS["e_even"] = (["e_reports"], "SELECT * FROM e_reports WHERE n % 2 = 0")
+BLOCKS["left_based"] = (
+    ["fresh_based_all", "e_even"],
+    """
+    SELECT * FROM fresh_based_all f
+    WHERE NOT EXISTS (SELECT 1 FROM e_even e
+                      WHERE e.news_id = f.news_id AND e.category = f.category)""",
+)
+# A stream in three parts with a window: the first row in time with a good date.
+BLOCKS["w_firsts"] = (
+    ["listed"],
+    f"""
+    SELECT *, floor(ingest_seq * 3 / ((SELECT max(o_orderkey) FROM orders) + 1)) AS part FROM listed
+    WHERE "Tradedate" <> 'n/a' AND strptime("Tradedate", '%d/%m/%Y %H:%M:%S') >=
+      date_trunc('day', TIMESTAMP '{AS_OF}' - INTERVAL {STREAM_DAYS - 1} DAY)
+    QUALIFY row_number() OVER (PARTITION BY news_id ORDER BY ingest_seq) = 1""",
+)
+BLOCKS["w_dated"] = _same_chain("dated", "firsts", "w_firsts")
+BLOCKS["w_clean"] = _same_chain("clean", "dated", "w_dated")
+BLOCKS["w_based"] = _reports("w_clean")
+BLOCKS["w_numbered"] = (
+    ["w_based"],
+    """
+    SELECT *, base_id || '_' || n AS report_id
+    FROM (SELECT *, row_number() OVER (PARTITION BY base_id ORDER BY part, dt, news_id) AS n
+          FROM w_based)""",
+)
 BLOCKS["replies"] = (
     [],
     """
@@ -336,8 +364,8 @@ ORACLE = {
     ),
     "response_records": _sql("SELECT * FROM reply_records", "reply_records"),
     "per_day_counts": _sql(
-        """SELECT tradedt, count(*) AS n FROM reply_records GROUP BY tradedt
-           UNION ALL SELECT NULL, count(*) FROM reply_records""",
+        """SELECT tradedt, count(*) AS n, 0 AS is_total FROM reply_records GROUP BY tradedt
+           UNION ALL SELECT NULL, count(*), 1 FROM reply_records""",
         "reply_records",
     ),
     "date_spine_hist": """
@@ -379,12 +407,12 @@ ORACLE = {
         "m",
     ),
     "existing_news_ids": _sql(
-        "SELECT DISTINCT news_id FROM e_clean WHERE dt >= TIMESTAMP '1998-01-15'", "e_clean"
+        "SELECT DISTINCT news_id FROM clean WHERE dt >= TIMESTAMP '1998-01-15'", "clean"
     ),
     "existing_report_ids": _sql(
-        """SELECT DISTINCT report_id FROM e_reports
+        """SELECT DISTINCT report_id FROM numbered
            WHERE category = 'Credit Rating' AND dt >= TIMESTAMP '1998-01-15'""",
-        "e_reports",
+        "numbered",
     ),
     "recheck_scan": _sql(
         f"""SELECT news_id, company, category, "Tradedate" FROM clean
@@ -574,14 +602,14 @@ ORACLE = {
     "base_report_id": _sql(
         "SELECT news_id, code, base_id AS base_report_id FROM based", "based"
     ),
-    "report_id_prefix": _sql("SELECT report_id, base_id AS prefix FROM e_reports", "e_reports"),
+    "report_id_prefix": _sql("SELECT report_id, base_id AS prefix FROM numbered", "numbered"),
     "existing_counts": _sql(
-        "SELECT base_id AS base_report_id, count(*) AS n FROM e_reports GROUP BY base_id", "e_reports"
+        "SELECT base_id AS base_report_id, count(*) AS n FROM numbered GROUP BY base_id", "numbered"
     ),
     "existing_counts_since": _sql(
-        """SELECT base_id AS base_report_id, count(*) AS n FROM e_reports
+        """SELECT base_id AS base_report_id, count(*) AS n FROM numbered
            WHERE dt >= TIMESTAMP '1998-02-15' GROUP BY base_id""",
-        "e_reports",
+        "numbered",
     ),
     "report_numbering": _sql("SELECT * FROM nation_numbered", "nation_numbered"),
     "report_numbering_spread": """
@@ -608,10 +636,38 @@ ORACLE = {
         "second_based",
         "e_reports",
     ),
+    "batch_rerun": _sql(
+        """SELECT news_id, company, category, "Tradedate", 'run' AS batch FROM e_clean""", "e_clean"
+    ),
+    "numbers_after_removal": _sql(
+        """SELECT news_id, base_id || '_' || "count" AS report_id, "count", category AS report_type
+           FROM (SELECT s.*,
+                   coalesce((SELECT greatest(count(*), max(n)) FROM e_even e
+                             WHERE e.base_id = s.base_id), 0)
+                     + row_number() OVER (PARTITION BY base_id ORDER BY dt, news_id) AS "count"
+                 FROM left_based s)""",
+        "left_based",
+        "e_even",
+    ),
+    "recheck_all_history": _sql('SELECT news_id, report_id, n AS "count" FROM second', "second"),
+    "stream_batches": _sql(
+        """SELECT c.news_id, c.company, c.category, c."Tradedate", report_id,
+             r.category AS report_type, n AS "count"
+           FROM w_clean c LEFT JOIN w_numbered r USING (news_id)""",
+        "w_clean",
+        "w_numbered",
+    ),
+    "stream_late": _sql(
+        f"""SELECT ingest_seq AS order_seq FROM a WHERE "Tradedate" <> 'n/a'
+              AND strptime("Tradedate", '%d/%m/%Y %H:%M:%S') <
+                date_trunc('day', TIMESTAMP '{AS_OF}' - INTERVAL {STREAM_DAYS - 1} DAY)""",
+        "a",
+    ),
     "stream_ingest": _sql(
         """SELECT news_id, report_id, category AS report_type, n AS "count", "Tradedate" AS dt_tm
            FROM s_numbered""",
         "s_numbered",
     ),
 }
+ORACLE["rerun_after_later_batch"] = ORACLE["ingest_batches"]
 ORACLE["new_announcements_narrow"] = ORACLE["new_announcements"]

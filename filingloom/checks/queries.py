@@ -1,5 +1,7 @@
 """One registered query per operator, each over whole shared tables."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from filingloom.checks import fixtures as fx
@@ -70,10 +72,15 @@ def earlier_reports(spark: SparkSession, sf: str) -> DataFrame:
     return staged(built, "reports")
 
 
+def all_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored reports of all orders."""
+    rows = staged(clean(spark, sf), "announcements")
+    built = reports.build_reports(rows, stored.empty_table(spark, REPORTS), fx.AS_OF)
+    return staged(built, "reports")
+
+
 def _duplicated(spark, sf):
-    return staged(
-        fx.duplicated(earlier_reports(spark, sf), fx.urgent_ids(spark, sf)), "duplicated"
-    )
+    return staged(fx.duplicated(all_reports(spark, sf), fx.urgent_ids(spark, sf)), "duplicated")
 
 
 def report_columns(df: DataFrame) -> DataFrame:
@@ -188,12 +195,12 @@ def union_days(spark, sf):
 
 
 def existing_news_ids(spark, sf):
-    return stored.existing_news_ids(earlier_announcements(spark, sf), "1998-01-15 10:00:00")
+    return stored.existing_news_ids(clean(spark, sf), "1998-01-15 10:00:00")
 
 
 def existing_report_ids(spark, sf):
     return stored.existing_report_ids(
-        earlier_reports(spark, sf), "Credit Rating", "1998-01-15 10:00:00"
+        all_reports(spark, sf), "Credit Rating", "1998-01-15 10:00:00"
     )
 
 
@@ -378,7 +385,7 @@ def dedup_first(spark, sf):
 
 def dedup_documents(spark, sf):
     """First document of each whole text."""
-    rows = keys.keep_first(fx.table(spark, sf, "documents"), "text", ["doc_id"])
+    rows = keys.first_of_each_text(fx.table(spark, sf, "documents"), "text", ["doc_id"])
     return rows.select("doc_id", "lang", "source", "n_chars")
 
 
@@ -470,17 +477,17 @@ def base_report_id(spark, sf):
 
 
 def report_id_prefix(spark, sf):
-    return earlier_reports(spark, sf).select(
+    return all_reports(spark, sf).select(
         "report_id", without_last_part(F.col("report_id")).alias("prefix")
     )
 
 
 def existing_counts(spark, sf):
-    return reports.existing_counts(earlier_reports(spark, sf))
+    return reports.existing_counts(all_reports(spark, sf))
 
 
 def existing_counts_since(spark, sf):
-    return reports.existing_counts(earlier_reports(spark, sf), "1998-02-15 00:00:00")
+    return reports.existing_counts(all_reports(spark, sf), "1998-02-15 00:00:00")
 
 
 def nation_filings(spark, sf):
@@ -561,6 +568,89 @@ def recheck_reports(spark, sf):
     )
 
 
+def batch_rerun(spark, sf):
+    """One batch with all orders, run again with the finished ones; another, run again with none."""
+    store = Store(new_folder(spark, "rerun"), period="year")
+    companies = master.company_master(fx.companies(spark, sf))
+    raw = fx.announcements(spark, sf)
+    for batch, rows in (
+        ("gone", raw),
+        ("gone", raw.where(F.lit(False))),
+        ("run", raw),
+        ("run", raw.where("o_orderstatus = 'F'")),
+    ):
+        run_batch(rows, companies, store, batch, as_of=fx.AS_OF)
+    return store.announcements(spark).select("news_id", "company", "category", "Tradedate", "batch")
+
+
+def rerun_after_later_batch(spark, sf):
+    """The first of two batches runs once more: every report keeps its id."""
+    store = _batches(spark, sf, "rerun")
+    companies = master.company_master(fx.companies(spark, sf))
+    raw = fx.announcements(spark, sf).where("o_orderstatus = 'F'")
+    run_batch(raw, companies, store, "run-1", as_of=fx.AS_OF)
+    return store.reports(spark).select("news_id", "report_id", "report_type", "count", "batch")
+
+
+def numbers_after_removal(spark, sf):
+    """Every other stored report is gone; new ones are numbered after the highest that is left."""
+    rows = staged(clean(spark, sf, stored_ids=fx.stored_ids(spark, sf)), "announcements")
+    left = earlier_reports(spark, sf).where(F.col("count") % 2 == 0)
+    built = reports.build_reports(rows, left, fx.AS_OF)
+    return built.select("news_id", "report_id", "count", "report_type")
+
+
+def recheck_all_history(spark, sf):
+    """A recheck without a number of days, over announcements of all years."""
+    store = Store(new_folder(spark, "recheck"), period="year")
+    companies = master.company_master(fx.companies(spark, sf))
+    raw = fx.announcements(spark, sf)
+    run_batch(raw.where("o_orderstatus = 'F'"), companies, store, "run-1", as_of=fx.AS_OF)
+    known = stored.existing_news_ids(store.announcements(spark))
+    store_announcements(ann.clean_announcements(raw, companies, known), store, "run-2")
+    recheck(spark, store, "recheck", fx.AS_OF, days=None)
+    return (
+        store.reports(spark).where("batch = 'recheck'").select("news_id", "report_id", "count")
+    )
+
+
+def _streamed(spark, sf) -> Store:
+    """Orders landed in three parts, each with repeats of the one before; the stream restarts between."""
+    path = new_folder(spark, "stream")
+    raw = fx.announcements(spark, sf).withColumnRenamed("ingest_seq", "order_seq")
+    most = raw.agg(F.max("order_seq")).first()[0] or 0
+    part = F.floor(F.col("order_seq") * 3 / F.lit(most + 1))
+    store = Store(f"{path}/store", ORDER_SEQ, period="year")
+    for number in range(3):
+        again = (part == number - 1) & (F.col("order_seq") % 10 == 0)
+        raw.where((part == number) | again).write.mode("append").json(f"{path}/landed")
+        run_stream(
+            landed.stream_announcements(spark, f"{path}/landed", extra=ORDER_SEQ),
+            lambda: master.company_master(fx.companies(spark, sf)),
+            store,
+            f"{path}/checkpoint",
+            available_now=True,
+            live_days=fx.STREAM_DAYS,
+            now=lambda: datetime.fromisoformat(fx.AS_OF),
+            order_by=["order_seq"],
+        ).awaitTermination()
+    return store
+
+
+def stream_batches(spark, sf):
+    """Stored announcements and their reports after three micro-batches with a live window."""
+    store = _streamed(spark, sf)
+    made = store.reports(spark).select("news_id", "report_id", "report_type", "count")
+    told = store.announcements(spark).select("news_id", "company", "category", "Tradedate")
+    return told.join(made, "news_id", "left")
+
+
+def stream_late(spark, sf):
+    """Rows that were too old for that window."""
+    store = _streamed(spark, sf)
+    return spark.read.parquet(store.late_path).select("order_seq").distinct()
+
+
 def stream_ingest(spark, sf):
     """All announcements landed as files and ingested by the stream, then the stored reports."""
     path = new_folder(spark, "stream")
@@ -642,4 +732,10 @@ QUERIES = {
     "ingest_batches": ingest_batches,
     "recheck_reports": recheck_reports,
     "stream_ingest": stream_ingest,
+    "batch_rerun": batch_rerun,
+    "rerun_after_later_batch": rerun_after_later_batch,
+    "numbers_after_removal": numbers_after_removal,
+    "recheck_all_history": recheck_all_history,
+    "stream_batches": stream_batches,
+    "stream_late": stream_late,
 }

@@ -10,8 +10,9 @@ def counts_by(df: DataFrame, column: str) -> DataFrame:
 
 
 def counts_with_total(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value, and one row with a NULL value for the total."""
-    return df.rollup(column).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per value, and one row for the total: ``is_total`` tells it from the row of NULLs."""
+    is_total = F.grouping(column).cast("int").alias("is_total")
+    return df.rollup(column).agg(F.count(F.lit(1)).alias("n"), is_total)
 
 
 def insert_metrics(batch: DataFrame, stored: DataFrame, key: str = "news_id") -> DataFrame:

@@ -36,6 +36,12 @@ def keep_first(
     )
 
 
+def first_of_each_text(df: DataFrame, text: str, order_by: Sequence[str | Column]) -> DataFrame:
+    """First row of each whole text, without the text: a 256-bit digest of it is moved and compared."""
+    digest = F.sha2(F.col(text), 256).alias("_digest")
+    return keep_first(df.select("*", digest).drop(text), "_digest", order_by).drop("_digest")
+
+
 def keep_last(df: DataFrame, keys: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Last row of each key in the given order."""
     return keep_first(df, keys, [F.col(name).desc() for name in order_by])
@@ -87,7 +93,7 @@ def without_keys(
 
 def ids_difference(ids: DataFrame, minus: DataFrame, on: str) -> DataFrame:
     """Distinct ids that are not in ``minus``."""
-    return ids.select(on).distinct().subtract(minus.select(on).distinct())
+    return ids.select(on).subtract(minus.select(on))
 
 
 def duplicate_groups(df: DataFrame, key: str = "news_id", row_id: str = "row_id") -> DataFrame:

@@ -58,6 +58,24 @@ def existing_counts(
     return ids.distinct().groupBy("base_report_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def taken_numbers(stored: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Numbers used up per base id: ``base_report_id, n``.
+
+    ``n`` is the count of stored report ids, or the highest number among them if that is more, as it
+    is once reports have been removed.
+    """
+    last = F.regexp_extract("report_id", "([0-9]{1,18})$", 1).try_cast("bigint")
+    ids = stored.where(non_empty(F.col("report_id"))).select(
+        "report_id", without_last_part(F.col("report_id")).alias("base_report_id"), last.alias("number")
+    )
+    if wanted is not None:
+        ids = only_keys(ids, wanted, "base_report_id")
+    counted = ids.distinct().groupBy("base_report_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("number").alias("highest")
+    )
+    return counted.select("base_report_id", F.greatest("n", F.coalesce("highest", F.lit(0))).alias("n"))
+
+
 def with_base_report_id(candidates: DataFrame, codes: dict[str, str] = REPORT_CODES) -> DataFrame:
     """Add ``base_report_id``; NULL when the company is unknown."""
     code = report_code(F.col("category"), codes)
@@ -94,9 +112,16 @@ def build_reports(
     literal_no_op: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
     narrow_first: bool = False,
+    literal_count: bool = False,
+    own: DataFrame | None = None,
 ) -> DataFrame:
     """Reports the announcements give rise to, numbered after the stored ones.
 
+    Numbers go on after the stored count or the highest stored number, whichever is more;
+    ``literal_count``, or ``since``, makes it the count alone. ``own`` holds reports that the same
+    batch has made before: those it makes again keep their number, and none of their numbers is given
+    to another.
+
     ``announcements`` is counted first and read again for group sizes if it is large, so hand in a
     stored table, whose count is in its file footers, rather than a long computation. ``as_of``
     becomes ``document_date``; without it the time of the query counts. ``narrow_first`` suits few
@@ -104,8 +129,27 @@ def build_reports(
     """
     based = with_base_report_id(report_candidates(announcements, codes), codes)
     candidates = new_reports(based, stored, literal_no_op, narrow_first)
-    counts = existing_counts(stored, since, based if narrow_first else None)
+    wanted = based if narrow_first else None
+    used = stored if own is None else stored.unionByName(own)
+    if literal_count or since is not None:
+        counts = existing_counts(used, since, wanted)
+    else:
+        counts = taken_numbers(used, wanted)
+    kept = None
+    if own is not None:
+        given = own.select(
+            F.col("report_type").alias("category"),
+            "news_id",
+            without_last_part(F.col("report_id")).alias("base_report_id"),
+            "count",
+            "report_id",
+        ).dropDuplicates(["category", "news_id", "base_report_id"])
+        on = ["category", "news_id", "base_report_id"]
+        kept = candidates.join(given, on)
+        candidates = candidates.join(given.select(*on), on, "left_anti")
     numbered = number_reports(candidates, counts, max_group_rows, announcements.count())
+    if kept is not None:
+        numbered = numbered.unionByName(kept)
     made = render(timestamp(as_of) if as_of is not None else F.localtimestamp())
     dt = F.col("dt")
     return numbered.select(

@@ -4,26 +4,23 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from filingloom.sources.requests import (
-    HISTORY_MAX,
-    HISTORY_MIN,
-    clamp_range,
-    day_spine,
-    missing_days,
-    request_plan,
-)
+from filingloom.sources.requests import clamp_range, day_spine, missing_days, request_plan
 
 
 def backfill_plan(
     ranges: DataFrame,
     landed: DataFrame | None = None,
     *,
+    earliest: str | datetime,
+    latest: str | datetime,
     from_col: str = "from_dt",
     to_col: str = "to_dt",
-    earliest: str | datetime = HISTORY_MIN,
-    latest: str | datetime = HISTORY_MAX,
 ) -> DataFrame:
-    """One request per day of the clamped ranges, without the days that have landed already."""
-    days = day_spine(clamp_range(ranges, from_col, to_col, earliest, latest), from_col, to_col)
+    """One request per day of the clamped ranges, without the days that have landed already.
+
+    The bounds of the history are the caller's to name: ranges are brought inside them.
+    """
+    inside = clamp_range(ranges, from_col, to_col, earliest=earliest, latest=latest)
+    days = day_spine(inside, from_col, to_col)
     plan = request_plan(days)
     return plan if landed is None else missing_days(plan, landed)

@@ -1,8 +1,8 @@
 """One batch from raw announcements to stored announcements and reports."""
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -14,7 +14,14 @@ from filingloom.operators.shape import optional, with_default
 from filingloom.rules import CATEGORY_RULES, DEFAULT_CATEGORY, REPORT_CODES, Rule
 from filingloom.schemas import ANNOUNCEMENTS, REPORTS
 from filingloom.sinks.tables import other_batches, write_batch
-from filingloom.sources.stored import existing_news_ids, read_table, since_day
+from filingloom.sinks.workspace import scratch
+from filingloom.sources.stored import (
+    empty_table,
+    existing_news_ids,
+    read_partitions,
+    read_table,
+    since_day,
+)
 
 
 @dataclass(frozen=True)
@@ -43,6 +50,11 @@ class Store:
     def reports_path(self) -> str:
         return f"{self.root}/reports"
 
+    @property
+    def late_path(self) -> str:
+        """Raw rows that came too late for a stream."""
+        return f"{self.root}/late"
+
     @property
     def announcements_schema(self) -> T.StructType:
         return T.StructType(self.extra.fields + ANNOUNCEMENTS.fields)
@@ -51,14 +63,26 @@ class Store:
         self, spark: SparkSession, since: str | datetime | None = None
     ) -> DataFrame:
         """Stored announcements, from the midnight of ``since`` on if given."""
-        rows = read_table(spark, self.announcements_path, self.announcements_schema)
-        if since is not None:
-            first = period_start(timestamp(since), self.period)
-            rows = since_day(rows.where(F.col("trade_period") >= first), since)
-        return rows
-
-    def reports(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.reports_path, REPORTS)
+        if since is None:
+            return read_table(spark, self.announcements_path, self.announcements_schema)
+        first = spark.range(1).select(period_start(timestamp(since), self.period)).first()[0]
+        rows = read_partitions(
+            spark,
+            self.announcements_path,
+            self.announcements_schema,
+            "trade_period",
+            lambda day: day >= first.isoformat(),
+        )
+        return since_day(rows, since)
+
+    def reports(self, spark: SparkSession, quarters: Iterable[date] | None = None) -> DataFrame:
+        """Stored reports, of the named quarters only if given."""
+        if quarters is None:
+            return read_table(spark, self.reports_path, REPORTS)
+        names = {day.isoformat() for day in quarters}
+        return read_partitions(
+            spark, self.reports_path, REPORTS, "quarter_start", names.__contains__
+        )
 
 
 def store_announcements(clean: DataFrame, store: Store, batch: str) -> int:
@@ -91,23 +115,39 @@ def store_reports(
 ) -> int:
     """Number and write the reports of stored announcements that have none yet.
 
-    Only stored reports from the quarter of the oldest announcement on can share an id or a number
-    with the new ones, so older partitions are not read.
+    Only stored reports of the announcements' own quarters can share an id or a number with the new
+    ones; only their folders are read. Reports that the batch made before keep their numbers if it
+    makes them again. Report ids must be unique afterwards: if they are not, another writer was at
+    work, and an error says so.
     """
     spark = announcements.sparkSession
-    oldest = announcements.agg(period_start(F.min("dt"), "quarter")).first()[0]
-    if oldest is None:
-        return 0
-    stored = other_batches(store.reports(spark), batch).where(F.col("quarter_start") >= oldest)
-    reports = build_reports(
-        announcements,
-        stored,
-        as_of,
-        codes=codes,
-        max_group_rows=max_group_rows,
-        narrow_first=narrow_first,
-    )
-    return write_batch(reports, store.reports_path, batch, Store.REPORT_PARTITIONS)
+    quarters = [
+        row[0]
+        for row in announcements.select(period_start(F.col("dt"), "quarter")).distinct().collect()
+        if row[0] is not None
+    ]
+    if not quarters:
+        return write_batch(
+            empty_table(spark, REPORTS).drop("batch"), store.reports_path, batch, Store.REPORT_PARTITIONS
+        )
+    stored = store.reports(spark, quarters)
+    with scratch(stored.where(F.col("batch") == batch), "own-reports") as own:
+        reports = build_reports(
+            announcements,
+            other_batches(stored, batch),
+            as_of,
+            codes=codes,
+            max_group_rows=max_group_rows,
+            narrow_first=narrow_first,
+            own=None if own.isEmpty() else own,
+        )
+        n_reports = write_batch(reports, store.reports_path, batch, Store.REPORT_PARTITIONS)
+    if n_reports:
+        ids = store.reports(spark, quarters).groupBy("report_id").agg(F.count(F.lit(1)).alias("n"))
+        repeated = ids.where("n > 1").take(3)
+        if repeated:
+            raise ValueError(f"report ids are stored twice: {[row.report_id for row in repeated]}")
+    return n_reports
 
 
 def run_batch(

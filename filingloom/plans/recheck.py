@@ -6,7 +6,6 @@ from pyspark.sql import SparkSession
 
 from filingloom.plans.ingest import Store, store_reports
 from filingloom.rules import REPORT_CODES
-from filingloom.sources.requests import HISTORY_MIN
 from filingloom.sources.stored import recheck_scan, recheck_start
 
 # Fixed value: days a recheck looks back.
@@ -20,10 +19,13 @@ def recheck(
     as_of: str | datetime,
     *,
     days: int | None = RECHECK_DAYS,
-    earliest: str | datetime = HISTORY_MIN,
+    earliest: str | datetime | None = None,
     codes: dict[str, str] = REPORT_CODES,
 ) -> int:
-    """Reports written for announcements of the last ``days`` days; ``None`` takes all history."""
+    """Reports written for announcements of the last ``days`` days.
+
+    ``days=None`` takes those since ``earliest``, and all history without it.
+    """
     announcements = store.announcements(spark, recheck_start(as_of, days, earliest))
     rows = recheck_scan(announcements, as_of, days, earliest, codes)
     return store_reports(rows, store, batch, as_of, codes=codes)

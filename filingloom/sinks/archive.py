@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from filingloom.functions.text import non_empty
 from filingloom.operators.keys import keep_first, without_keys
 from filingloom.sinks.tables import other_batches, write_batch
+from filingloom.sinks.workspace import scratch
 from filingloom.sources.stored import read_table
 
 # The archive targets, as (data_type, fetch_type).
@@ -49,12 +50,8 @@ def archive_jsonl(
         unique=True,
     )
     columns = ["data_type", "fetch_type"]
-    written = write_batch(labelled(rows), f"{path}/records", batch, columns, format="json")
-    lines = spark.read.schema(T.StructType(fields)).json(f"{path}/records")
-    own = lines.where(
-        (F.col("data_type") == data_type)
-        & (F.col("fetch_type") == fetch_type)
-        & (F.col("batch") == batch)
-    )
-    write_batch(own.drop("batch"), f"{path}/index", batch, columns)
+    # The new records are worked out once; both writes read that copy.
+    with scratch(labelled(rows), "archive") as own:
+        written = write_batch(own, f"{path}/records", batch, columns, format="json")
+        write_batch(own.select(key, *columns), f"{path}/index", batch, columns)
     return written

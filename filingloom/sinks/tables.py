@@ -1,12 +1,16 @@
-"""Partitioned Parquet tables, written so that a repeated write changes nothing."""
+"""Partitioned Parquet tables, written so that a repeated write replaces what it wrote before."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from filingloom.operators.keys import keep_first, without_keys
+from filingloom.sinks.workspace import delete_folder, matching_files
 from filingloom.sources.stored import read_table
 
+BATCH_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
+
 
 def new_rows(
     df: DataFrame, stored: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
@@ -52,10 +56,16 @@ def write_batch(
 ) -> int:
     """Write the output of one named batch; returns its rows.
 
-    The batch name is the last partition column and partitions are replaced, so a batch that runs
-    again after a failure takes the place of whatever it had written. The overwrite mode is set for
-    this write alone.
+    The batch name is the last partition column. Partitions that the output has are replaced by the
+    write; those that only an earlier run of the same batch had are removed after it, so the table
+    ends with the new output alone, also if that is empty. A run that stops in between leaves old
+    partitions, which the next run removes. The overwrite mode is set for this write alone.
     """
+    if not BATCH_NAME.fullmatch(batch):
+        raise ValueError(f"a batch is named by letters, digits, dots, dashes and underscores: {batch!r}")
+    spark = df.sparkSession
+    own_files = f"{path}{'/*' * len(partition_by)}/batch={batch}/part-*"
+    before = matching_files(spark, own_files)
     written = Observation()
     (
         even_files(df.withColumn("batch", F.lit(batch)), partition_by)
@@ -67,7 +77,13 @@ def write_batch(
         .format(format)
         .save(path)
     )
-    return written.get["n"]
+    n_written = written.get["n"]
+    if before:
+        after = matching_files(spark, own_files)
+        for folder, files in before.items():
+            if files & after.get(folder, set()):
+                delete_folder(spark, folder)
+    return n_written
 
 
 def other_batches(table: DataFrame, batch: str) -> DataFrame:

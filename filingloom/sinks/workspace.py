@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -53,6 +55,24 @@ def delete_folder(spark: SparkSession, uri: str) -> None:
     system.delete(path, True)
 
 
+def child_folders(spark: SparkSession, uri: str) -> list[str]:
+    """Names of the folders right below one; one listing call."""
+    path, system = hadoop_path(spark, uri)
+    if not system.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(path) if s.isDirectory())
+
+
+def matching_files(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
+    """Files that a path pattern names: the file names by folder."""
+    path, system = hadoop_path(spark, pattern)
+    found: dict[str, set[str]] = {}
+    for status in system.globStatus(path) or []:
+        own = status.getPath()
+        found.setdefault(str(own.getParent()), set()).add(own.getName())
+    return found
+
+
 def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write once as Parquet in the shared folder and read back.
 
@@ -62,3 +82,13 @@ def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``staged`` for the length of a ``with`` block; the copy is removed when the block is left."""
+    path = new_folder(df.sparkSession, name)
+    try:
+        yield staged(df, name, path)
+    finally:
+        delete_folder(df.sparkSession, path)

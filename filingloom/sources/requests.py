@@ -24,10 +24,11 @@ def clamp_range(
     df: DataFrame,
     from_col: str = "from_dt",
     to_col: str = "to_dt",
-    earliest: str | datetime = HISTORY_MIN,
-    latest: str | datetime = HISTORY_MAX,
+    *,
+    earliest: str | datetime,
+    latest: str | datetime,
 ) -> DataFrame:
-    """Bring each range inside the history.
+    """Bring each range inside the history from ``earliest`` to ``latest``.
 
     A start outside it (or missing) becomes the earliest day, an end outside it (or missing) the
     latest; a reversed range is turned round.

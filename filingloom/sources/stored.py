@@ -1,5 +1,6 @@
 """Stored announcements and reports."""
 
+from collections.abc import Callable
 from datetime import datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -8,7 +9,7 @@ from filingloom.functions.dates import day_start, render, timestamp
 from filingloom.operators.keys import distinct_keys, only_keys
 from filingloom.operators.reports import report_candidates
 from filingloom.rules import REPORT_CODES
-from filingloom.sinks.workspace import path_exists
+from filingloom.sinks.workspace import child_folders, path_exists
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -24,6 +25,21 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return empty_table(spark, schema)
 
 
+def read_partitions(
+    spark: SparkSession, path: str, schema: T.StructType, column: str, wanted: Callable[[str], bool]
+) -> DataFrame:
+    """The part of a stored table whose first partition column has a wanted value, as text.
+
+    Folders of that column are listed by name, one level deep; only wanted ones are looked into.
+    """
+    prefix = f"{column}="
+    names = [n for n in child_folders(spark, path) if n.startswith(prefix)]
+    paths = [f"{path}/{n}" for n in names if wanted(n.removeprefix(prefix))]
+    if not paths:
+        return empty_table(spark, schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+
+
 def since_day(df: DataFrame, since: str | datetime | None, column: str = "dt") -> DataFrame:
     """Rows from the midnight of ``since`` on; all rows when it is ``None``."""
     return df if since is None else df.where(F.col(column) >= day_start(timestamp(since)))
@@ -46,9 +62,14 @@ def existing_report_ids(
 
 
 def recheck_start(
-    as_of: str | datetime, days: int | None, earliest: str | datetime
-) -> datetime:
-    """Midnight ``days`` days before ``as_of``, or of ``earliest`` without a number of days."""
+    as_of: str | datetime, days: int | None, earliest: str | datetime | None = None
+) -> datetime | None:
+    """Midnight ``days`` days before ``as_of``, or of ``earliest`` without a number of days.
+
+    ``None`` if there is neither: all history.
+    """
+    if days is None and earliest is None:
+        return None
     start = datetime.fromisoformat(str(earliest if days is None else as_of))
     return datetime.combine(start.date() - timedelta(days=days or 0), time())
 
@@ -57,10 +78,13 @@ def recheck_scan(
     announcements: DataFrame,
     as_of: str | datetime,
     days: int | None,
-    earliest: str | datetime,
+    earliest: str | datetime | None = None,
     codes: dict[str, str] = REPORT_CODES,
 ) -> DataFrame:
-    """Announcements of the report types from ``days`` days before ``as_of``, or since ``earliest``."""
+    """Announcements of the report types from ``days`` days before ``as_of``, or since ``earliest``.
+
+    With neither, all of them.
+    """
     return report_candidates(since_day(announcements, recheck_start(as_of, days, earliest)), codes)
 
 

@@ -3,13 +3,15 @@
 from collections.abc import Callable, Sequence
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from filingloom.functions.dates import parse_trade_date, timestamp
 from filingloom.functions.text import strip
 from filingloom.plans.ingest import Store, run_batch
 from filingloom.rules import CATEGORY_RULES, REPORT_CODES, Rule
+from filingloom.sinks.tables import write_batch
+from filingloom.sinks.workspace import child_folders, delete_folder
 from filingloom.sources.landed import with_arrival_order
 from filingloom.sources.requests import LIVE_DAYS
 
@@ -19,7 +21,29 @@ LIVE_INTERVAL = "1 minute"
 
 def _query_id(batch: DataFrame) -> str:
     """Id of the running stream: fixed by its checkpoint, so it survives restarts."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("this session does not tell the stream's id: name the stream")
+    return found
+
+
+def _clock(spark: SparkSession, folder: str, batch_id: int, now: datetime) -> datetime:
+    """The time of a micro-batch: that of its first attempt, so that a replay makes the same rows.
+
+    Times of earlier micro-batches, which are committed by now, are removed.
+    """
+    name = f"{batch_id:09d}"
+    kept = child_folders(spark, folder)
+    for other in kept:
+        if other != name:
+            delete_folder(spark, f"{folder}/{other}")
+    if name in kept:
+        found = spark.read.text(f"{folder}/{name}").first()
+        if found is not None:
+            return datetime.fromisoformat(found.value)
+    one = spark.createDataFrame([(now.isoformat(),)], "value string").coalesce(1)
+    one.write.mode("overwrite").text(f"{folder}/{name}")
+    return now
 
 
 def not_late(raw: DataFrame, since: datetime) -> DataFrame:
@@ -28,6 +52,11 @@ def not_late(raw: DataFrame, since: datetime) -> DataFrame:
     return raw.where(dt.isNull() | (dt >= timestamp(since)))
 
 
+def late(raw: DataFrame, since: datetime) -> DataFrame:
+    """The other rows: traded before."""
+    return raw.where(parse_trade_date(strip(F.col("Tradedate"))) < timestamp(since))
+
+
 def run_stream(
     raw: DataFrame,
     master: Callable[[], DataFrame],
@@ -41,27 +70,34 @@ def run_stream(
     codes: dict[str, str] = REPORT_CODES,
     order_by: Sequence[str] = ("ingest_seq",),
     interval: str = LIVE_INTERVAL,
+    name: str | None = None,
+    report: Callable[[str, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Ingest a stream of raw announcements; ``available_now`` stops when all files are read.
 
     Every micro-batch is a ``run_batch``: duplicates inside it are resolved by rank, duplicates of
     earlier batches by the stored ids of the last ``live_days`` days, and rows older than that are
-    late and dropped (``None`` keeps them and compares with all stored ids). The stored tables are
-    the state, so numbers continue across batches and restarts. Output is labelled with the id of
-    the checkpoint and the batch number: a replayed batch replaces its own output. The company
-    master is read anew for each batch.
+    late: they are counted and written to the table ``late`` of the store as they came, where
+    ``run_batch`` can take them up (``None`` keeps them in and compares with all stored ids). The
+    stored tables are the state, so numbers continue across batches and restarts. Output is labelled
+    with ``name``, or else the id of the checkpoint, and the batch number: a replayed batch has the
+    time of its first attempt and replaces its own output. The company master is read anew for each
+    batch. ``report`` gets the label and the counts of every batch.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        moment = now()
-        label = f"{_query_id(batch)}-{batch_id:09d}"
-        since = None
+        spark = batch.sparkSession
+        stream = name or _query_id(batch)
+        label = f"{stream}-{batch_id:09d}"
+        moment = _clock(spark, f"{store.root}/_clocks/{stream}", batch_id, now())
+        since, n_late = None, 0
         rows = with_arrival_order(batch) if "ingest_file" in batch.columns else batch
         if live_days is not None:
             today: date = moment.date()
             since = datetime.combine(today - timedelta(days=live_days - 1), time())
+            n_late = write_batch(late(rows, since), store.late_path, label, ())
             rows = not_late(rows, since)
-        run_batch(
+        counts = run_batch(
             rows,
             master(),
             store,
@@ -74,6 +110,8 @@ def run_stream(
             dedup="after_parse",
             narrow_first=since is not None,
         )
+        if report is not None:
+            report(label, {**counts, "late": n_late})
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (

@@ -100,7 +100,9 @@ def test_ranges_and_spines(spark):
     ]
     pairs = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in points for b in points)]
     df = spark.createDataFrame(pairs, "i int, from_dt timestamp_ntz, to_dt timestamp_ntz")
-    clamped = requests.clamp_range(df)
+    clamped = requests.clamp_range(
+        df, earliest=requests.HISTORY_MIN, latest=requests.HISTORY_MAX
+    )
     got = {r.i: (r.from_dt, r.to_dt) for r in clamped.collect()}
     expected = {i: python_range(a, b) for i, a, b in pairs}
     assert got == expected
@@ -149,9 +151,10 @@ def test_backfill_asks_for_missing_days_only(spark):
         [(datetime(2024, 1, 30), datetime(2024, 2, 2))], "from_dt timestamp_ntz, to_dt timestamp_ntz"
     )
     landed_days = spark.createDataFrame([("20240131",), ("20240131",)], "tradedt string")
-    days = sorted(r.tradedt for r in backfill_plan(ranges, landed_days).collect())
+    bounds = {"earliest": requests.HISTORY_MIN, "latest": requests.HISTORY_MAX}
+    days = sorted(r.tradedt for r in backfill_plan(ranges, landed_days, **bounds).collect())
     assert days == ["20240130", "20240201", "20240202"]
-    assert backfill_plan(ranges).count() == 4
+    assert backfill_plan(ranges, **bounds).count() == 4
 
 
 def test_stored_ids_and_scans(spark):
