@@ -70,6 +70,29 @@ def _cuts(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
         start = stop
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Bytes of whole numbers, all lowest bytes first: the high ones are mostly zero and compress."""
+    size = values.dtype.itemsize
+    return values.view(np.uint8).reshape(-1, size).T.tobytes()
+
+
+def _unpack(packed: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(packed, np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def _pack_sorted(keys: np.ndarray) -> bytes:
+    """Sorted keys as steps from one to the next."""
+    steps = keys.copy()
+    steps[1:] -= keys[:-1]
+    return _pack(steps)
+
+
+def _unpack_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed, np.uint64), dtype=np.uint64)
+
+
 class Block:
     """Tokens of some documents, their distinct words and pairs, and the sorted hashes of both."""
 
@@ -116,7 +139,7 @@ def vocabulary(docs: DataFrame, learn: Column, buckets: int) -> tuple[int, int]:
 
         def rows() -> pd.DataFrame:
             keys = np.unique(_hashes(held))
-            cut = [(b, keys[i:j].tobytes()) for b, i, j in _cuts(keys, buckets)]
+            cut = [(b, _pack_sorted(keys[i:j])) for b, i, j in _cuts(keys, buckets)]
             frame = pd.DataFrame(cut, columns=["bucket", "keys"])
             frame["tokens"] = [tokens, *[0] * (len(frame) - 1)] if len(frame) else []
             return frame
@@ -134,7 +157,7 @@ def vocabulary(docs: DataFrame, learn: Column, buckets: int) -> tuple[int, int]:
             yield rows()
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])
+        keys = np.concatenate([_unpack_sorted(k) for k in frame["keys"]])
         return pd.DataFrame({"words": [len(np.unique(keys))], "tokens": [int(frame.tokens.sum())]})
 
     parts = docs.filter(learn).select("text").mapInPandas(collect, "bucket int, keys binary, tokens long")
@@ -148,7 +171,8 @@ def _requests(buckets: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         block = Block(frame.text, ~frame._held)
         counts = block.counts.astype(np.uint32)
-        out = [(b, block.keys[i:j].tobytes(), counts[i:j].tobytes()) for b, i, j in _cuts(block.keys, buckets)]
+        cuts = _cuts(block.keys, buckets)
+        out = [(b, _pack_sorted(block.keys[i:j]), _pack(counts[i:j])) for b, i, j in cuts]
         found = pd.DataFrame(out, columns=["bucket", "keys", "counts"])
         found["_block"] = frame._block.iloc[0]
         return found[["_block", "bucket", "keys", "counts"]]
@@ -157,12 +181,12 @@ def _requests(buckets: int):
 
 
 def _totals(frame: pd.DataFrame) -> pd.DataFrame:
-    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in frame["keys"]])
-    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in frame["counts"]])
+    keys = np.concatenate([_unpack_sorted(k) for k in frame["keys"]])
+    counts = np.concatenate([_unpack(c, np.uint32) for c in frame["counts"]])
     unique, place = np.unique(keys, return_inverse=True)
     totals = np.bincount(place, weights=counts, minlength=len(unique)).astype(np.uint64)[place]
     stops = np.cumsum([len(k) // 8 for k in frame["keys"]])
-    parts = [t.tobytes() for t in np.split(totals, stops[:-1])]
+    parts = [_pack(t) for t in np.split(totals, stops[:-1])]
     return pd.DataFrame({"_block": frame._block, "bucket": frame.bucket, "totals": parts})
 
 
@@ -226,7 +250,7 @@ def scored(docs: DataFrame, learn: Column, mass: float = MASS) -> DataFrame:
 
     def score(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(frame.text, ~frame._held)
-        parts = [np.frombuffer(t, np.uint64) for t in answers.sort_values("bucket").totals]
+        parts = [_unpack(t, np.uint64) for t in answers.sort_values("bucket").totals]
         found = walk(block, np.concatenate(parts), tokens, words, mass)
         return found.assign(_row=frame._row.to_numpy())
 
