@@ -128,6 +128,24 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies of which some hold elements that are no records, and some end in other text."""
+    k = F.col("event_id")
+    record = F.to_json(F.struct("event_id", "event_type"))
+    listed = F.concat(F.lit("["), record, F.lit("]"))
+    body = (
+        F.when(k % 6 == 0, F.concat(F.lit("["), record, F.lit(',7,"'), k.cast("string"), F.lit('"]')))
+        .when(k % 6 == 1, F.concat(listed, F.lit(" tail")))
+        .when(k % 6 == 2, F.concat(F.lit("["), record, F.lit(',{"event_id"')))
+        .when(k % 6 == 3, F.translate(listed, '"', "'"))
+        .when(k % 6 == 4, F.concat(F.lit("["), record, F.lit(","), record, F.lit("]")))
+        .otherwise(record)
+    )
+    return table(spark, sf_dir, "events").select(
+        k.alias("reply_id"), F.lit("20240101").alias("tradedt"), F.lit(200).alias("status"), body.alias("body")
+    )
+
+
 def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times in eight spellings, some of them unreadable."""
     text = F.substring(F.col("ts").cast("string"), 1, 19)

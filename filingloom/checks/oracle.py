@@ -636,6 +636,57 @@ ORACLE = {
         "second_based",
         "e_reports",
     ),
+    "src_rejects": """
+        SELECT CASE o_orderkey % 7 WHEN 0 THEN left(line, length(line) - 5)
+                 WHEN 1 THEN CAST(o_orderkey AS VARCHAR) WHEN 2 THEN line || ' x'
+                 WHEN 3 THEN '[' || line || ']' ELSE line END AS record,
+          CAST(o_orderkey % 7 > 3 AS INT) AS good
+        FROM (SELECT o_orderkey, '{"order_seq":' || o_orderkey || ',"AttachmentName":" ' ||
+                CAST(o_orderkey - CAST(o_orderkey % 10 = 9 AS INT) AS VARCHAR) ||
+                CASE WHEN o_orderkey % 17 = 0 THEN '.xml' WHEN o_orderkey % 19 = 0 THEN '.PDF'
+                     ELSE '.pdf' END || '"}' AS line
+              FROM orders)""",
+    "response_rejects": """
+        WITH e AS (SELECT event_id, '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}'
+                     AS record FROM events)
+        SELECT event_id AS reply_id, CAST(1 AS BIGINT) AS position, 'no_object' AS reason, '7' AS text
+        FROM e WHERE event_id % 6 = 0
+        UNION ALL
+        SELECT event_id, 2, 'no_object', '"' || event_id || '"' FROM e WHERE event_id % 6 = 0
+        UNION ALL
+        SELECT event_id, NULL, 'unparseable', '[' || record || '] tail' FROM e WHERE event_id % 6 = 1
+        UNION ALL
+        SELECT event_id, NULL, 'unparseable', '[' || record || ',{"event_id"' FROM e WHERE event_id % 6 = 2
+        UNION ALL
+        SELECT event_id, NULL, 'unparseable', replace('[' || record || ']', '"', chr(39)) FROM e
+        WHERE event_id % 6 = 3
+        UNION ALL
+        SELECT event_id, NULL, 'unexpected_object', record FROM e WHERE event_id % 6 = 5""",
+    "response_mixed": """
+        SELECT event_id AS reply_id, CAST(p AS BIGINT) AS position, event_id, event_type
+        FROM events, (VALUES (0), (1)) t(p)
+        WHERE event_id % 6 = 4 OR (event_id % 6 = 0 AND p = 0)""",
+    "stored_announcements": _sql(
+        """SELECT news_id, "SCRIP_CD", company, selected, "Tradedate", "HeadLine", category,
+             o_orderstatus AS status FROM clean""",
+        "clean",
+    ),
+    "run_metrics": _sql(
+        """SELECT (SELECT count(*) FROM a) AS offered,
+             (SELECT count(*) FROM a) - (SELECT count(*) FROM pdf) AS no_attachment,
+             (SELECT count(*) FROM pdf) - (SELECT count(*) FROM listed) AS unknown_company,
+             (SELECT count(*) FROM listed WHERE "Tradedate" = 'n/a') AS bad_date,
+             (SELECT count(*) - count(DISTINCT news_id) FROM listed) AS repeated,
+             (SELECT count(DISTINCT news_id) FROM listed
+              WHERE news_id IN (SELECT news_id FROM finished)) AS stored_before""",
+        "listed",
+        "finished",
+    ),
+    "archived_run": _sql(
+        """SELECT DISTINCT news_id, 'normal' AS data_type FROM pdf
+           UNION ALL SELECT news_id, 'filter' FROM clean""",
+        "clean",
+    ),
     "batch_rerun": _sql(
         """SELECT news_id, company, category, "Tradedate", 'run' AS batch FROM e_clean""", "e_clean"
     ),
@@ -669,5 +720,6 @@ ORACLE = {
         "s_numbered",
     ),
 }
+ORACLE["src_array_layout"] = ORACLE["src_announcements"]
 ORACLE["rerun_after_later_batch"] = ORACLE["ingest_batches"]
 ORACLE["new_announcements_narrow"] = ORACLE["new_announcements"]

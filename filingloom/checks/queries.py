@@ -94,7 +94,51 @@ def src_announcements(spark, sf):
     path = new_folder(spark, "landed")
     raw = fx.announcements(spark, sf).withColumnRenamed("ingest_seq", "order_seq")
     raw.write.json(path)
-    return landed.read_announcements(spark, path, extra=ORDER_SEQ).drop("ingest_seq")
+    return landed.read_announcements(spark, path, extra=ORDER_SEQ).drop("ingest_seq", "record")
+
+
+def src_array_layout(spark, sf):
+    """JSON arrays, forty files."""
+    path = new_folder(spark, "arrays")
+    rows = fx.announcements(spark, sf).withColumnRenamed("ingest_seq", "order_seq")
+    arrays = rows.groupBy((F.col("order_seq") % 40).alias("part")).agg(
+        F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")
+    )
+    arrays.write.partitionBy("part").text(path)
+    found = landed.read_announcements(spark, f"{path}/*", "array", extra=ORDER_SEQ)
+    return found.drop("ingest_seq", "record")
+
+
+def src_rejects(spark, sf):
+    """Lines of which some are cut, some no object and some followed by more text."""
+    path = new_folder(spark, "broken")
+    rows = fx.announcements(spark, sf).withColumnRenamed("ingest_seq", "order_seq")
+    line, k = F.to_json(F.struct("order_seq", "AttachmentName")), F.col("order_seq")
+    broken = (
+        F.when(k % 7 == 0, F.left(line, F.length(line) - 5))
+        .when(k % 7 == 1, k.cast("string"))
+        .when(k % 7 == 2, F.concat(line, F.lit(" x")))
+        .when(k % 7 == 3, F.concat(F.lit("["), line, F.lit("]")))
+        .otherwise(line)
+    )
+    rows.select(broken.alias("value")).write.text(path)
+    good = landed.read_announcements(spark, path, extra=ORDER_SEQ)
+    rejects = landed.read_rejects(spark, path)
+    return rejects.select("record", F.lit(0).alias("good")).unionByName(
+        good.select("record", F.lit(1).alias("good"))
+    )
+
+
+def response_rejects(spark, sf):
+    """Bodies and elements of replies that hold no record."""
+    mixed = landed.triage(fx.mixed_responses(spark, sf))
+    return landed.rejected_records(mixed).select("reply_id", "position", "reason", "text")
+
+
+def response_mixed(spark, sf):
+    """Records of the same replies."""
+    found = landed.records(landed.triage(fx.mixed_responses(spark, sf)), fx.EVENT_RECORD)
+    return found.select("reply_id", "position", "event_id", "event_type")
 
 
 def response_triage(spark, sf):
@@ -568,6 +612,37 @@ def recheck_reports(spark, sf):
     )
 
 
+def stored_announcements(spark, sf):
+    """Land, ingest and read back, with a field that no schema names."""
+    path = new_folder(spark, "stored")
+    raw = fx.announcements(spark, sf).withColumnRenamed("ingest_seq", "order_seq")
+    raw.write.json(f"{path}/landed")
+    store = Store(f"{path}/store", period="year")
+    companies = master.company_master(fx.companies(spark, sf))
+    rows = landed.read_announcements(spark, f"{path}/landed", extra=ORDER_SEQ)
+    run_batch(rows, companies, store, "run", as_of=fx.AS_OF, order_by=["order_seq"])
+    status = F.get_json_object("record", "$.o_orderstatus").alias("status")
+    return flat_symbols(store.announcements(spark)).select(
+        "news_id", "SCRIP_CD", "company", "selected", "Tradedate", "HeadLine", "category", status
+    )
+
+
+def run_metrics_query(spark, sf):
+    companies = master.company_master(fx.companies(spark, sf))
+    return counts.run_metrics(fx.announcements(spark, sf), companies, fx.stored_ids(spark, sf))
+
+
+def archived_run(spark, sf):
+    """A run that archives its raw and its stored rows."""
+    path = new_folder(spark, "archived")
+    companies = master.company_master(fx.companies(spark, sf))
+    store = Store(f"{path}/store", period="year")
+    raw = fx.announcements(spark, sf)
+    run_batch(raw, companies, store, "run", as_of=fx.AS_OF, archive=f"{path}/archive")
+    lines = spark.read.schema("news_id string, data_type string").json(f"{path}/archive/records")
+    return lines.select("news_id", "data_type")
+
+
 def batch_rerun(spark, sf):
     """One batch with all orders, run again with the finished ones; another, run again with none."""
     store = Store(new_folder(spark, "rerun"), period="year")
@@ -733,6 +808,13 @@ QUERIES = {
     "recheck_reports": recheck_reports,
     "stream_ingest": stream_ingest,
     "batch_rerun": batch_rerun,
+    "src_array_layout": src_array_layout,
+    "src_rejects": src_rejects,
+    "response_rejects": response_rejects,
+    "response_mixed": response_mixed,
+    "stored_announcements": stored_announcements,
+    "run_metrics": run_metrics_query,
+    "archived_run": archived_run,
     "rerun_after_later_batch": rerun_after_later_batch,
     "numbers_after_removal": numbers_after_removal,
     "recheck_all_history": recheck_all_history,

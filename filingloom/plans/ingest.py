@@ -7,12 +7,14 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from filingloom.functions.dates import period_start, timestamp
-from filingloom.operators.announcements import clean_announcements
+from filingloom.operators.announcements import clean_announcements, with_attachment
+from filingloom.operators.counts import run_metrics
 from filingloom.operators.numbering import MAX_GROUP_ROWS
 from filingloom.operators.reports import build_reports
 from filingloom.operators.shape import optional, with_default
 from filingloom.rules import CATEGORY_RULES, DEFAULT_CATEGORY, REPORT_CODES, Rule
 from filingloom.schemas import ANNOUNCEMENTS, REPORTS
+from filingloom.sinks.archive import archive_jsonl
 from filingloom.sinks.tables import other_batches, write_batch
 from filingloom.sinks.workspace import scratch
 from filingloom.sources.stored import (
@@ -164,9 +166,16 @@ def run_batch(
     dedup: str = "before_parse",
     preserve_case: bool = False,
     narrow_first: bool = False,
+    metrics: bool = False,
+    archive: str | None = None,
+    fetch_type: str = "hist",
 ) -> dict[str, int]:
     """Ingest one batch; returns the rows written to each table.
 
+    ``metrics`` adds the counts of ``run_metrics``, which reads the raw rows once more. ``archive``
+    names a folder for JSON lines of the raw rows with an attachment and of the stored ones, under
+    ``fetch_type``; raw rows need their id first, so rows without an attachment are not archived.
+
     Announcements are written first and reports are built from what was written, so the cleaning is
     computed once and a batch that runs again under its name rebuilds exactly its own output.
     ``since`` bounds the stored ids a new announcement is compared with; ``narrow_first`` suits a
@@ -174,6 +183,9 @@ def run_batch(
     """
     spark = raw.sparkSession
     earlier = other_batches(store.announcements(spark, since), batch)
+    counts = {}
+    if metrics:
+        counts = run_metrics(raw, master, existing_news_ids(earlier)).first().asDict()
     clean = clean_announcements(
         raw,
         master,
@@ -189,4 +201,12 @@ def run_batch(
     n_reports = store_reports(
         written, store, batch, as_of, codes=codes, narrow_first=narrow_first
     )
-    return {"announcements": n_announcements, "reports": n_reports}
+    if archive is not None:
+        named = with_attachment(raw)
+        counts["archived_raw"] = archive_jsonl(
+            named, archive, batch, "normal", fetch_type, order_by=tuple(order_by)
+        )
+        counts["archived"] = archive_jsonl(
+            written.drop("batch"), archive, batch, "filter", fetch_type, order_by=("dt",)
+        )
+    return {"announcements": n_announcements, "reports": n_reports, **counts}

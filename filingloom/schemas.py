@@ -30,10 +30,12 @@ COMPANY_MASTER = _struct(
     load_seq=T.LongType(),
 )
 
-# Stored announcements: the raw fields, what enrichment added, and two partition columns.
+# Stored announcements: the raw fields, the whole landed record as text, what enrichment added, and
+# two partition columns.
 ANNOUNCEMENTS = T.StructType(
     RAW_ANNOUNCEMENT.fields
     + _struct(
+        record=T.StringType(),
         news_id=T.StringType(),
         company=T.StringType(),
         symbolmap=SYMBOLMAP,

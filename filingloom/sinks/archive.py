@@ -32,11 +32,6 @@ def archive_jsonl(
     data_type, fetch_type = target if target in TARGETS else FALLBACK_TARGET
     spark = df.sparkSession
 
-    def labelled(rows: DataFrame) -> DataFrame:
-        return rows.withColumns(
-            {"data_type": F.lit(data_type), "fetch_type": F.lit(fetch_type)}
-        )
-
     fields = [df.schema[key]] + [
         T.StructField(name, T.StringType()) for name in ("data_type", "fetch_type", "batch")
     ]
@@ -49,9 +44,10 @@ def archive_jsonl(
         key,
         unique=True,
     )
-    columns = ["data_type", "fetch_type"]
-    # The new records are worked out once; both writes read that copy.
-    with scratch(labelled(rows), "archive") as own:
-        written = write_batch(own, f"{path}/records", batch, columns, format="json")
-        write_batch(own.select(key, *columns), f"{path}/index", batch, columns)
+    # A target is a folder of its own, so a batch replaces its lines in that target alone. The new
+    # records are worked out once; both writes read that copy.
+    folder = f"data_type={data_type}/fetch_type={fetch_type}"
+    with scratch(rows, "archive") as own:
+        written = write_batch(own, f"{path}/records/{folder}", batch, (), format="json")
+        write_batch(own.select(key), f"{path}/index/{folder}", batch, ())
     return written

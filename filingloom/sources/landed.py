@@ -2,7 +2,9 @@
 
 Two layouts of announcements are read: ``lines`` (one JSON object per line, which Spark splits
 freely) and ``array`` (one JSON array per file, as a single reply is; such a file is one task, so
-land big days as lines). Schemas are explicit: nothing is inferred and nothing is read twice.
+land big days as lines). Schemas are explicit and nothing is inferred. Nothing is lost unseen: what
+is no record is listed by ``read_rejects`` and ``rejected_records``, and a record keeps its whole
+JSON text in ``record``, with the fields no schema names.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -13,10 +15,27 @@ from filingloom.schemas import RAW_ANNOUNCEMENT
 NO_RECORD_MESSAGE = "No Record found"
 
 
-def _options(layout: str) -> dict[str, str]:
-    if layout not in ("lines", "array"):
-        raise ValueError(f"layout must be lines or array, not {layout!r}")
-    return {"multiLine": str(layout == "array").lower()}
+# JSON as the standard has it.
+_JSON = {"allowSingleQuotes": "false"}
+
+
+def strict_json(text: Column) -> Column:
+    """Whether a text is JSON from its first to its last sign.
+
+    Parsers stop after the first value; inside a list and inside an object nothing may follow it.
+    """
+    inside_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    inside_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
+    return inside_list.isNotNull() & inside_object.isNotNull()
+
+
+def _elements(text: Column) -> Column:
+    """The elements of a JSON list; NULL if the text is none."""
+    return F.from_json(text, T.ArrayType(T.VariantType()), _JSON)
+
+
+def _is_object(element: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(element).startswith("OBJECT"), F.lit(False))
 
 
 def _with_file(df: DataFrame) -> DataFrame:
@@ -41,16 +60,54 @@ def with_arrival_order(df: DataFrame) -> DataFrame:
     return df.withColumn("ingest_seq", order).drop("ingest_file")
 
 
+def _pieces(files: DataFrame, layout: str) -> DataFrame:
+    """``record``, the text of each landed record or of what should have been one, and ``good``."""
+    text = F.col("value")
+    rows = _with_file(files).where(text.rlike(r"\S"))
+    if layout == "lines":
+        good = strict_json(text) & text.rlike(r"^\s*\{")
+        return rows.select("ingest_file", text.alias("record"), good.alias("good"))
+    whole = F.when(
+        strict_json(text), F.coalesce(_elements(text), F.array(F.try_parse_json(text)))
+    ).otherwise(F.array(F.lit(None).cast(T.VariantType())))
+    each = rows.select("ingest_file", "value", F.explode(whole).alias("_element"))
+    return each.select(
+        "ingest_file",
+        F.coalesce(F.to_json("_element"), text).alias("record"),
+        _is_object(F.col("_element")).alias("good"),
+    )
+
+
+def _read(reader, path: str | list[str], layout: str) -> DataFrame:
+    if layout not in ("lines", "array"):
+        raise ValueError(f"layout must be lines or array, not {layout!r}")
+    return _pieces(reader.option("wholetext", layout == "array").text(path), layout)
+
+
+def _typed(pieces: DataFrame, extra: T.StructType | None) -> DataFrame:
+    schema = T.StructType(RAW_ANNOUNCEMENT.fields + (extra.fields if extra else []))
+    parsed = pieces.where("good").withColumn("_typed", F.from_json("record", schema, _JSON))
+    return parsed.select("_typed.*", "record", "ingest_file")
+
+
 def read_announcements(
     spark: SparkSession,
     path: str | list[str],
     layout: str = "lines",
     extra: T.StructType | None = None,
 ) -> DataFrame:
-    """Raw announcements with ``ingest_seq``. Fields named in ``extra`` are carried along."""
-    schema = T.StructType(RAW_ANNOUNCEMENT.fields + (extra.fields if extra else []))
-    rows = spark.read.schema(schema).options(**_options(layout)).json(path)
-    return with_arrival_order(_with_file(rows))
+    """Raw announcements with ``record`` and ``ingest_seq``; fields named in ``extra`` get columns."""
+    return with_arrival_order(_typed(_read(spark.read, path, layout), extra))
+
+
+def read_rejects(spark: SparkSession, path: str | list[str], layout: str = "lines") -> DataFrame:
+    """What landed and is no record: ``file`` and ``record``, its text.
+
+    A line that is no JSON object, an element of a list that is none, or a whole file whose JSON is
+    broken. Together with ``read_announcements`` these are all landed records.
+    """
+    pieces = _read(spark.read, path, layout).where(~F.col("good"))
+    return pieces.select(F.col("ingest_file.file").alias("file"), "record")
 
 
 def stream_announcements(
@@ -61,45 +118,69 @@ def stream_announcements(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """The same as a stream of files, oldest first, with ``ingest_file``."""
-    schema = T.StructType(RAW_ANNOUNCEMENT.fields + (extra.fields if extra else []))
-    reader = spark.readStream.schema(schema).options(**_options(layout))
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _with_file(reader.json(path))
+    return _typed(_read(reader, path, layout), extra)
 
 
 def triage(responses: DataFrame, status: str = "status", body: str = "body") -> DataFrame:
     """Add ``status_class`` to landed replies.
 
     ``ok`` (a list), ``no_record``, ``http_error``, ``unparseable``, ``unexpected_object`` or
-    ``unexpected_type``. Only ``ok`` replies hold records. Lists and objects are told by functions
-    that read through the text without building it, so their size does not matter.
+    ``unexpected_type``. Only ``ok`` replies hold records. A body must be JSON to its last sign;
+    numbers that JSON does not know, such as NaN, make it unparseable.
     """
     text = F.col(body)
+    found = F.try_parse_json(text)
+    kind = F.when(strict_json(text), F.schema_of_variant(found))
+    message = F.try_variant_get(found, "$.Error_Msg", "string")
     return responses.withColumn(
         "status_class",
         F.when(F.coalesce(F.col(status) != 200, F.lit(True)), "http_error")
-        .when(F.json_array_length(text).isNotNull(), "ok")
-        .when(F.get_json_object(text, "$.Error_Msg") == NO_RECORD_MESSAGE, "no_record")
-        .when(F.json_object_keys(text).isNotNull(), "unexpected_object")
-        .when(F.try_parse_json(text).isNotNull(), "unexpected_type")
-        .otherwise("unparseable"),
+        .when(kind.isNull(), "unparseable")
+        .when(kind.startswith("ARRAY"), "ok")
+        .when(message == NO_RECORD_MESSAGE, "no_record")
+        .when(kind.startswith("OBJECT"), "unexpected_object")
+        .otherwise("unexpected_type"),
     )
 
 
+def _exploded(triaged: DataFrame, body: str) -> tuple[list[str], DataFrame]:
+    others = [name for name in triaged.columns if name not in (body, "status_class")]
+    elements = F.posexplode(_elements(F.col(body))).alias("position", "_element")
+    rows = triaged.where("status_class = 'ok'").select(*others, elements)
+    return others, rows.withColumn("position", F.col("position").cast("bigint"))
+
+
 def records(
     triaged: DataFrame, schema: T.StructType = RAW_ANNOUNCEMENT, body: str = "body"
 ) -> DataFrame:
-    """One row per record of the ``ok`` replies, with its ``position`` in the reply."""
-    parsed = F.from_json(F.col(body), T.ArrayType(schema))
-    others = [name for name in triaged.columns if name not in (body, "status_class")]
-    return (
-        triaged.where("status_class = 'ok'")
-        .select(*others, F.posexplode(parsed).alias("position", "_record"))
-        .select(*others, F.col("position").cast("bigint").alias("position"), "_record.*")
+    """One row per record of the ``ok`` replies, with its ``position`` in the reply.
+
+    Elements that are no objects are left to ``rejected_records``.
+    """
+    others, rows = _exploded(triaged, body)
+    parsed = F.from_json(F.to_json("_element"), schema, _JSON).alias("_record")
+    good = rows.where(_is_object(F.col("_element"))).select(*others, "position", parsed)
+    return good.select(*others, "position", "_record.*")
+
+
+def rejected_records(triaged: DataFrame, body: str = "body") -> DataFrame:
+    """What the replies hold that is no record, with ``position`` (NULL: the whole body), reason, text."""
+    others, rows = _exploded(triaged, body)
+    elements = rows.where(~_is_object(F.col("_element"))).select(
+        *others, "position", F.lit("no_object").alias("reason"), F.to_json("_element").alias("text")
+    )
+    bodies = triaged.where("status_class not in ('ok', 'no_record', 'http_error')").select(
+        *others,
+        F.lit(None).cast("bigint").alias("position"),
+        F.col("status_class").alias("reason"),
+        F.col(body).alias("text"),
     )
+    return elements.unionByName(bodies)
 
 
 def record_count(body: Column) -> Column:
-    """Records in a reply; 0 unless it is a list."""
-    return F.coalesce(F.json_array_length(body), F.lit(0)).cast("bigint")
+    """Elements of a reply; 0 unless it is a list."""
+    return F.when(strict_json(body), F.coalesce(F.size(_elements(body)), F.lit(0))).otherwise(0).cast("bigint")

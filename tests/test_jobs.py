@@ -1,5 +1,6 @@
 """Sinks, batches, recheck and duplicate removal on stored tables."""
 
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,11 +8,11 @@ from pyspark.sql import functions as F
 
 from filingloom.checks import fixtures as fx
 from filingloom.operators.master import company_master
-from filingloom.plans import ingest
+from filingloom.plans import duplicates, ingest
 from filingloom.plans.duplicates import remove_duplicates
 from filingloom.plans.ingest import Store, run_batch
 from filingloom.plans.recheck import recheck
-from filingloom.schemas import REPORTS
+from filingloom.schemas import COMPANY_MASTER, REPORTS
 from filingloom.sinks.archive import archive_jsonl
 from filingloom.sinks.tables import append_new_only, write_batch
 from filingloom.sources.stored import read_table
@@ -205,3 +206,135 @@ def test_remove_duplicates_in_place(spark, tmp_path):
     files = rows_of(tmp_path / "r")
     assert remove_duplicates(spark, path, REPORTS, parts) == 0
     assert rows_of(tmp_path / "r") == files
+
+
+# --- reruns -----------------------------------------------------------------------------------
+
+
+def case_raw(spark, *rows):
+    """Raw credit ratings of company 1: (news id, trade date)."""
+    schema = "AttachmentName string, SCRIP_CD string, Tradedate string, Descriptor string, HeadLine string, NewsBody string, ingest_seq int"
+    data = [(f"{n}.pdf", "1", at, None, "Credit Rating", n, i) for i, (n, at) in enumerate(rows)]
+    return spark.createDataFrame(data, schema)
+
+
+def case_master(spark):
+    row = ("1", "N1", "Company 1", "INE1", 1.0, 1)
+    return company_master(spark.createDataFrame([row], COMPANY_MASTER))
+
+
+AUG1, AUG2, NOV1 = "01/08/2025 10:00:00", "02/08/2025 10:00:00", "01/11/2025 10:00:00"
+
+
+def test_rerun_replaces_all_it_wrote(spark, tmp_path):
+    store, master = Store(str(tmp_path)), case_master(spark)
+
+    def run(*rows):
+        counts = run_batch(case_raw(spark, *rows), master, store, "b1", as_of=fx.AS_OF)
+        stored = sorted((r.news_id, r.Tradedate) for r in store.announcements(spark).collect())
+        made = {r.news_id: r.report_id for r in store.reports(spark).collect()}
+        return counts["reports"], stored, made
+
+    run(("a", AUG1), ("b", AUG2))
+    assert run(("a", AUG1)) == (1, [("a", "2025-08-01 10:00:00")], {"a": "INE1_CR_FY2025Q1_1"})
+    assert run(("a", AUG2))[1:] == ([("a", "2025-08-02 10:00:00")], {"a": "INE1_CR_FY2025Q1_1"})
+    moved = run(("a", NOV1), ("c", AUG1))
+    assert moved[1] == [("a", "2025-11-01 10:00:00"), ("c", "2025-08-01 10:00:00")]
+    assert set(moved[2].values()) == {"INE1_CR_FY2025Q2_1", "INE1_CR_FY2025Q1_2"}
+    assert run() == (0, [], {})
+
+
+def test_numbers_stay_after_later_batches(spark, tmp_path):
+    store, master = Store(str(tmp_path)), case_master(spark)
+    history = case_raw(spark, *[(f"h{i}", AUG1) for i in range(5)])
+    live = case_raw(spark, *[(f"l{i}", AUG2) for i in range(3)])
+    run_batch(history, master, store, "history", as_of=fx.AS_OF)
+    run_batch(live, master, store, "live", as_of=fx.AS_OF)
+    before = reports_of(store, spark)
+    assert sorted(n for _, n, _ in before.values()) == list(range(1, 9))
+    run_batch(history, master, store, "history", as_of=fx.AS_OF)
+    assert reports_of(store, spark) == before
+    more = case_raw(spark, *[(f"h{i}", AUG1) for i in range(6)])
+    run_batch(more, master, store, "history", as_of=fx.AS_OF)
+    after = reports_of(store, spark)
+    assert {k: after[k] for k in before} == before and after["h5"][1] == 9
+
+
+def test_repeated_report_ids_are_an_error(spark, tmp_path):
+    store, master = Store(str(tmp_path)), case_master(spark)
+    run_batch(case_raw(spark, ("a", AUG1)), master, store, "b1", as_of=fx.AS_OF)
+    rows = store.reports(spark).where("batch = 'b1'").drop("batch")
+    write_batch(rows.withColumn("news_id", F.lit("x")), store.reports_path, "b2", Store.REPORT_PARTITIONS)
+    with pytest.raises(ValueError, match="stored twice"):
+        run_batch(case_raw(spark, ("c", AUG2)), master, store, "b3", as_of=fx.AS_OF)
+
+
+def test_batch_names_are_checked(spark, tmp_path):
+    with pytest.raises(ValueError, match="named by"):
+        write_batch(spark.range(1), str(tmp_path / "t"), "a/*", ())
+
+
+def test_windows_list_their_own_folders_only(spark, tmp_path):
+    store, master = Store(str(tmp_path)), case_master(spark)
+    run_batch(case_raw(spark, ("a", AUG1), ("b", AUG2), ("c", NOV1)), master, store, "b1", as_of=fx.AS_OF)
+    files = store.announcements(spark, "2025-08-02 00:00:00").inputFiles()
+    assert len(files) == 2 and not any("2025-08-01" in f for f in files)
+    quarter = next(r.quarter_start for r in store.reports(spark).where("news_id = 'c'").collect())
+    files = store.reports(spark, [quarter]).inputFiles()
+    assert len(files) == 1 and quarter.isoformat() in files[0]
+
+
+def test_metrics_and_archive_of_a_run(spark, tmp_path):
+    store, master = Store(str(tmp_path / "s")), case_master(spark)
+    raw = case_raw(spark, ("a", AUG1), ("a", AUG2), ("b", "n/a"))
+    counts = run_batch(
+        raw, master, store, "b1", as_of=fx.AS_OF, metrics=True, archive=str(tmp_path / "archive")
+    )
+    assert counts == {
+        "announcements": 1, "reports": 1, "offered": 3, "no_attachment": 0, "unknown_company": 0,
+        "bad_date": 1, "repeated": 1, "stored_before": 0, "archived_raw": 2, "archived": 1,
+    }
+
+
+# --- duplicates ---------------------------------------------------------------------------------
+
+ROWS = "news_id string, n int, part string"
+
+
+@pytest.mark.parametrize("parts", [["part"], []])
+def test_duplicates_go_and_all_else_stays(spark, tmp_path, parts):
+    path = str(tmp_path / "t")
+    rows = [("n1", 1, None), ("n1", 2, None), ("n2", 3, None), ("n3", 4, "x"), ("n3", 5, "y"), (None, 6, "y")]
+    df = spark.createDataFrame(rows, ROWS)
+    df.write.partitionBy(*parts).parquet(path)
+    assert remove_duplicates(spark, path, df.schema, parts, order_by=["n"]) == 2
+    left = sorted(r.n for r in read_table(spark, path, df.schema).collect())
+    assert left == [1, 3, 4, 6]
+    assert remove_duplicates(spark, path, df.schema, parts, order_by=["n"]) == 0
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_failed_removal_is_finished_later(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", i, "x") for i in range(3)] + [("b", 9, "x"), ("c", 7, "y")], ROWS)
+    df.write.partitionBy("part").parquet(path)
+
+    def lose_a_folder(*args):
+        shutil.rmtree(f"{path}/part=x")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(duplicates, "_publish", lose_a_folder)
+        with pytest.raises(RuntimeError):
+            remove_duplicates(spark, path, df.schema, ["part"], order_by=["n"])
+    assert remove_duplicates(spark, path, df.schema, ["part"], order_by=["n"]) == 2
+    assert sorted(r.n for r in read_table(spark, path, df.schema).collect()) == [0, 7, 9]
+
+
+def test_default_order_takes_the_lower_number(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "news_id string, document_date string, count long, report_id string"
+    df = spark.createDataFrame([("a", "d", 10, "X_10"), ("a", "d", 2, "X_2")], schema)
+    df.write.parquet(path)
+    remove_duplicates(spark, path, df.schema)
+    assert read_table(spark, path, df.schema).first().report_id == "X_2"

@@ -24,7 +24,7 @@ def test_both_layouts(spark, tmp_path, layout):
     (tmp_path / "20250901.json").write_text(text)
     extra = T.StructType([T.StructField("MORE", T.StringType())])
     out = landed.read_announcements(spark, str(tmp_path), layout, extra).orderBy("AttachmentName")
-    assert out.columns == [*RAW_ANNOUNCEMENT.fieldNames(), "MORE", "ingest_seq"]
+    assert out.columns == [*RAW_ANNOUNCEMENT.fieldNames(), "MORE", "record", "ingest_seq"]
     rows = out.collect()
     assert [(r.AttachmentName, r.SCRIP_CD, r.HeadLine, r.MORE) for r in rows] == [
         (" a.pdf", "500325", None, "m1"),
