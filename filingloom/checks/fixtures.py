@@ -4,9 +4,12 @@ Every table is a projection of a whole shared table; stored tables are what an e
 filings with a given order status would have left behind.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from filingloom.functions.dates import render
+from filingloom.sinks.workspace import new_folder, path_exists, staged
 
 # As-of time of every registered query that needs one.
 AS_OF = "2001-07-31 12:00:00"
@@ -19,6 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEPT: dict[tuple[str, str, str], str] = {}
+
+
+def kept(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """Stored state that several queries start from: made once per session and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT or not path_exists(spark, _KEPT[key]):
+        path = new_folder(spark, name)
+        staged(build(), name, path)
+        _KEPT[key] = path
+    return spark.read.parquet(_KEPT[key])
+
+
 def filed_at() -> Column:
     """Order date plus a time of day."""
     seconds = (F.col("o_orderkey") * 37) % 86400

@@ -616,6 +616,18 @@ ORACLE = {
         SELECT o_orderkey, o_orderpriority,
           row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS "count"
         FROM orders""",
+    "report_numbering_spread_started": """
+        SELECT o_orderkey, o_orderpriority,
+          (SELECT count(*) FROM orders f WHERE f.o_orderstatus = 'F'
+             AND f.o_orderpriority = o.o_orderpriority)
+            + row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS "count"
+        FROM orders o WHERE o_orderstatus <> 'F'""",
+    "compact_store": _sql(
+        """SELECT news_id, report_id, category AS report_type, n AS "count" FROM e_reports
+           UNION ALL SELECT news_id, report_id, category, n FROM second""",
+        "e_reports",
+        "second",
+    ),
     "reports_full": _sql(f"SELECT {_REPORT_COLUMNS} FROM numbered", "numbered"),
     "reports_continued": _sql(f"SELECT {_REPORT_COLUMNS} FROM fresh", "fresh"),
     "ingest_batches": _sql(

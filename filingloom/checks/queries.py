@@ -18,6 +18,7 @@ from filingloom.functions.text import strip_strings, without_last_part
 from filingloom.operators import announcements as ann
 from filingloom.operators import counts, keys, master, numbering, reports, shape
 from filingloom.plans.backfill import backfill_plan
+from filingloom.plans.compact import compact
 from filingloom.plans.duplicates import remove_duplicates
 from filingloom.plans.ingest import Store, run_batch, store_announcements
 from filingloom.plans.recheck import recheck
@@ -67,20 +68,22 @@ def earlier_announcements(spark: SparkSession, sf: str) -> DataFrame:
 
 def earlier_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Reports of that earlier run."""
-    rows = staged(earlier_announcements(spark, sf), "announcements")
-    built = reports.build_reports(rows, stored.empty_table(spark, REPORTS), fx.AS_OF)
-    return staged(built, "reports")
+    return fx.kept(spark, sf, "earlier", lambda: _reports_of(spark, earlier_announcements(spark, sf)))
 
 
 def all_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Stored reports of all orders."""
-    rows = staged(clean(spark, sf), "announcements")
-    built = reports.build_reports(rows, stored.empty_table(spark, REPORTS), fx.AS_OF)
-    return staged(built, "reports")
+    return fx.kept(spark, sf, "all", lambda: _reports_of(spark, clean(spark, sf)))
+
+
+def _reports_of(spark: SparkSession, announcements: DataFrame) -> DataFrame:
+    rows = staged(announcements, "announcements")
+    return reports.build_reports(rows, stored.empty_table(spark, REPORTS), fx.AS_OF)
 
 
 def _duplicated(spark, sf):
-    return staged(fx.duplicated(all_reports(spark, sf), fx.urgent_ids(spark, sf)), "duplicated")
+    ids = fx.urgent_ids(spark, sf)
+    return fx.kept(spark, sf, "copies", lambda: fx.duplicated(all_reports(spark, sf), ids))
 
 
 def report_columns(df: DataFrame) -> DataFrame:
@@ -569,6 +572,26 @@ def report_numbering_spread(spark, sf):
     ).select("o_orderkey", "o_orderpriority", "count")
 
 
+def report_numbering_spread_started(spark, sf):
+    """The same for the unfinished orders, after the numbers the finished ones have taken."""
+    rows = fx.table(spark, sf, "orders")
+    taken = counts.counts_by(rows.where("o_orderstatus = 'F'"), "o_orderpriority")
+    return numbering.number_within(
+        rows.where("o_orderstatus <> 'F'"),
+        "o_orderpriority",
+        ["o_orderdate", "o_orderkey"],
+        taken,
+        max_group_rows=100,
+    ).select("o_orderkey", "o_orderpriority", "count")
+
+
+def compact_store(spark, sf):
+    """Two batches of all years merged into one."""
+    store = _batches(spark, sf, "compact")
+    compact(spark, store, "merged", ["run-1", "run-2"])
+    return store.reports(spark).select("news_id", "report_id", "report_type", "count")
+
+
 def reports_full(spark, sf):
     """Flagship: all announcements to numbered reports, nothing stored before."""
     rows = staged(clean(spark, sf), "announcements")
@@ -808,6 +831,8 @@ QUERIES = {
     "recheck_reports": recheck_reports,
     "stream_ingest": stream_ingest,
     "batch_rerun": batch_rerun,
+    "report_numbering_spread_started": report_numbering_spread_started,
+    "compact_store": compact_store,
     "src_array_layout": src_array_layout,
     "src_rejects": src_rejects,
     "response_rejects": response_rejects,

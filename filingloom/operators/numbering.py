@@ -39,6 +39,8 @@ def number_within(
     if not n_groups:
         return _number_by_window(df, group, order_by, start, into)
 
+    # From here on the rows are read twice: they are worked out once more and kept.
+    df = checkpointed(df)
     large = checkpointed(oversized.select(group))
     large = broadcast_up_to(large, n_groups)
     parts = 2 * -(-n_rows // max_group_rows)
@@ -69,24 +71,33 @@ def _number_by_window(df, group, order_by, start, into) -> DataFrame:
 def _number_spread(df, group, order_by, start, into, parts: int) -> DataFrame:
     """Number groups too large for one task.
 
-    Rows are range-partitioned by group and order, so each part holds a contiguous run of a group.
-    A row's number is the rows of its group in earlier parts plus its position in its own part. The
-    range bounds are sampled, so the placement is fixed by a checkpoint before it is used twice.
+    Rows are range-partitioned by group and order and sorted there, so each part holds a contiguous
+    run of a group, and row ids grow by one along it. A row's number is the rows of its group in
+    earlier parts plus its place in the run, which is its id less the first id of the run. The range
+    bounds are sampled, so placement and ids are fixed by a checkpoint; rows do not move again, for
+    the runs are no more than the parts and groups together.
     """
     placed = checkpointed(
-        df.repartitionByRange(parts, group, *order_by).withColumn("_part", F.spark_partition_id())
+        df.repartitionByRange(parts, group, *order_by)
+        .sortWithinPartitions(group, *order_by)
+        .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    )
+    runs = placed.groupBy(group, "_part").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first")
     )
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
     run_start = (
-        _with_start(placed.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_rows")), start, group)
+        _with_start(runs, start, group)
         .withColumn("_before", F.col("_start") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .select(group, "_part", "_before")
+        .select(group, "_part", "_before", "_first")
     )
-    position = F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order_by))
+    run_start = checkpointed(run_start)
+    run_start = broadcast_up_to(run_start, run_start.count())
     return (
         placed.join(run_start, [group, "_part"])
-        .withColumn(into, F.col("_before") + position.cast("bigint"))
-        .drop("_part", "_before")
+        .withColumn(into, F.col("_before") + F.col("_row") - F.col("_first") + F.lit(1))
+        .drop("_part", "_before", "_first", "_row")
+        .select(*df.columns, into)
     )

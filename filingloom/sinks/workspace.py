@@ -1,5 +1,6 @@
 """Working storage for intermediate results that must outlive executors."""
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,11 +13,15 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only where one process is the whole cluster may it be unset: a temporary folder is taken then.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not context.getCheckpointDir():
-        if not configured and not context.master.startswith("local"):
+        one_process = re.fullmatch(r"local(\[[^\]]*\])?", context.master)
+        if not configured and not one_process:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="filingloom-"))
     return configured or context.getCheckpointDir()

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from filingloom.checks import fixtures as fx
 from filingloom.operators.master import company_master
-from filingloom.plans import duplicates, ingest
+from filingloom.plans import compact as compacting, duplicates, ingest
+from filingloom.plans.compact import compact
 from filingloom.plans.duplicates import remove_duplicates
 from filingloom.plans.ingest import Store, run_batch
 from filingloom.plans.recheck import recheck
@@ -338,3 +339,37 @@ def test_default_order_takes_the_lower_number(spark, tmp_path):
     df.write.parquet(path)
     remove_duplicates(spark, path, df.schema)
     assert read_table(spark, path, df.schema).first().report_id == "X_2"
+
+
+def test_compaction_keeps_rows_and_makes_fewer_files(spark, inputs, tmp_path):
+    raw, master = inputs
+    store = Store(str(tmp_path), period="year")
+    for n in range(4):
+        run_batch(raw.where(F.col("ingest_seq") % 4 == n), master, store, f"b{n}", as_of=fx.AS_OF)
+    before = {k: v[:2] for k, v in reports_of(store, spark).items()}
+    told = sorted(r.news_id for r in store.announcements(spark).collect())
+    files = len(rows_of(tmp_path))
+    names = [f"b{n}" for n in range(4)]
+    counts = compact(spark, store, "merged", names)
+    assert len(rows_of(tmp_path)) == sum(counts.values()) < files
+    assert {k: v[:2] for k, v in reports_of(store, spark).items()} == before
+    assert sorted(r.news_id for r in store.announcements(spark).collect()) == told
+    assert compact(spark, store, "merged2", ["merged"])["reports"] == counts["reports"]
+    again = run_batch(raw, master, store, "b1", as_of=fx.AS_OF)
+    assert again == {"announcements": 0, "reports": 0}
+
+
+def test_failed_compaction_is_finished_later(spark, tmp_path, monkeypatch):
+    store, master = Store(str(tmp_path)), case_master(spark)
+    run_batch(case_raw(spark, ("a", AUG1)), master, store, "b1", as_of=fx.AS_OF)
+    run_batch(case_raw(spark, ("b", AUG1), ("c", NOV1)), master, store, "b2", as_of=fx.AS_OF)
+    before = sorted(r.report_id for r in store.reports(spark).collect())
+    real = compacting.hadoop_path
+    with monkeypatch.context() as m:
+        m.setattr(compacting, "hadoop_path", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            compact(spark, store, "m", ["b1", "b2"])
+    assert compacting.hadoop_path is real
+    compact(spark, store, "m", ["b1", "b2"])
+    assert sorted(r.report_id for r in store.reports(spark).collect()) == before
+    assert {r.batch for r in store.announcements(spark).collect()} == {"m"}
