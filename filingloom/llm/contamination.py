@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from filingloom.llm.common import LOWER, UPPER, broadcast_if_small
-from filingloom.sinks.workspace import checkpointed, staged
+from filingloom.sinks.workspace import checkpointed, scratch
 
 WIDTH = 13
 #: Words are ASCII letters and digits and everything beyond ASCII; this is what lies between them.
@@ -167,8 +167,8 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataF
     words = wins.select(F.explode("words").alias("word")).distinct()
     rare = checkpointed(anchored(wins, word_counts(docs, words)))
     terms = rare.select(folded(F.element_at("words", F.col("first") + 1)).alias("term")).distinct()
-    index = staged(postings(docs, terms, width), "postings")
-    hits = checkpointed(_covered(phrases(index, rare)))
+    with scratch(postings(docs, terms, width), "postings") as index:
+        hits = checkpointed(_covered(phrases(index, rare)))
     own = ["n_words", "n_hit", "items", "contaminated"]
     kept = [c for c in docs.columns if c not in own and c != "text"]
     split = docs.select(*kept, F.xxhash64("text").alias("_text_hash"), raw_words(F.col("text")).alias("_raw"))

@@ -54,6 +54,7 @@ _ASIDE_WORDS = {
     "social", "related", "recommended", "recommendations", "pagination", "pager", "toolbar", "search", "copyright",
     "skip",
 }
+_COMMENT_WORDS = {"comment", "comments", "reply", "replies"}
 _ARTICLE_WORDS = {"article", "post", "entry", "content", "story", "main", "body", "text"}
 
 
@@ -81,11 +82,12 @@ def _is_aside(tag: str, rest: str, in_article: bool) -> bool:
         return True
     if found.get("role", "").lower() in _ASIDE_ROLES:
         return True
-    if tag in ("html", "body", "article", "main") and not in_article:
-        return False
+    outermost = tag in ("html", "body", "article", "main") and not in_article
     words = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()
     words = [re.findall(r"[a-z]+", name) for name in words.split()]
     # A name that also says article ("post-header", "entry-content") counts only outside headings.
+    if outermost:
+        return any(_COMMENT_WORDS.intersection(name) for name in words) and tag == "article"
     for name in words:
         if _ASIDE_WORDS.intersection(name):
             if _ARTICLE_WORDS.intersection(name) and name[-1] in ("header", "body", "content", "text") and "comment" not in name:

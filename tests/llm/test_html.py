@@ -33,6 +33,9 @@ CASES = {
     "roles": (f"<div role=banner>Site</div><main><p>{STORY}</p></main><div role=contentinfo>x</div>", STORY),
     "raw parts": (f"<script>var a='</p><p>no';</script><style>p{{}}</style><article><p>{STORY}</p><form>Mail <input></form></article>", STORY),
     "comments inside": (f"<article><p>{STORY}</p><section class=comments><article><p>{STORY}</p></article></section></article>", STORY),
+    "article as comment": (f"<article><p>{STORY}</p></article><article class=comment><p>{STORY}</p></article>", STORY),
+    "notice first": (f"<div class=cookie-notice><p>{STORY}</p></div><div id=post-body><p>{STORY} x</p></div>", f"{STORY} x"),
+    "page header": (f"<header><h1>Site</h1></header><article><header><h1>T</h1></header><p>{STORY}</p></article>", f"T\n\n{STORY}"),
     "hidden": (f"<article><p hidden>no</p><p style='display: none'>no</p><p>{STORY}</p></article>", STORY),
     "open menu": (f"<nav><ul><li>Home<article><p>{STORY}</p></article>", STORY),
     "links": (f"<div><a>One</a> <a>Two</a></div><div></div><div></div><div><p>{STORY} {STORY}</p></div>", f"{STORY} {STORY}"),
