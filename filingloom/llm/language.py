@@ -77,27 +77,33 @@ def _is_letter() -> np.ndarray:
 
 
 def gram_slices(text: str) -> Iterator[np.ndarray]:
-    """Buckets of the letter 1-, 2- and 3-grams of a text; other signs count as word borders."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(_is_letter()[codes], codes, 0)
-    # A run of other signs is one border; a border stands at both ends.
-    codes = codes[np.flatnonzero((codes != 0) | (np.concatenate(([1], codes[:-1])) != 0))]
-    if not codes.any():
-        return
-    if codes[0]:
-        codes = np.concatenate((np.zeros(1, np.uint32), codes))
-    if codes[-1]:
-        codes = np.concatenate((codes, np.zeros(1, np.uint32)))
-    for start in range(0, len(codes) - 2, SLICE):
-        part = codes[start : start + SLICE + 2].astype(np.uint32)
-        a, b, c = part[:-2], part[1:-1], part[2:]
-        one = b * np.uint32(0x9E3779B1)
-        two = one ^ (c * np.uint32(0x85EBCA77) + np.uint32(0x3C6EF372))
-        three = two * np.uint32(0xC2B2AE3D) ^ (a * np.uint32(0x27D4EB2F) + np.uint32(0x165667B1))
-        grams = np.concatenate((one[b != 0], two, three))
-        grams ^= grams >> np.uint32(15)
-        grams *= np.uint32(0x2C1B3C6D)
-        yield (grams >> np.uint32(17)).astype(np.int32)
+    """Buckets of the letter 1-, 2- and 3-grams of a text, a slice at a time.
+
+    Other signs count as word borders, a run of them as one; a border stands at both ends. The last
+    two codes of a slice begin the next one, so every three neighbours are met once.
+    """
+    held = np.zeros(1, np.uint32)
+    for start in range(0, len(text), SLICE):
+        part = text[start : start + SLICE].lower().encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(part, np.uint32)
+        codes = np.concatenate((held, np.where(_is_letter()[codes], codes, np.uint32(0))))
+        codes = codes[np.flatnonzero((codes != 0) | (np.concatenate(([1], codes[:-1])) != 0))]
+        if start + SLICE >= len(text) and codes[-1]:
+            codes = np.concatenate((codes, np.zeros(1, np.uint32)))
+        if len(codes) > 2:
+            yield _buckets(codes[:-2], codes[1:-1], codes[2:])
+        held = codes[-2:]
+
+
+def _buckets(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The letter in the middle, the pair that it begins, and all three."""
+    one = b * np.uint32(0x9E3779B1)
+    two = one ^ (c * np.uint32(0x85EBCA77) + np.uint32(0x3C6EF372))
+    three = two * np.uint32(0xC2B2AE3D) ^ (a * np.uint32(0x27D4EB2F) + np.uint32(0x165667B1))
+    grams = np.concatenate((one[b != 0], two, three))
+    grams ^= grams >> np.uint32(15)
+    grams *= np.uint32(0x2C1B3C6D)
+    return (grams >> np.uint32(17)).astype(np.int32)
 
 
 @dataclass(frozen=True)
