@@ -24,7 +24,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: How this byte-level vocabulary splits text before merging (fixed value of the public tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Lengths in one block of the two-step suffix sums.
-BLOCK = 4096
+BLOCK = 256
 
 
 @lru_cache(maxsize=2)
