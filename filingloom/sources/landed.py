@@ -19,12 +19,16 @@ NO_RECORD_MESSAGE = "No Record found"
 _JSON = {"allowSingleQuotes": "false"}
 
 
+def _in_list(text: Column) -> Column:
+    return F.concat(F.lit("["), text, F.lit("]"))
+
+
 def strict_json(text: Column) -> Column:
     """Whether a text is JSON from its first to its last sign.
 
     Parsers stop after the first value; inside a list and inside an object nothing may follow it.
     """
-    inside_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    inside_list = F.try_parse_json(_in_list(text))
     inside_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
     return inside_list.isNotNull() & inside_object.isNotNull()
 
@@ -132,7 +136,8 @@ def triage(responses: DataFrame, status: str = "status", body: str = "body") ->
     numbers that JSON does not know, such as NaN, make it unparseable.
     """
     text = F.col(body)
-    found = F.try_parse_json(text)
+    # The value is taken from the list that the strict check parses anyway.
+    found = F.try_variant_get(F.try_parse_json(_in_list(text)), "$[0]", "variant")
     kind = F.when(strict_json(text), F.schema_of_variant(found))
     message = F.try_variant_get(found, "$.Error_Msg", "string")
     return responses.withColumn(
