@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ STRETCH_SHARE = 0.3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
-    r"<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>",
+    r"<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?=>)|[^>]*)>",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -102,6 +103,7 @@ def lines_of(page: str) -> list[Line]:
     stack: list[tuple[str, bool, bool]] = []  # tag, aside, article
     parts: list[str] = []
     linked = asides = links = articles = number = 0
+    opened: Counter[str] = Counter()  # names on the stack
 
     def flush() -> None:
         nonlocal linked
@@ -116,6 +118,7 @@ def lines_of(page: str) -> list[Line]:
         """Close all open elements from this one on."""
         nonlocal asides, links, articles
         for tag, aside, article in stack[depth:]:
+            opened[tag] -= 1
             asides -= aside
             articles -= article
             links -= tag == "a"
@@ -129,20 +132,23 @@ def lines_of(page: str) -> list[Line]:
             if links:
                 linked += len(text.strip())
 
-    at = 0
-    while found := _TOKEN.search(page, at):
+    # No tag ends after the last ">", so the search stops there.
+    at, last = 0, page.rfind(">") + 1
+    while found := _TOKEN.search(page, at, last):
         add(page[at : found.start()])
         at = found.end()
         if found["tag"] is None:
             if found[0].startswith("<![CDATA["):
                 parts.append(found[0][9:-3])
+            elif found[0].startswith("<!--") and not found[0].endswith("-->"):
+                at = len(page)
             continue
         tag = found["tag"].lower()
         if found["close"]:
             if tag in _BLOCK:
                 flush()
-            depth = next((i for i in reversed(range(len(stack))) if stack[i][0] == tag), None)
-            if depth is not None:
+            if opened[tag]:
+                depth = next(i for i in reversed(range(len(stack))) if stack[i][0] == tag)
                 inside = asides
                 close(depth)
                 if tag in _CONTAINER and not inside:
@@ -160,8 +166,9 @@ def lines_of(page: str) -> list[Line]:
         if tag in _BLOCK:
             flush()
             if tag == "p" or tag in _CONTAINER or tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-                depth = next((i for i in reversed(range(len(stack))) if stack[i][0] == "p"), None)
-                if depth is not None and not any(t in _CONTAINER for t, _, _ in stack[depth:]):
+                near = (i for i in reversed(range(len(stack))) if stack[i][0] == "p" or stack[i][0] in _CONTAINER)
+                depth = next(near, None) if opened["p"] else None
+                if depth is not None and stack[depth][0] == "p":
                     close(depth)
         if tag in _CONTAINER and not asides:
             lines.append(Line("", 0, number if articles else 0))
@@ -175,11 +182,12 @@ def lines_of(page: str) -> list[Line]:
         aside = _is_aside(tag, found["rest"], bool(articles))
         article = opens and not aside and not asides
         stack.append((tag, aside, article))
+        opened[tag] += 1
         asides += aside
         links += tag == "a"
         articles += article
         number += article
-    add(page[at:])
+    add(page[at:].split("<!--", 1)[0])
     flush()
     return lines
 

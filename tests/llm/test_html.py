@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import pytest
@@ -52,6 +53,17 @@ def test_cases(name):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<p>hello there</p><a " + '"x" ' * 5000, "<b>" * 30000 + "</i>" * 30000, "<p>hello there</p>" + '<a href="' * 20000],
+    ids=["cut_tag", "open_tags", "open_quotes"],
+)
+def test_broken_markup_takes_linear_time(page):
+    start = time.perf_counter()
+    html.main_text(page)
+    assert time.perf_counter() - start < 5
+
+
 def test_window_sums_and_stretches():
     assert html.window_sums([1, 0, 0, 5, 2], 3) == [1, 5, 7, 7, 2]
     assert html.stretches([90, 0, 0, 0, 0, 80, 70]) == [(0, 1), (3, 7)]
