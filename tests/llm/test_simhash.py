@@ -60,6 +60,52 @@ def test_bit_sliced_groups_equal_pairwise(radius):
             assert [near.get(i, i) for i in range(len(part))] == plain_groups(part, radius)
 
 
+def altered(words, share, rng):
+    """The words with about this share of them replaced, one here and there."""
+    return [f"new{rng.randrange(10**9)}" if rng.random() < share else w for w in words]
+
+
+def test_wide_groups_equal_pairwise():
+    rng, texts = random.Random(3), []
+    for k in range(30):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice((3, 40, 300)))]
+        texts += [" ".join(altered(words, rng.choice((0, 0.01, 0.03)), rng)) for _ in range(rng.choice((1, 4, 9)))]
+    prints = np.stack([np.frombuffer(simhash.wide_fingerprint(t), "<u8") for t in texts])
+    whole = [int.from_bytes(p.tobytes(), "little") for p in prints]
+    near = dict(simhash.stars(prints, simhash.WIDE_RADIUS))
+    assert [near.get(i, i) for i in range(len(texts))] == plain_groups(whole, simhash.WIDE_RADIUS)
+    parts = [slice(i, i + 7) for i in range(0, len(texts), 7)]
+    for part, found in zip(parts, simhash.small_stars([prints[p] for p in parts], simhash.WIDE_RADIUS)):
+        near, own = dict(found), whole[part]
+        assert [near.get(i, i) for i in range(len(own))] == plain_groups(own, simhash.WIDE_RADIUS)
+
+
+@pytest.mark.parametrize("group", [4096, 8])
+def test_similar_texts_are_found_and_others_left_alone(make_docs, monkeypatch, group):
+    rng, rows, copies = random.Random(5), [], {}
+    for k in range(60):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60, 400))]
+        rows.append((k, " ".join(words)))
+        for j in range(20 if k == 0 else 1):
+            # One other word of n leaves a similarity of about (n - 9) / (n + 1), 0.83 at the least.
+            at = rng.randrange(len(words) - 1)
+            rows.append((1000 + len(rows), " ".join([*words[:at], "other", *words[at + 1 :]])))
+            copies[rows[-1][0]] = k
+    monkeypatch.setattr(simhash.wide_links, "__defaults__", (simhash.WIDE_RADIUS, group))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar(make_docs(rows)).collect()}
+    assert all(got[k] == k for k in range(60))
+    found = sum(got[c] == k for c, k in copies.items())
+    assert found >= 0.95 * len(copies)
+
+
+def test_narrow_links_count_for_similar_texts(make_docs):
+    # Repeats weigh in the narrow fingerprint alone: equal there, other sets of shingles.
+    rare = " ".join(f"x{i}" for i in range(40))
+    rows = [(1, "a b c d e f g " * 300), (2, "a b c d e f g " * 300 + rare)]
+    narrow = {r["component_id"] for r in simhash.near_duplicates(make_docs(rows)).collect()}
+    assert len({r["component_id"] for r in simhash.similar(make_docs(rows)).collect()}) <= len(narrow)
+
+
 @pytest.mark.parametrize("group", [4096, 8])
 def test_links_connect_what_is_near(spark, group):
     prints = clustered(7, centres=6, each=30)
