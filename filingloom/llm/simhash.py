@@ -312,6 +312,7 @@ def _met(banded: DataFrame, radius: int, group: int) -> DataFrame:
             yield pd.Series(out, index=lists.index, dtype=object)
 
     node = banded.schema["fingerprint"].dataType.simpleString()
+    compare.__name__ = "compare_wide" if node == "binary" else "compare_narrow"  # tells the two apart in plans
     found = F.pandas_udf(compare, f"array<struct<a: {node}, b: {node}>>")("prints")
     return groups.select(F.explode(found).alias("e")).select("e.a", "e.b").distinct()
 
@@ -364,12 +365,19 @@ def similar(docs: DataFrame, radius: int = WIDE_RADIUS, width: int = WIDE_SHINGL
     through one wide fingerprint of each narrow one.
     """
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield texts.map(lambda t: wide_fingerprint(t, width, lanes))
-
-    both = with_fingerprint(docs, "_narrow").withColumn("fingerprint", F.pandas_udf(run, "binary")("text"))
-    prints = checkpointed(both.drop("text"))
+            narrow = np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts)).view(np.int64)
+            wide = [wide_fingerprint(t, width, lanes) for t in texts]
+            yield pd.DataFrame({"narrow": narrow, "wide": wide}, index=texts.index)
+
+    # One function for both, so that a task keeps one Python process.
+    both = F.pandas_udf(run, "narrow long, wide binary")("text")
+    kept = [c for c in docs.columns if c not in ("text", "fingerprint", "_narrow", "_both")]
+    found = docs.withColumn("_both", both)
+    prints = checkpointed(
+        found.select(*kept, F.col("_both.narrow").alias("_narrow"), F.col("_both.wide").alias("fingerprint"))
+    )
 
     def link(nodes: DataFrame) -> DataFrame:
         pairs = prints.select("_narrow", "fingerprint").distinct()
