@@ -151,3 +151,56 @@ def test_edges(make_docs):
 def test_repeated_rows_leave_one(make_docs):
     kept = simhash.one_of_each(make_docs([(1, "a b c d"), (1, "a b c d"), (2, "q r s t u v")])).collect()
     assert sorted(r["doc_id"] for r in kept) == [1, 2]
+
+
+def plain_shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_alike(texts):
+    """The first text of each one's component, by the Jaccard similarity of all pairs."""
+    sets = [plain_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("frequent", [8, 1])
+def test_stage_keeps_one_of_what_is_alike_by_all_pairs(make_docs, monkeypatch, frequent):
+    rng, texts = random.Random(11), [None, "", "one", "ONE", "one two", "two one"]
+    line = " ".join(f"common{i}" for i in range(30))
+    for k in range(40):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice((8, 40, 120, 300)))]
+        # Similarities from 0.6 to 1, many close to 0.8.
+        shares = rng.choices((0, 0.01, 0.02, 0.025, 0.03, 0.05), k=40 if k == 0 else 4)
+        texts += [" ".join(altered(words, s, rng)) for s in shares]
+        texts += [f"{line} {t}" for t in texts[-2:]]
+    monkeypatch.setattr(simhash, "FREQUENT", frequent)
+    monkeypatch.setattr(simhash, "FREQUENT_ONE_IN", 1)
+    rng.shuffle(texts)
+    expected = plain_alike(texts)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.alike(make_docs(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
+    kept = [r["doc_id"] for r in simhash.one_of_each(make_docs(list(enumerate(texts)))).collect()]
+    assert sorted(kept) == sorted(set(expected))
+
+
+def test_pairs_at_the_limit(make_docs):
+    # 90 shingles of which 80 are shared: exactly 0.8; with one fewer shared it is less.
+    words = [f"w{i}" for i in range(94)]
+    at = words[:84] + [f"x{i}" for i in range(10)]
+    below = words[:83] + [f"y{i}" for i in range(11)]
+    rows = [(1, " ".join(words)), (2, " ".join(at))]
+    assert {r["doc_id"] for r in simhash.one_of_each(make_docs(rows)).collect()} == {1}
+    rows = [(1, " ".join(words)), (2, " ".join(below))]
+    assert {r["doc_id"] for r in simhash.one_of_each(make_docs(rows)).collect()} == {1, 2}
