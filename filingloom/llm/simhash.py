@@ -358,16 +358,17 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionAll(held.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, root: str | None = None) -> DataFrame:
     """Every row with its ``fingerprint`` (signed) and ``component_id``, the least id it can reach.
 
-    Expects ``doc_id`` and ``text``; the text is read once and left behind.
+    Expects ``doc_id`` and ``text``; the text is read once and left behind. ``root`` names a further
+    column, which tells components apart that have no id.
     """
     prints = checkpointed(with_fingerprint(docs, width=width).drop("text"))
-    return _named(prints, lambda nodes: links(nodes, radius))
+    return _named(prints, lambda nodes: links(nodes, radius), root)
 
 
-def similar(docs: DataFrame, radius: int = WIDE_RADIUS, width: int = WIDE_SHINGLE, lanes: int = LANES) -> DataFrame:
+def similar(docs: DataFrame, radius: int = WIDE_RADIUS, width: int = WIDE_SHINGLE, lanes: int = LANES, root: str | None = None) -> DataFrame:
     """Like :func:`near_duplicates`, for sets of shingles: the fingerprint is wide (binary).
 
     What :func:`near_duplicates` links is linked here too; its few links meet the wide fingerprints
@@ -396,7 +397,7 @@ def similar(docs: DataFrame, radius: int = WIDE_RADIUS, width: int = WIDE_SHINGL
         near = links(one.select(F.col("_narrow").alias("fingerprint"))).join(ends[0], "a").join(ends[1], "b")
         return wide_links(nodes, radius).unionAll(equal).unionAll(near.select("wide_a", "wide_b"))
 
-    return _named(prints, link).drop("_narrow")
+    return _named(prints, link, root).drop("_narrow")
 
 
 def _set_hash(shingles: np.ndarray) -> int:
@@ -505,7 +506,7 @@ def alike_links(nodes: DataFrame, docs: DataFrame, width: int = WIDE_SHINGLE) ->
     return first.unionAll(_verified(rest, nodes, docs, width))
 
 
-def alike(docs: DataFrame, width: int = WIDE_SHINGLE) -> DataFrame:
+def alike(docs: DataFrame, width: int = WIDE_SHINGLE, root: str | None = None) -> DataFrame:
     """Like :func:`near_duplicates`, for a Jaccard similarity of 0.8 or more of sets of shingles, without a miss.
 
     ``fingerprint`` is a hash of the set. Texts without a word are alike.
@@ -530,38 +531,46 @@ def alike(docs: DataFrame, width: int = WIDE_SHINGLE) -> DataFrame:
     )
     own = ["fingerprint", "_text_hash", "_size", "_prefix"]
     nodes = checkpointed(prints.select(*own).dropDuplicates(["fingerprint"]))
-    return _named(prints.drop(*own[1:]), lambda _: alike_links(nodes, docs, width))
+    return _named(prints.drop(*own[1:]), lambda _: alike_links(nodes, docs, width), root)
 
 
-def _named(prints: DataFrame, link) -> DataFrame:
-    """Add ``component_id`` to rows with a ``fingerprint``."""
+def _named(prints: DataFrame, link, root: str | None = None) -> DataFrame:
+    """Add ``component_id`` to rows with a ``fingerprint``, and the component's least fingerprint as ``root``."""
     nodes = checkpointed(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
     roots = checkpointed(components(link(nodes.select("fingerprint"))))
     placed = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
     )
     ids = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = placed.join(ids, "root").select("fingerprint", "component_id")
+    named = placed.join(ids, "root").select("fingerprint", "component_id", *([F.col("root").alias(root)] if root else []))
     return prints.drop("component_id").join(named, "fingerprint")
 
 
 def one_of_each(docs: DataFrame, find=alike) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row with the least id stays.
+    """The rows of ``docs`` without near copies: of each component exactly one row stays.
 
+    It is the row with the least id, NULL last, then the least text hash, then the least other columns.
     ``find`` gives the components: :func:`alike`, :func:`similar` or :func:`near_duplicates`.
 
-    Of rows that share that id, the first by text stays. Which ids go is decided on narrow rows; whole
-    rows meet that list once.
+    A row is known by its id and a hash of its text, so rows without an id and rows that share one are
+    decided each. Which go is decided on narrow rows; whole rows meet that list once.
     """
-    found = checkpointed(find(docs.select("doc_id", "text")))
-    same = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    marks = found.groupBy("doc_id").agg(F.bool_or(~same).alias("_gone"), (F.count("*") > 1).alias("_again"))
-    marks = checkpointed(marks.filter("_gone or _again").withColumnRenamed("doc_id", "_id"))
-    marked = docs.join(broadcast_if_small(marks), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    key = [F.col("doc_id"), F.xxhash64("text").alias("_hash")]
+    found = find(docs.select(*key, "text"), root="_root")
+    keys = checkpointed(found.groupBy("doc_id", "_hash").agg(F.first("_root").alias("_root"), F.count("*").alias("_n")))
+    order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_hash")
+    best = keys.groupBy("_root").agg(F.min(order).alias("_best"))
+    marks = keys.join(best, "_root").select(
+        F.col("doc_id").alias("_id"), F.col("_hash").alias("_of"), (order != F.col("_best")).alias("_gone"), (F.col("_n") > 1).alias("_again")
+    )
+    marks = checkpointed(marks.filter("_gone or _again"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_of"))
+    marked = docs.join(broadcast_if_small(marks), same, "left")
     kept = marked.filter(~F.coalesce("_gone", F.lit(False))).drop("_id", "_gone")
-    once = kept.filter("_again is null").drop("_again")
+    once = kept.filter("_again is null").drop("_again", "_of")
     if marks.filter("_again and not _gone").isEmpty():
         return once
-    first = Window.partitionBy("doc_id").orderBy("text")
-    again = kept.filter("_again").drop("_again").withColumn("_place", F.row_number().over(first))
-    return once.unionByName(again.filter("_place = 1").drop("_place"))
+    rest = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and "variant" not in kind]
+    first = Window.partitionBy("doc_id", "_of").orderBy(*(rest or ["_of"]))
+    again = kept.filter("_again").withColumn("_place", F.row_number().over(first))
+    return once.unionByName(again.filter("_place = 1").drop("_place", "_again", "_of"))

@@ -204,3 +204,12 @@ def test_pairs_at_the_limit(make_docs):
     assert {r["doc_id"] for r in simhash.one_of_each(make_docs(rows)).collect()} == {1}
     rows = [(1, " ".join(words)), (2, " ".join(below))]
     assert {r["doc_id"] for r in simhash.one_of_each(make_docs(rows)).collect()} == {1, 2}
+
+
+def test_rows_are_decided_each_not_by_id(make_docs):
+    a, b, c, d, e = (" ".join(f"{k}{i}" for i in range(30)) for k in "abcde")
+    rows = [(7, a, "x"), (None, a, "x"), (None, b, "x"), (None, c, "x"), (None, c, "x"), (None, None, "x")]
+    rows += [(1, d, "x"), (8, d, "x"), (8, e, "y"), (8, e, "x"), (9, e, "x"), (8, c + " more", "x"), (8, "z", "x")]
+    got = simhash.one_of_each(make_docs(rows)).select("doc_id", "text", "lang").collect()
+    expected = [(7, a, "x"), (None, b, "x"), (None, None, "x"), (1, d, "x"), (8, e, "x"), (8, c + " more", "x"), (8, "z", "x")]
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
