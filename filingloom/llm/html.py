@@ -7,7 +7,8 @@ dive to nothing. The richest stretch between surge and dive is kept, and every o
 part of the same article.
 
 Defined cases: NULL or empty html gives an empty text; a page whose every line lies in such a region
-gives an empty text; rows that repeat are read on their own; an empty table gives no rows; other columns
+gives an empty text, unless only a class, an id or a form says so and the region wraps the article or most
+of the text; rows that repeat are read on their own; an empty table gives no rows; other columns
 pass through. A page is handled whole by one task and nothing of it is cut.
 """
 
@@ -56,6 +57,9 @@ _ASIDE_WORDS = {
     "skip",
 }
 _COMMENT_WORDS = {"comment", "comments", "reply", "replies"}
+_COMMENT_REGIONS = _COMMENT_WORDS | {"disqus", "discussion", "respond"}
+#: Kinds of asides: a supposed one may turn out to wrap the article.
+FIRM, SUPPOSED = 1, 2
 _ARTICLE_WORDS = {"article", "post", "entry", "content", "story", "main", "body", "text"}
 
 
@@ -70,56 +74,80 @@ def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(rest)}
 
 
-def _is_aside(tag: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is a region that is no part of an article's text."""
-    if tag in _ASIDE_TAGS and not (tag == "header" and in_article):
-        return True
+def _is_aside(tag: str, rest: str, in_article: bool) -> int:
+    """Whether an element is a region that is no part of an article's text: 0, or the kind of aside.
+
+    A form, and what only its class or id tells, are ``SUPPOSED``, but not regions of comments.
+    """
+    if tag in _ASIDE_TAGS and tag != "form" and not (tag == "header" and in_article):
+        return FIRM
     if "=" not in rest and "hidden" not in rest:
-        return False
+        return SUPPOSED if tag == "form" else 0
     found = _attributes(rest)
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return True
+        return FIRM
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
-        return True
+        return FIRM
     if found.get("role", "").lower() in _ASIDE_ROLES:
-        return True
+        return FIRM
     outermost = tag in ("html", "body", "article", "main") and not in_article
     words = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower()
     words = [re.findall(r"[a-z]+", name) for name in words.split()]
     # A name that also says article ("post-header", "entry-content") counts only outside headings.
     if outermost:
-        return any(_COMMENT_WORDS.intersection(name) for name in words) and tag == "article"
+        return FIRM if any(_COMMENT_WORDS.intersection(name) for name in words) and tag == "article" else 0
+    kind = SUPPOSED if tag == "form" else 0
     for name in words:
         if _ASIDE_WORDS.intersection(name):
             if _ARTICLE_WORDS.intersection(name) and name[-1] in ("header", "body", "content", "text") and "comment" not in name:
                 continue
-            return True
-    return False
+            if _COMMENT_REGIONS.intersection(name):
+                return FIRM
+            kind = SUPPOSED
+    return kind
 
 
 def lines_of(page: str) -> list[Line]:
-    """The page's lines in order. ``article`` numbers the marked article a line lies in, 0 for none."""
+    """The page's lines in order. ``article`` numbers the marked article a line lies in, 0 for none.
+
+    A supposed aside that holds more of the text of articles than lies outside, or on a page without
+    any outside most of all text beside links, is no aside but a wrapper; the page is then read again.
+    """
+    lines, wrappers = _read(page, frozenset())
+    return _read(page, wrappers)[0] if wrappers else lines
+
+
+def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], frozenset[int]]:
+    """Lines, and which supposed asides are wrappers; ``wrappers`` (numbers of start tags) are no asides."""
     lines: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, aside, article
+    stack: list[tuple[str, int, bool, tuple[int, int, int]]] = []  # tag, aside, article, totals at the start
     parts: list[str] = []
-    linked = asides = links = articles = number = 0
+    linked = asides = links = articles = number = starts = 0
+    firm = total = told = 0  # firm asides on the stack; weight outside them, and of it in articles
+    supposed: list[tuple[int, int, int]] = []  # start tag, weight, weight in its articles or -1 if inside one
     opened: Counter[str] = Counter()  # names on the stack
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, total, told
         text = " ".join("".join(parts).split())
+        weight = max(0, len(text) - linked)
+        if not firm:
+            total += weight
+            told += weight if opened["article"] or opened["main"] else 0
         if text and not asides:
-            weight = max(0, len(text) - linked)
             lines.append(Line(text, weight, number if articles else 0))
         parts.clear()
         linked = 0
 
     def close(depth: int) -> None:
         """Close all open elements from this one on."""
-        nonlocal asides, links, articles
-        for tag, aside, article in stack[depth:]:
+        nonlocal asides, links, articles, firm
+        for tag, aside, article, at in reversed(stack[depth:]):
             opened[tag] -= 1
-            asides -= aside
+            asides -= aside > 0
+            firm -= aside == FIRM
+            if aside == SUPPOSED:
+                supposed.append((at[0], total - at[1], told - at[2] if at[2] >= 0 else -1))
             articles -= article
             links -= tag == "a"
         del stack[depth:]
@@ -177,19 +205,26 @@ def lines_of(page: str) -> list[Line]:
         opens = tag in ("article", "main") and not articles
         if opens:
             # An article does not lie in a menu or a header: those were left open.
-            while stack and any(a and t in ("nav", "header", "footer", "form", "menu", "button") for t, a, _ in stack):
-                close(next(i for i, (t, a, _) in enumerate(stack) if a and t in ("nav", "header", "footer", "form", "menu", "button")))
-        aside = _is_aside(tag, found["rest"], bool(articles))
+            while stack and any(e[1] and e[0] in ("nav", "header", "footer", "form", "menu", "button") for e in stack):
+                close(next(i for i, e in enumerate(stack) if e[1] and e[0] in ("nav", "header", "footer", "form", "menu", "button")))
+        starts += 1
+        aside = 0 if starts in wrappers else _is_aside(tag, found["rest"], bool(articles))
         article = opens and not aside and not asides
-        stack.append((tag, aside, article))
+        inside = opened["article"] + opened["main"]
+        stack.append((tag, aside, article, (starts, total, -1 if inside else told)))
         opened[tag] += 1
-        asides += aside
+        asides += aside > 0
+        firm += aside == FIRM
         links += tag == "a"
         articles += article
         number += article
     add(page[at:].split("<!--", 1)[0])
     flush()
-    return lines
+    close(0)
+    outside = sum(line.weight for line in lines if line.article)
+    return lines, frozenset(
+        start for start, weight, own in supposed if own > outside or 2 * weight > total and (own < 0 or not outside)
+    )
 
 
 def window_sums(weights: list[int], size: int = WINDOW) -> list[int]:

@@ -77,3 +77,19 @@ def test_edges(spark):
     assert got.columns == pages.columns
     assert sorted(len(r["text"]) for r in got.collect()) == [0, 0, len(STORY) * 2000]
     assert html.with_main_text(pages.filter(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='has-sidebar'><main><p>{STORY}</p></main></div>", STORY),
+        (f"<div class='content-sidebar-wrap'><main><h1>T</h1><p>{STORY}</p></main><div class=sidebar>Side</div></div>", f"T\n\n{STORY}"),
+        (f"<div id=page-with-menu><div class=menu>Home</div><div><p>{STORY}</p></div></div>", STORY),
+        (f"<form id=aspnetForm action=x><div><p>{STORY}</p></div><div class=footer>Foot</div></form>", STORY),
+        (f"<main><p>{STORY}</p></main><div class=related><article><p>Other</p></article></div>", STORY),
+        (f"<main><p>{STORY}</p></main><div class=comments><article><p>{STORY} {STORY}</p></article></div>", STORY),
+        (f"<div class=has-sidebar><article><p>{STORY}</p></article><section class=comments><article><p>{STORY} x</p></article></section></div>", STORY),
+    ],
+)
+def test_a_wrapper_named_like_an_aside_keeps_its_article(page, text):
+    assert html.main_text(page) == text
