@@ -3,8 +3,9 @@
 Markup is stripped into lines: one per block of text, and an empty one wherever a container begins or
 ends. A line weighs its letters outside links; a region that is no article (menus, headers, footers,
 asides, forms, adverts, comments and the like, by tag, role or class) is one empty line. The weights are summed over sliding windows of lines; text starts where the sums surge and stops where they
-dive to nothing. The richest stretch between surge and dive is kept, and every other stretch that is
-part of the same article.
+dive to nothing. In a marked article, every line of an article that has text outside links is kept, and
+the sums decide nothing. Elsewhere the richest stretch between surge and dive is kept, with every other
+stretch of at least a share of its weight, and with whatever stretch lies in the container around it.
 
 Defined cases: NULL or empty html gives an empty text; a page whose every line lies in such a region
 gives an empty text, unless only a class, an id or a form says so and the region wraps the article or most
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 #: Lines in a window, and the sum with which a surge begins (at most this share of the page's peak).
 WINDOW = 3
 SURGE, SURGE_SHARE = 60, 0.2
-#: Of the richest stretch, outside a marked article.
+#: Of the richest stretch, outside a marked article and outside the container around it.
 STRETCH_SHARE = 0.3
 
 _TOKEN = re.compile(
@@ -68,6 +69,7 @@ class Line:
     text: str
     weight: int
     article: int
+    box: int = 0
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -107,25 +109,43 @@ def _is_aside(tag: str, rest: str, in_article: bool) -> int:
     return kind
 
 
-def lines_of(page: str) -> list[Line]:
+@dataclass
+class Boxes:
+    """Containers by number, in the order they open; 0 is the page. ``last`` is the last one within each."""
+
+    outer: list[int]
+    last: list[int]
+
+    def around(self, own: list[int]) -> int:
+        """The innermost container that holds all of these."""
+        low, high = min(own), max(own)
+        while not low <= high <= self.last[low]:
+            low = self.outer[low]
+        return low
+
+
+def lines_of(page: str) -> tuple[list[Line], Boxes]:
     """The page's lines in order. ``article`` numbers the marked article a line lies in, 0 for none.
 
+    ``box`` numbers the innermost container around a line.
+
     A supposed aside that holds more of the text of articles than lies outside, or on a page without
     any outside most of all text beside links, is no aside but a wrapper; the page is then read again.
     """
-    lines, wrappers = _read(page, frozenset())
-    return _read(page, wrappers)[0] if wrappers else lines
+    lines, boxes, wrappers = _read(page, frozenset())
+    return _read(page, wrappers)[:2] if wrappers else (lines, boxes)
 
 
-def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], frozenset[int]]:
+def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], Boxes, frozenset[int]]:
     """Lines, and which supposed asides are wrappers; ``wrappers`` (numbers of start tags) are no asides."""
     lines: list[Line] = []
-    stack: list[tuple[str, int, bool, tuple[int, int, int]]] = []  # tag, aside, article, totals at the start
+    stack: list[tuple[str, int, bool, int, tuple[int, int, int]]] = []  # tag, aside, article, box outside, totals at the start
     parts: list[str] = []
     linked = asides = links = articles = number = starts = 0
     firm = total = told = 0  # firm asides on the stack; weight outside them, and of it in articles
     supposed: list[tuple[int, int, int]] = []  # start tag, weight, weight in its articles or -1 if inside one
     opened: Counter[str] = Counter()  # names on the stack
+    boxes, box = Boxes([0], [0]), 0
 
     def flush() -> None:
         nonlocal linked, total, told
@@ -135,14 +155,14 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], frozenset[in
             total += weight
             told += weight if opened["article"] or opened["main"] else 0
         if text and not asides:
-            lines.append(Line(text, weight, number if articles else 0))
+            lines.append(Line(text, weight, number if articles else 0, box))
         parts.clear()
         linked = 0
 
     def close(depth: int) -> None:
         """Close all open elements from this one on."""
-        nonlocal asides, links, articles, firm
-        for tag, aside, article, at in reversed(stack[depth:]):
+        nonlocal asides, links, articles, firm, box
+        for tag, aside, article, outer, at in reversed(stack[depth:]):
             opened[tag] -= 1
             asides -= aside > 0
             firm -= aside == FIRM
@@ -150,6 +170,9 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], frozenset[in
                 supposed.append((at[0], total - at[1], told - at[2] if at[2] >= 0 else -1))
             articles -= article
             links -= tag == "a"
+            if outer != box:
+                boxes.last[box] = len(boxes.last) - 1
+                box = outer
         del stack[depth:]
 
     def add(raw: str) -> None:
@@ -211,7 +234,11 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], frozenset[in
         aside = 0 if starts in wrappers else _is_aside(tag, found["rest"], bool(articles))
         article = opens and not aside and not asides
         inside = opened["article"] + opened["main"]
-        stack.append((tag, aside, article, (starts, total, -1 if inside else told)))
+        stack.append((tag, aside, article, box, (starts, total, -1 if inside else told)))
+        if tag in _CONTAINER and tag not in ("html", "body"):
+            boxes.outer.append(box)
+            boxes.last.append(0)
+            box = len(boxes.last) - 1
         opened[tag] += 1
         asides += aside > 0
         firm += aside == FIRM
@@ -221,8 +248,9 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], frozenset[in
     add(page[at:].split("<!--", 1)[0])
     flush()
     close(0)
+    boxes.last[0] = len(boxes.last) - 1
     outside = sum(line.weight for line in lines if line.article)
-    return lines, frozenset(
+    return lines, boxes, frozenset(
         start for start, weight, own in supposed if own > outside or 2 * weight > total and (own < 0 or not outside)
     )
 
@@ -236,10 +264,10 @@ def window_sums(weights: list[int], size: int = WINDOW) -> list[int]:
     return sums
 
 
-def stretches(weights: list[int], size: int = WINDOW) -> list[tuple[int, int]]:
-    """Ranges of lines between a surge and the dive after it."""
+def stretches(weights: list[int], size: int = WINDOW, least: int | None = None) -> list[tuple[int, int]]:
+    """Ranges of lines between a surge and the dive after it; ``least`` is the sum that is a surge."""
     sums, found, start = window_sums(weights, size), [], None
-    level = min(SURGE, SURGE_SHARE * max(sums, default=0))
+    level = min(SURGE, SURGE_SHARE * max(sums, default=0)) if least is None else least
     surged = False
     for i, total in enumerate(sums):
         if total == 0:
@@ -256,18 +284,29 @@ def stretches(weights: list[int], size: int = WINDOW) -> list[tuple[int, int]]:
 
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in order, joined by two line ends."""
-    lines = lines_of(page) if page else []
-    if any(line.article and line.weight for line in lines):
-        lines = [line if line.article else Line("", 0, 0) for line in lines]
+    lines, boxes = lines_of(page) if page else ([], Boxes([0], [0]))
+    told = {line.article for line in lines if line.article and line.weight}
+    if told:
+        return "\n\n".join(line.text for line in lines if line.text and line.article in told)
     weights = [line.weight for line in lines]
     found = stretches(weights)
     if not found:
         return ""
     mass = [sum(weights[a:b]) for a, b in found]
     best = mass.index(max(mass))
-    marked = any(line.article for line in lines[slice(*found[best])])
-    kept = [s for s, m in zip(found, mass) if marked or m >= STRETCH_SHARE * mass[best]]
-    return "\n\n".join(line.text for a, b in kept for line in lines[a:b] if line.text)
+    # What lies beside the richest stretch's own container belongs to it, on the bare page if it surges.
+    around = boxes.outer[boxes.around([line.box for line in lines[slice(*found[best])] if line.text])]
+    within = [around <= line.box <= boxes.last[around] for line in lines]
+    kept = [False] * len(lines)
+    for (a, b), m in zip(found, mass):
+        share = m >= STRETCH_SHARE * mass[best]
+        for i in range(a, b):
+            kept[i] = share or within[i]
+    if around:
+        for a, b in stretches(weights, least=1):
+            for i in range(a, b):
+                kept[i] |= within[i]
+    return "\n\n".join(line.text for line, keep in zip(lines, kept) if keep and line.text)
 
 
 def with_main_text(pages: DataFrame, column: str = "text") -> DataFrame:

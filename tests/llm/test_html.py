@@ -93,3 +93,25 @@ def test_edges(spark):
 )
 def test_a_wrapper_named_like_an_aside_keeps_its_article(page, text):
     assert html.main_text(page) == text
+
+
+LONG = " ".join([STORY] * 8)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><h1>T</h1><p>{STORY}</p><p><a href=x>Read the full report</a></p></article>", f"T\n\n{STORY}\n\nRead the full report"),
+        (
+            f"<article><p>{STORY}</p><ul>" + "".join(f"<li><a href=x>Source {i}</a></li>" for i in range(6)) + "</ul><p>End.</p></article>",
+            "\n\n".join([STORY, *(f"Source {i}" for i in range(6)), "End."]),
+        ),
+        (f"<article><div><p>{LONG}</p></div><figure><img></figure><div><p>Short.</p></div></article>", f"{LONG}\n\nShort."),
+        (f"<div class=content><div><p>{LONG}</p></div><figure><img></figure><div><p>{STORY}</p></div></div>", f"{LONG}\n\n{STORY}"),
+        (f"<body><div><p>{LONG}</p></div><figure><img></figure><div><p>{STORY}</p></div></body>", f"{LONG}\n\n{STORY}"),
+        (f"<div class=content><div><p>{LONG}</p></div><figure><img></figure><div><p>Short.</p></div></div>", f"{LONG}\n\nShort."),
+        (f"<div><a href=x>One</a></div><div class=content><p>{LONG}</p></div><article><a href=x>More</a></article>", LONG),
+    ],
+)
+def test_nothing_inside_the_article_is_dropped(page, text):
+    assert html.main_text(page) == text
