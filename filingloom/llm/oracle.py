@@ -24,4 +24,15 @@ ORACLE = {
         e AS (SELECT *, (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies FROM c)
         SELECT doc_id, size::BIGINT AS size, source_size, target, size * copies AS taken, source, copies FROM e
     """,
+    "op12_max_score": """
+        WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS w FROM embeddings
+                   WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                     coalesce(list_sum([q.w[i] * c.w[i] FOR i IN generate_series(1, least(len(q.w), len(c.w)))]),
+                              0)::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank,
+               vec_id, score
+        FROM s QUALIFY rank <= 20
+    """,
 }

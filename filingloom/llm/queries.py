@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filingloom.llm import backoff, chat, contamination, html, language, lengths, mixing, quality, secrets, simhash
+from filingloom.llm import backoff, chat, contamination, html, language, lengths, mixing, quality, secrets, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,3 +121,9 @@ def op3_backoff_score(spark, sf_dir):
     held = backoff.held_out()
     found = backoff.scored(docs, ~held)
     return found.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op12_max_score(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.whole_components(F.col("embedding")).alias("vector"))
+    return topk.top_rows(vectors, F.col("vec_id") % 20 == 0)
