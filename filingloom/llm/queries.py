@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filingloom.llm import backoff, chat, contamination, html, language, lengths, mixing, quality, secrets, simhash, topk
+from filingloom.llm import alignment, backoff, chat, contamination, html, language, lengths, mixing, quality, secrets, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,3 +127,11 @@ def op3_backoff_score(spark, sf_dir):
 def op12_max_score(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.whole_components(F.col("embedding")).alias("vector"))
     return topk.top_rows(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query
+def op11_token_links(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    found = alignment.encoded(docs).withColumn("groups_sha256", digest).drop("groups")
+    return alignment.with_counts(found)
