@@ -4,7 +4,7 @@ Two tokenizers encode the same bytes, a space and the text. Places where a token
 sequences into groups; the last tokens of a group are linked. Most groups are one token on either side,
 and then both have the same bytes. So a table made once from the vocabularies, from each id of the first
 to the id of the second with the same bytes, names the other end of such a link, and links of that kind
-are counted in a vector as long as the first vocabulary, one for each batch of rows, summed afterwards.
+are counted in a vector as long as the first vocabulary, one for each task, summed afterwards.
 Only links of other groups are shuffled as pairs of ids.
 
 Texts are encoded once. What a document needs later is written: the ids that the table answers for, and
@@ -14,27 +14,35 @@ is the vocabulary's), counts of pairs by a join that adaptive execution can spli
 Defined cases: texts that are NULL or empty, and those of which either tokenizer does not give back every
 byte, have no tokens; strings of special tokens are plain text; rows that repeat count each; rows with a
 NULL id take part; an empty table gives no rows; other columns pass through, those named as a result are
-replaced. Vocabulary files must be at the same path on every executor.
+replaced. Vocabulary files must be at the same path on every executor,
+and the first one is byte-level BPE split as ``PATTERN`` says.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from filingloom.llm.common import broadcast_if_small
+from filingloom.llm.lengths import PATTERN
 from filingloom.sinks.workspace import staged
 
 TOKENIZERS = "/opt/tokenizers"
 FIRST, SECOND = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
 #: Characters encoded at once: what is held besides a batch of rows.
 SLICE = 1 << 19
+#: Texts of these characters alone, without a longer run of white space, go through a faster encoder of the
+#: same merges. What letters, numbers and spaces are is the same in all editions of Unicode for them.
+PLAIN, RUN = re.compile(r"[\t\n\r\x20-\x7e\u00a1-\u024f]*"), re.compile(r"[\t\n\r ]{1000}")
 #: Ids are below this; a pair of ids is one number.
 IDS = 1 << 20
 SPACE = "▁"
@@ -72,6 +80,7 @@ class Pair:
         self.length_a = np.array(list(map(len, self.bytes_a)))
         self.length_b = np.array(list(map(len, self.bytes_b)))
         a, b = range(len(self.bytes_a)), range(len(self.bytes_b))
+        self.quick = self._quick(first)
         # How a token is written in the line of groups, inside its part and at the end of it.
         self.spelt = [*(f"{i}," for i in a), *(f"{i}|" for i in a), *(f"{i}," for i in b), *(f"{i};" for i in b)]
 
@@ -83,11 +92,28 @@ class Pair:
             return bytes([int(re.fullmatch(r"<0x([0-9A-F]{2})>", piece)[1], 16)])
         return piece.replace(SPACE, " ").encode()
 
+    def _quick(self, path: str):
+        """The first vocabulary in a faster encoder, if its ids are in the order of its merges."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as lines:
+            model = json.load(lines)["model"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+            return None
+        ranks = {token: i for i, token in enumerate(self.bytes_a) if token}
+        return tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def first_ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of the first tokenizer."""
+        quick = [self.quick is not None and bool(PLAIN.fullmatch(t)) and not RUN.search(t) for t in texts]
+        rest = iter(self.first.encode_batch_fast([t for t, q in zip(texts, quick) if not q], add_special_tokens=False))
+        return [self.quick.encode_ordinary(t) if q else next(rest).ids for t, q in zip(texts, quick)]
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both for each text; none where bytes are not given back."""
         spaced = [" " + t for t in texts]
-        a = [e.ids for e in self.first.encode_batch_fast(spaced, add_special_tokens=False)]
-        b = self.second.encode(texts, num_threads=1)
+        a, b = self.first_ids(spaced), self.second.encode(texts, num_threads=1)
         for i, text in enumerate(spaced):
             whole = text.encode()
             told = [b"".join(map(held.__getitem__, ids)) for held, ids in ((self.bytes_a, a[i]), (self.bytes_b, b[i]))]
@@ -95,11 +121,11 @@ class Pair:
                 a[i], b[i] = [], []
         return a, b
 
-    def align(self, texts: list[str], tally: np.ndarray) -> pd.DataFrame:
-        """One row per text; links that the table of same bytes answers for are added to ``tally``."""
+    def align(self, texts: list[str], tally: np.ndarray) -> dict[str, pa.Array]:
+        """One value per text; links that the table of same bytes answers for are added to ``tally``."""
         a, b = self.encode(texts)
         n_a, n_b = (np.array(list(map(len, ids)), np.int64) for ids in (a, b))
-        ids_a, ids_b = (np.fromiter((i for own in ids for i in own), np.int64, n) for ids, n in ((a, n_a.sum()), (b, n_b.sum())))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids), np.int64, n.sum()) for ids, n in ((a, n_a), (b, n_b)))
         # Both sides of a text have the same bytes, so places run on over the texts of a slice.
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
         at = np.searchsorted(ends_b, ends_a)
@@ -110,30 +136,25 @@ class Pair:
         regular = (size_a == 1) & (size_b == 1) & (self.same[linked_a] == linked_b)
         tally += np.bincount(linked_a[regular], minlength=len(tally))
         text = np.searchsorted(np.cumsum(n_a), last_a, side="right")
-        stops = np.arange(1, len(texts))
 
-        def by_text(values: np.ndarray, own: np.ndarray) -> list[np.ndarray]:
-            return np.split(values, np.searchsorted(own, stops))
+        def by_text(values: np.ndarray, own: np.ndarray, kind: pa.DataType) -> pa.Array:
+            return pa.ListArray.from_arrays(np.searchsorted(own, np.arange(len(texts) + 1)).astype(np.int32), pa.array(values, kind))
 
-        same = by_text(linked_a[regular], text[regular])
         pair = (linked_a * IDS + linked_b)[~regular]
         order = np.lexsort((pair, text[~regular]))
         own, pair = text[~regular][order], pair[order]
         new = np.ones(len(pair), bool)
         new[1:] = (own[1:] != own[:-1]) | (pair[1:] != pair[:-1])
         times = np.diff(np.flatnonzero(new), append=len(new))
-        pairs, times = by_text(pair[new], own[new]), by_text(times, own[new])
-        return pd.DataFrame(
-            {
-                "n_a": n_a,
-                "n_b": n_b,
-                "n_groups": np.bincount(text, minlength=len(texts)),
-                "groups": self._lines(ids_a, ids_b, last_a, last_b, n_a + n_b),
-                "same": same,
-                "pairs": pairs,
-                "times": times,
-            }
-        )
+        return {
+            "n_a": pa.array(n_a),
+            "n_b": pa.array(n_b),
+            "n_groups": pa.array(np.bincount(text, minlength=len(texts)), pa.int64()),
+            "groups": pa.array(self._lines(ids_a, ids_b, last_a, last_b, n_a + n_b), pa.string()),
+            "_same": by_text(linked_a[regular], text[regular], pa.int32()),
+            "_pairs": by_text(pair[new], own[new], pa.int64()),
+            "_times": by_text(times, own[new], pa.int32()),
+        }
 
     def _lines(self, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, n: np.ndarray) -> list[str]:
         """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
@@ -156,49 +177,62 @@ def pair(first: str = FIRST, second: str = SECOND) -> Pair:
     return Pair(first, second)
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
+def _slices(texts: list[str | None]) -> Iterator[list[str | None]]:
     part, held = [], 0
     for text in texts:
-        if part and held + len(text) > SLICE:
+        size = len(text or "")
+        if part and held + size > SLICE:
             yield part
             part, held = [], 0
         part.append(text)
-        held += len(text)
+        held += size
     if part:
         yield part
 
 
 _RESULTS = ("n_a", "n_b", "n_groups", "groups")
-_HELD = ("_same", "_pairs", "_times", "_tally", "_row", "_found")
+_HELD = ("_same", "_pairs", "_times", "_tally")
+#: Names that the joins of counts use; columns of them do not pass through.
+_OWN = ("_row", "_found", "_sum", "_best")
 
 
 def encoded(docs: DataFrame, first: str = FIRST, second: str = SECOND) -> DataFrame:
     """Each row without its text, with ``n_a``, ``n_b``, ``n_groups``, the line ``groups``, and what counts need.
 
-    One row of each batch has the batch's vector of counts, as two arrays of ids and numbers.
+    One row of each task has the task's vector of counts, as an array of ids and numbers.
     """
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kept = [c for c in docs.columns if c not in (*_RESULTS, *_HELD, *_OWN, "text")]
+    fields = [T.StructField(c, T.LongType()) for c in _RESULTS[:3]]
+    fields += [T.StructField("groups", T.StringType()), T.StructField("_same", T.ArrayType(T.IntegerType()))]
+    fields += [T.StructField("_pairs", T.ArrayType(T.LongType())), T.StructField("_times", T.ArrayType(T.IntegerType()))]
+    fields += [T.StructField("_tally", T.ArrayType(T.LongType()))]
+    # Numbered names: a name with a dot can't be read by mapInArrow.
+    plain = [f"_{i}" for i in range(len(kept))]
+    schema = T.StructType([T.StructField(p, docs.schema[c].dataType) for p, c in zip(plain, kept)] + fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(first, second)
-        for texts in batches:
-            tally = np.zeros(len(both.bytes_a), np.int64)
-            parts = [both.align(part, tally) for part in _slices(texts.tolist())]
-            out = pd.concat(parts, ignore_index=True) if parts else both.align([], tally)
+        tally, waiting = np.zeros(len(both.bytes_a), np.int64), None
+
+        def out(columns: dict[str, pa.Array], counts: list | None) -> pa.RecordBatch:
+            rows = len(columns["n_a"])
+            columns["_tally"] = pa.array([counts, *[None] * (rows - 1)], pa.list_(pa.int64()))
+            return pa.RecordBatch.from_pydict(columns)
+
+        for batch in batches:
+            at = 0
+            for texts in _slices(batch.column("text").to_pylist()):
+                if waiting:
+                    yield out(waiting, None)
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                waiting = {p: part.column(p) for p in plain} | both.align([t or "" for t in texts], tally)
+        if waiting:
             seen = np.flatnonzero(tally)
-            out["ids"], out["counts"] = ([values, *[None] * (len(out) - 1)][: len(out)] for values in (seen, tally[seen]))
-            yield out
+            yield out(waiting, np.stack([seen, tally[seen]], axis=1).ravel().tolist())
 
-    kind = "n_a long, n_b long, n_groups long, groups string, same array<int>, pairs array<long>, times array<int>, ids array<int>, counts array<long>"
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (*_RESULTS, *_HELD, "text")]
-    found = docs.withColumn("_found", F.pandas_udf(run, kind)(F.coalesce("text", F.lit(""))))
-    return found.select(
-        *kept,
-        *(F.col(f"_found.{c}").alias(c) for c in _RESULTS),
-        F.col("_found.same").alias("_same"),
-        F.col("_found.pairs").alias("_pairs"),
-        F.col("_found.times").alias("_times"),
-        F.when(F.col("_found.ids").isNotNull(), F.struct("_found.ids", "_found.counts")).alias("_tally"),
-    )
+    found = docs.select(*(F.col(f"`{c}`").alias(p) for p, c in zip(plain, kept)), "text").mapInArrow(run, schema)
+    return found.toDF(*kept, *(f.name for f in fields))
 
 
 def pair_counts(held: DataFrame) -> DataFrame:
@@ -209,8 +243,11 @@ def pair_counts(held: DataFrame) -> DataFrame:
 
 def same_counts(held: DataFrame, size: int) -> np.ndarray:
     """Links by id of the first vocabulary, of those that the table answers for: a vector of its length."""
-    each = held.filter("_tally is not null").select(F.explode(F.arrays_zip("_tally.ids", "_tally.counts")).alias("t"))
-    summed = each.groupBy(F.col("t.ids").alias("id")).agg(F.sum("t.counts").alias("n")).toPandas()
+    places = F.sequence(F.lit(0), F.size("_tally") - 2, F.lit(2))
+    each = held.filter(F.size("_tally") > 0).select(
+        F.explode(F.transform(places, lambda i: F.struct(F.get("_tally", i).alias("id"), F.get("_tally", i + 1).alias("n")))).alias("t")
+    )
+    summed = each.groupBy("t.id").agg(F.sum("t.n").alias("n")).toPandas()
     counts = np.zeros(size, np.int64)
     counts[summed["id"].to_numpy(np.int64)] = summed["n"]
     return counts
@@ -222,7 +259,7 @@ def with_counts(found: DataFrame, first: str = FIRST, second: str = SECOND) -> D
     A link's count is how many links of all rows have its pair of ids; it is best if no pair with the
     same second id has a higher one.
     """
-    held = staged(found.withColumn("_row", F.monotonically_increasing_id()), "aligned")
+    held = staged(found.select("*", F.monotonically_increasing_id().alias("_row")), "aligned")
     both = pair(first, second)
     same, counts = both.same, same_counts(held, len(both.bytes_a))
     pairs = staged(pair_counts(held), "pairs")
@@ -251,7 +288,7 @@ def with_counts(found: DataFrame, first: str = FIRST, second: str = SECOND) -> D
     rest = answered.groupBy("_row").agg(
         F.sum(F.col("n") * F.col("_times")).alias("_sum"), F.sum(F.col("best") * F.col("_times")).alias("_best")
     )
-    kept = [F.col(f"`{c}`") for c in held.columns if c not in (*_HELD, "n_links", "n_best", "count_sum")]
+    kept = [F.col(f"`{c}`") for c in held.columns if c not in (*_HELD, *_OWN, "n_links", "n_best", "count_sum")]
     own = held.withColumn("_found", F.pandas_udf(told, "count_sum long, n_best long")("_same"))
     whole = own.select("_row", *kept, "_found").join(rest, "_row", "left")
     return whole.select(
