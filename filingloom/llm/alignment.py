@@ -30,6 +30,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from filingloom.llm.common import broadcast_if_small
@@ -38,11 +39,13 @@ from filingloom.sinks.workspace import staged
 
 TOKENIZERS = "/opt/tokenizers"
 FIRST, SECOND = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
-#: Characters encoded at once: what is held besides a batch of rows.
+#: Bytes of text encoded at once: what is held besides a batch of rows.
 SLICE = 1 << 19
 #: Texts of these characters alone, without a longer run of white space, go through a faster encoder of the
 #: same merges. What letters, numbers and spaces are is the same in all editions of Unicode for them.
 PLAIN, RUN = re.compile(r"[\t\n\r\x20-\x7e\u00a1-\u024f]*"), re.compile(r"[\t\n\r ]{1000}")
+#: Rows whose counts are added up at once.
+ROWS = 512
 #: Ids are below this; a pair of ids is one number.
 IDS = 1 << 20
 SPACE = "▁"
@@ -177,17 +180,15 @@ def pair(first: str = FIRST, second: str = SECOND) -> Pair:
     return Pair(first, second)
 
 
-def _slices(texts: list[str | None]) -> Iterator[list[str | None]]:
-    part, held = [], 0
-    for text in texts:
-        size = len(text or "")
-        if part and held + size > SLICE:
-            yield part
-            part, held = [], 0
-        part.append(text)
-        held += size
-    if part:
-        yield part
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with about ``SLICE`` bytes of text, at least one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        until = max(at + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+        yield batch.slice(at, until - at)
+        at = until
 
 
 _RESULTS = ("n_a", "n_b", "n_groups", "groups")
@@ -220,13 +221,11 @@ def encoded(docs: DataFrame, first: str = FIRST, second: str = SECOND) -> DataFr
             return pa.RecordBatch.from_pydict(columns)
 
         for batch in batches:
-            at = 0
-            for texts in _slices(batch.column("text").to_pylist()):
+            for part in _slices(batch):
                 if waiting:
                     yield out(waiting, None)
-                part = batch.slice(at, len(texts))
-                at += len(texts)
-                waiting = {p: part.column(p) for p in plain} | both.align([t or "" for t in texts], tally)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                waiting = {p: part.column(p) for p in plain} | both.align(texts, tally)
         if waiting:
             seen = np.flatnonzero(tally)
             yield out(waiting, np.stack([seen, tally[seen]], axis=1).ravel().tolist())
@@ -271,13 +270,16 @@ def with_counts(found: DataFrame, first: str = FIRST, second: str = SECOND) -> D
     np.maximum.at(top, highest["id"].to_numpy(np.int64), highest["n"].to_numpy(np.int64))
     best = (same >= 0) & (counts == top[np.maximum(same, 0)])
 
-    def told(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def told(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            sizes = np.array(list(map(len, lists)), np.int64)
-            ids = np.concatenate([np.zeros(0, np.int64), *lists]).astype(np.int64)
-            until = np.cumsum(sizes)
-            sums = [np.concatenate([[0], np.cumsum(v)]) for v in (counts[ids], best[ids].astype(np.int64))]
-            yield pd.DataFrame({name: s[until] - s[until - sizes] for name, s in zip(("count_sum", "n_best"), sums)})
+            sums: list[list[np.ndarray]] = [[], []]
+            for at in range(0, len(lists), ROWS):
+                part = lists.slice(at, ROWS)
+                ids, until = part.flatten().to_numpy(), np.cumsum(pc.list_value_length(part).to_numpy())
+                for out, values in zip(sums, (counts[ids], best[ids])):
+                    out.append(np.diff(np.concatenate([[0], np.cumsum(values)])[until], prepend=0))
+            whole = [pa.array(np.concatenate([np.zeros(0, np.int64), *out]), pa.int64()) for out in sums]
+            yield pa.StructArray.from_arrays(whole, ["count_sum", "n_best"])
 
     tops = held.sparkSession.createDataFrame(pd.DataFrame({"id": np.arange(len(top)), "top": top}))
     of_pair = pairs.join(F.broadcast(tops), second_id == F.col("id")).select("pair", "n", (F.col("n") == F.col("top")).cast("long").alias("best"))
@@ -289,7 +291,7 @@ def with_counts(found: DataFrame, first: str = FIRST, second: str = SECOND) -> D
         F.sum(F.col("n") * F.col("_times")).alias("_sum"), F.sum(F.col("best") * F.col("_times")).alias("_best")
     )
     kept = [F.col(f"`{c}`") for c in held.columns if c not in (*_HELD, *_OWN, "n_links", "n_best", "count_sum")]
-    own = held.withColumn("_found", F.pandas_udf(told, "count_sum long, n_best long")("_same"))
+    own = held.withColumn("_found", F.arrow_udf(told, "count_sum long, n_best long")("_same"))
     whole = own.select("_row", *kept, "_found").join(rest, "_row", "left")
     return whole.select(
         *kept,
