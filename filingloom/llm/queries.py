@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filingloom.llm import alignment, backoff, chat, contamination, html, language, lengths, mixing, quality, secrets, simhash, topk
+from filingloom.llm import (
+    alignment,
+    backoff,
+    chat,
+    contamination,
+    html,
+    language,
+    lengths,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    topk,
+    variants,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,3 +149,9 @@ def op11_token_links(spark, sf_dir):
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
     found = alignment.encoded(docs).withColumn("groups_sha256", digest).drop("groups")
     return alignment.with_counts(found)
+
+
+@query
+def op13_spelling_forms(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.grouped(variants.vocabulary(docs, one_in=199))
