@@ -37,11 +37,14 @@ def _crc_suffix(match: re.Match) -> bool:
 
 
 def _json_header(match: re.Match) -> bool:
-    """The first part of a web token decodes to a JSON object that names an algorithm."""
+    """The first part of a web token decodes to a JSON object that names an algorithm.
+
+    One nested too deeply for the parser is no header.
+    """
     part = match[0].split(b".", 1)[0]
     try:
         header = json.loads(base64.urlsafe_b64decode(part + b"=" * (-len(part) % 4)))
-    except (ValueError, binascii.Error):
+    except (ValueError, binascii.Error, RecursionError):
         return False
     return isinstance(header, dict) and "alg" in header
 

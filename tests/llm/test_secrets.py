@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 import zlib
@@ -81,3 +82,13 @@ def test_edges_and_redaction(make_docs):
 
 def test_overlapping_spans_go_together():
     assert secrets.redact("abcdefgh", [("x", 1, 5), ("y", 3, 7)]) == "a[x]h"
+
+
+def test_a_header_nested_too_deeply_is_no_web_token():
+    def token(header):
+        return base64.urlsafe_b64encode(header.encode()).decode().rstrip("=") + ".eyJhYmNkZWZnaGlq." + "s" * 20
+
+    deep = token('{"a":' + "[" * 20_000 + "]" * 20_000 + ',"alg":1}')
+    plain = token('{"alg":"HS256","typ":"JWT"}')
+    found = secrets.Scanner().spans(f"{deep} {plain}")
+    assert [k for k, *_ in found] == ["web_token"] and found[0][1] == len(deep) + 1
