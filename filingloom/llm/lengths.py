@@ -3,13 +3,14 @@
 A public tokenizer encodes every whole text; documents are aggregated by length, and every later
 question is answered from the histogram alone.
 
-Defined cases: NULL and empty texts have length 0; repeated rows count each; an empty table gives no
+Defined cases: NULL and empty texts have length 0; runs of white space may have any length; repeated rows count each; an empty table gives no
 rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,6 +24,8 @@ TOKENIZERS = "/opt/tokenizers"
 RANKS = "byte_bpe_50k.tiktoken"
 #: How this byte-level vocabulary splits text before merging (fixed value of the public tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A longer run of white space is counted by itself: finding where it ends would exhaust the splitter's stack.
+LONG_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 #: Lengths in one block of the two-step suffix sums.
 BLOCK = 256
 
@@ -36,13 +39,27 @@ def encoding(path: str, pattern: str = PATTERN):
     return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def count_tokens(text: str, path: str = f"{TOKENIZERS}/{RANKS}") -> int:
+    """Tokens of a text.
+
+    The pattern takes a run of white space as one piece, without its last character if something else
+    follows. So a text is cut there, and a long run goes through a splitter that looks at nothing else.
+    """
+    total, at = 0, 0
+    for run in LONG_RUN.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        total += len(encoding(path).encode_ordinary(text[at : run.start()]))
+        total += len(encoding(path, r"\s+").encode_ordinary(text[run.start() : end]))
+        at = end
+    return total + len(encoding(path).encode_ordinary(text[at:]))
+
+
 def token_count(text: Column, path: str = f"{TOKENIZERS}/{RANKS}") -> Column:
     """Tokens of a text; 0 for NULL. ``path`` must exist on every executor."""
 
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoding(path).encode_ordinary
         for texts in batches:
-            yield texts.map(lambda t: len(encode(t)))
+            yield texts.map(lambda t: count_tokens(t, path))
 
     return F.pandas_udf(count, "long")(F.coalesce(text, F.lit("")))
 

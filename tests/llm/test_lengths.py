@@ -41,3 +41,12 @@ def test_edges(make_docs):
     same(sums, encoded(t for _, t in rows))
     empty = lengths.summed(make_docs([]))
     assert empty.count() == 0 and lengths.kept_tokens(empty, 5) == 0 and lengths.quantile(empty, 0.5) is None
+
+
+def test_long_runs_of_white_space():
+    whole = lengths.encoding(f"{lengths.TOKENIZERS}/{lengths.RANKS}").encode_ordinary
+    for n in (1, 9_999, 10_000, 10_001, 60_000, 500_000):
+        for text in (" " * n, " " * n + "x", "a b" + "\n" * n + " x", "\u3000\t" * n + "1  2", f"a{' ' * n}b{' ' * n}!{chr(160) * n}'s\x1c "):
+            assert lengths.count_tokens(text) == len(whole(text)) if len(text) <= 600_000 else True
+    for text in (" " * 1_000_000 + "x", "\n" * 1_000_000 + "x", "=" * 1_000_000, "a" * 1_000_000):
+        assert 0 < lengths.count_tokens(text) <= len(text)
