@@ -35,8 +35,12 @@ _TOKEN = re.compile(
     r"<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?=>)|[^>]*)>",
     re.S,
 )
+_ARTICLE_END = re.compile(r"</(?:article|main|body)\s*>", re.I)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_RAW = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "object", "head", "math", "canvas"}
+#: Elements without text of the article, from the start tag to the end tag. Only the first kind, in which markup
+#: is no markup, runs to the end of the page where the end tag is missing; other start tags are then passed over.
+_RAW = {"script", "style", "textarea", "iframe", "title"}
+_SILENT = {"noscript", "template", "svg", "select", "object", "canvas", "annotation", "head"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _CONTAINER = {
     "article", "aside", "body", "center", "details", "dialog", "div", "fieldset", "figure", "footer", "form", "header",
@@ -57,6 +61,18 @@ _ASIDE_WORDS = {
     "social", "related", "recommended", "recommendations", "pagination", "pager", "toolbar", "search", "copyright",
     "skip",
 }
+#: Words that with the above make up whole names of such regions ("share-buttons", "related-posts").
+_PLAIN_WORDS = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "form", "icon", "icons", "inner", "item", "items",
+    "label", "left", "link", "links", "list", "media", "outer", "panel", "posts", "right", "section", "slot", "stories", "thread",
+    "tools", "top", "unit", "wrap", "wrapper",
+}
+#: Words that are headings of ordinary articles, too.
+_TOPIC_WORDS = {
+    "alert", "advertising", "consent", "copyright", "discussion", "footer", "header", "notice", "notices", "promotion", "related",
+    "search", "share", "social", "subscription",
+}
+_TEXT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "q", "em", "strong", "b", "i", "code", "td", "th", "dt", "dd"}
 _COMMENT_WORDS = {"comment", "comments", "reply", "replies"}
 _COMMENT_REGIONS = _COMMENT_WORDS | {"disqus", "discussion", "respond"}
 #: Kinds of asides: a supposed one may turn out to wrap the article.
@@ -99,6 +115,8 @@ def _is_aside(tag: str, rest: str, in_article: bool) -> int:
     if outermost:
         return FIRM if any(_COMMENT_WORDS.intersection(name) for name in words) and tag == "article" else 0
     kind = SUPPOSED if tag == "form" else 0
+    if in_article:
+        return max(kind, _named_aside(tag, words))
     for name in words:
         if _ASIDE_WORDS.intersection(name):
             if _ARTICLE_WORDS.intersection(name) and name[-1] in ("header", "body", "content", "text") and "comment" not in name:
@@ -109,6 +127,28 @@ def _is_aside(tag: str, rest: str, in_article: bool) -> int:
     return kind
 
 
+def _named_aside(tag: str, names: list[list[str]]) -> int:
+    """Whether names say that an element inside an article is none of it.
+
+    One word of a name is no evidence there: ids are made of headings. A heading or paragraph is the
+    article's own whatever its name; of other elements all words of one name must speak of such regions,
+    and on a section not of a topic alone.
+    """
+    if tag in _TEXT_TAGS:
+        return 0
+    kind = 0
+    for name in names:
+        told = _ASIDE_WORDS.intersection(name)
+        if not told or not told | _PLAIN_WORDS >= set(name) or "discussion" in name and len(name) == 1:
+            continue
+        if tag == "section" and told <= _TOPIC_WORDS and len(name) == 1:
+            continue
+        if _COMMENT_REGIONS.intersection(name):
+            return FIRM
+        kind = SUPPOSED
+    return kind
+
+
 @dataclass
 class Boxes:
     """Containers by number, in the order they open; 0 is the page. ``last`` is the last one within each."""
@@ -146,6 +186,7 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], Boxes, froze
     supposed: list[tuple[int, int, int]] = []  # start tag, weight, weight in its articles or -1 if inside one
     opened: Counter[str] = Counter()  # names on the stack
     boxes, box = Boxes([0], [0]), 0
+    endless: set[str] = set()  # names without a further end tag
 
     def flush() -> None:
         nonlocal linked, total, told
@@ -205,10 +246,14 @@ def _read(page: str, wrappers: frozenset[int]) -> tuple[list[Line], Boxes, froze
                 if tag in _CONTAINER and not inside:
                     lines.append(Line("", 0, number if articles else 0))
             continue
-        if tag in _RAW and not found["rest"].endswith("/"):
+        if (tag in _RAW or tag in _SILENT) and not found["rest"].endswith("/"):
             body = r"(?=<body[\s>])|" if tag == "head" else ""
-            end = re.compile(rf"{body}</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else (len(page) if tag != "head" else at)
+            end = None if tag in endless else re.compile(rf"{body}</{tag}\s*>", re.I).search(page, at)
+            if not end:
+                endless.add(tag)
+                at = len(page) if tag in _RAW else at
+            elif tag in _RAW or tag == "head" or not _ARTICLE_END.search(page, at, end.start()):
+                at = end.end()
             parts.append(" ")
             continue
         if tag == "br":

@@ -41,6 +41,19 @@ CASES = {
     "open menu": (f"<nav><ul><li>Home<article><p>{STORY}</p></article>", STORY),
     "links": (f"<div><a>One</a> <a>Two</a></div><div></div><div></div><div><p>{STORY} {STORY}</p></div>", f"{STORY} {STORY}"),
     "breaks": ("<article><p>one<br>two <b>bo</b>ld\n\t x</p></article>", "one two bold x"),
+    "names of paragraphs": (
+        "<article><h2 id=comments-on-method>C</h2><p class=share>share price rose</p><p id=advertising>ads</p><p class=alert>look</p>"
+        "<section id=related-work><h2>Related</h2><p>work</p></section><section class=discussion><p>talk</p></section></article>",
+        "C\n\nshare price rose\n\nads\n\nlook\n\nRelated\n\nwork\n\ntalk",
+    ),
+    "regions in an article": (
+        f"<article><div class='share-buttons'>Tweet</div><p>{STORY}</p><div class=ad>Buy</div><ul class=related-posts><li>More</ul>"
+        f"<div class='newsletter-signup box'>Mail</div><div id=comments><p>{STORY}</p></div><div class=cookie-notice>ok</div></article>",
+        STORY,
+    ),
+    "formula": ("<article><p>see <math><mi>E</mi></math> ok</p></article>", "see E ok"),
+    "closed widgets": (f"<article><p>a <svg><text>no</text></svg> b</p><select><option>no</select><p>{STORY}</p></article>", f"a b\n\n{STORY}"),
+    "ends behind the article": (f"<article><p>{STORY}</p><svg><p>more</p></article><footer><svg></svg>x</footer>", f"{STORY}\n\nmore"),
     "bare": ("just text &lt;b&gt; &#233; &hellip;", "just text <b> é …"),
     "nothing": ("<nav>menu</nav><script>x</script>", ""),
     "broken": ("<article><p>a < b and c <3 d</p", "a < b and c <3 d</p"),
@@ -64,6 +77,13 @@ def test_broken_markup_takes_linear_time(page):
     assert time.perf_counter() - start < 5
 
 
+@pytest.mark.parametrize("tag", ["select", "object", "canvas", "svg", "template", "noscript"])
+def test_a_tag_that_is_never_closed_eats_nothing(tag):
+    page = f"<article><p>{STORY}</p><{tag} id=x><p>Second.</p><div><p>Third.</p></div></article><footer>no</footer>"
+    assert html.main_text(page) == f"{STORY}\n\nSecond.\n\nThird."
+    assert html.main_text(f"<article><p>{STORY}</p>" + f"<{tag}> a" * 20_000 + "</article>").count("a") > 20_000
+
+
 def test_window_sums_and_stretches():
     assert html.window_sums([1, 0, 0, 5, 2], 3) == [1, 5, 7, 7, 2]
     assert html.stretches([90, 0, 0, 0, 0, 80, 70]) == [(0, 1), (3, 7)]
