@@ -7,19 +7,6 @@ carry-save counter adds up, plane by plane, in how many bits each of them differ
 block is abandoned when all its fingerprints are beyond the radius. A group gives its inner components
 as stars, never its pairs; groups beyond ``GROUP`` nodes are cut into chunks that meet two by two.
 
-Two rules use this. :func:`near_duplicates` links 64-bit fingerprints of three-word shingles, repeats
-included, within two bits, without a miss. :func:`similar` estimates the similarity of sets of five-word
-shingles. That needs wide fingerprints, as 64 bits cannot tell 0.8 from much less: in 512 bits texts of
-similarity 0.8 differ in 78, give or take 8, and of 0.7 in 98. All nodes that share any of 32 bands meet.
-Of pairs at 0.8 this finds about four in five. It links what the first rule links, too.
-
-The pipeline uses neither: :func:`alike` links the sets of five-word shingles whose Jaccard similarity is
-0.8 or more, all of them and no others. Shingles have one order for all sets, frequent ones last; two
-sets that similar share a shingle among the first fifth (and one more) of each, so sets meet by those
-alone. Where a shared shingle stands bounds the overlap, which drops most other pairs, and what is left
-is compared shingle by shingle. Sets first meet one leader per shingle, then all that are not yet
-connected, so that a large group of near copies needs few of its pairs.
-
 Defined cases: NULL text has no words; a text without words has fingerprint zero and is linked like any
 other; fewer words than a shingle make one shingle; rows with a NULL id take part, and a component
 whose ids are all NULL has a NULL id; rows that repeat are one component; an empty table gives no rows;
@@ -53,14 +40,6 @@ SMALL = 1 << 14
 SLICE = 1 << 15
 _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-#: Machine words of a wide fingerprint, its shingles, and the bits in which similar texts may differ.
-LANES = 8
-WIDE_SHINGLE = 5
-WIDE_RADIUS = 88
-
-#: One text in this many is read for shingles that are frequent (so often in those texts), at most so many.
-FREQUENT_ONE_IN, FREQUENT, MOST_FREQUENT = 16, 4, 1 << 16
-
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     """Majority of the XXH64 bits of all shingles, as an unsigned number."""
@@ -95,40 +74,6 @@ def with_fingerprint(docs: DataFrame, column: str = "fingerprint", width: int =
     return docs.withColumn(column, F.pandas_udf(run, "long")("text"))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(31)
-
-
-def shingle_hashes(text: str | None, width: int = WIDE_SHINGLE) -> np.ndarray:
-    """Hashes of the set of shingles: runs of ``width`` words, or all words of a shorter text."""
-    import xxhash
-
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    known = {w: xxhash.xxh64_intdigest(w, HASH_SEED) for w in set(words)}
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(words) - width + 1)
-    found = np.zeros(n, np.uint64)
-    for k in range(min(width, len(words))):
-        found = _mix(found + hashes[k : k + n])
-    return np.unique(found)
-
-
-def wide_fingerprint(text: str | None, width: int = WIDE_SHINGLE, lanes: int = LANES) -> bytes:
-    """Majority of the bits of all different shingles, 64 times ``lanes`` of them; zero without a word."""
-    shingles = shingle_hashes(text, width)
-    steps = np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    votes = np.zeros(64 * lanes, np.int64)
-    for at in range(0, len(shingles), SLICE >> 4):
-        hashes = _mix(shingles[at : at + (SLICE >> 4), None] + steps)
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8), axis=1, bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.uint16)
-    return np.packbits(votes * 2 > len(shingles), bitorder="little").tobytes()
-
-
 def _bits(prints: np.ndarray) -> np.ndarray:
     """A row of bits per fingerprint, each one or several machine words."""
     rows = prints.reshape(len(prints), -1).astype("<u8")
@@ -271,22 +216,8 @@ def links(nodes: DataFrame, radius: int = RADIUS, bands: int = BANDS, group: int
     return _met(nodes.select("fingerprint", F.explode(F.array(*keys)).alias("band")), radius, group)
 
 
-def wide_links(nodes: DataFrame, radius: int = WIDE_RADIUS, group: int = GROUP) -> DataFrame:
-    """:func:`links` for wide fingerprints; a group is those that agree on one band of 16 bits."""
-
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for prints in batches:
-            out = [np.frombuffer(p, "<u2").astype(np.int32) for p in prints]
-            yield pd.Series([b + (np.arange(len(b), dtype=np.int32) << 16) for b in out], index=prints.index, dtype=object)
-
-    bands = F.pandas_udf(cut, "array<int>")("fingerprint")
-    return _met(nodes.select("fingerprint", F.explode(bands).alias("band")), radius, group)
-
-
 def _prints(nodes) -> np.ndarray:
-    """Fingerprints as unsigned machine words, one or several each."""
-    if isinstance(nodes[0], bytes):
-        return np.frombuffer(b"".join(nodes), "<u8").reshape(len(nodes), -1)
+    """Fingerprints as unsigned machine words."""
     return np.asarray(nodes, np.int64).view(np.uint64)
 
 
@@ -320,9 +251,7 @@ def _met(banded: DataFrame, radius: int, group: int) -> DataFrame:
                 out[i] = [{"a": own[j], "b": own[k]} for j, k in near]
             yield pd.Series(out, index=lists.index, dtype=object)
 
-    node = banded.schema["fingerprint"].dataType.simpleString()
-    compare.__name__ = "compare_wide" if node == "binary" else "compare_narrow"  # tells the two apart in plans
-    found = F.pandas_udf(compare, f"array<struct<a: {node}, b: {node}>>")("prints")
+    found = F.pandas_udf(compare, "array<struct<a: long, b: long>>")("prints")
     return groups.select(F.explode(found).alias("e")).select("e.a", "e.b").distinct()
 
 
@@ -339,7 +268,7 @@ def components(edges: DataFrame) -> DataFrame:
     def star(df: DataFrame, large: bool) -> DataFrame:
         """Join each node's neighbours to the least of them and itself."""
         seen = df.unionAll(df.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else df
-        least = seen.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = _for_join(seen, "u", F.least(F.min("v"), F.first("u")).alias("m"))
         met = seen.join(least, "u")
         moved = met.filter("v > u" if large else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         if not large:
@@ -368,170 +297,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE,
     return _named(prints, lambda nodes: links(nodes, radius), root)
 
 
-def similar(docs: DataFrame, radius: int = WIDE_RADIUS, width: int = WIDE_SHINGLE, lanes: int = LANES, root: str | None = None) -> DataFrame:
-    """Like :func:`near_duplicates`, for sets of shingles: the fingerprint is wide (binary).
-
-    What :func:`near_duplicates` links is linked here too; its few links meet the wide fingerprints
-    through one wide fingerprint of each narrow one.
-    """
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            narrow = np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts)).view(np.int64)
-            wide = [wide_fingerprint(t, width, lanes) for t in texts]
-            yield pd.DataFrame({"narrow": narrow, "wide": wide}, index=texts.index)
-
-    # One function for both, so that a task keeps one Python process.
-    both = F.pandas_udf(run, "narrow long, wide binary")("text")
-    kept = [c for c in docs.columns if c not in ("text", "fingerprint", "_narrow", "_both")]
-    found = docs.withColumn("_both", both)
-    prints = checkpointed(
-        found.select(*kept, F.col("_both.narrow").alias("_narrow"), F.col("_both.wide").alias("fingerprint"))
-    )
-
-    def link(nodes: DataFrame) -> DataFrame:
-        pairs = prints.select("_narrow", "fingerprint").distinct()
-        one = checkpointed(pairs.groupBy("_narrow").agg(F.min("fingerprint").alias("wide")))
-        equal = pairs.join(one, "_narrow").filter("fingerprint <> wide").select("fingerprint", "wide")
-        ends = [one.select(F.col("_narrow").alias(end), F.col("wide").alias(f"wide_{end}")) for end in "ab"]
-        near = links(one.select(F.col("_narrow").alias("fingerprint"))).join(ends[0], "a").join(ends[1], "b")
-        return wide_links(nodes, radius).unionAll(equal).unionAll(near.select("wide_a", "wide_b"))
-
-    return _named(prints, link, root).drop("_narrow")
-
-
-def _set_hash(shingles: np.ndarray) -> int:
-    """A signed 64-bit number for a set of shingles."""
-    import xxhash
-
-    return int(np.uint64(xxhash.xxh64_intdigest(shingles.astype("<u8").tobytes(), HASH_SEED)).view(np.int64))
-
-
-def prefix(shingles: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The shingles by which a set meets others: of n the first n - ceil(4 n / 5) + 1, frequent ones last.
-
-    ``frequent`` is sorted and has its ``counts`` beside it. Any order gives the same pairs in the end.
-    """
-    n = len(shingles)
-    if not n:
-        return shingles
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        often = np.where(frequent[at] == shingles, counts[at], 0)
-        shingles = shingles[np.argsort(often, kind="stable")]
-    return shingles[: n - (4 * n + 4) // 5 + 1]
-
-
-def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles in order, and how often they occur in one text of ``FREQUENT_ONE_IN``."""
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([shingle_hashes(t, width).view(np.int64) for t in texts], index=texts.index, dtype=object)
-
-    some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(FREQUENT_ONE_IN)) == 0)
-    found = some.select(F.explode(F.pandas_udf(run, "array<long>")("text")).alias("key"))
-    often = found.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT)
-    rows = often.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).collect()
-    keys = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.array([r["n"] for r in rows], np.int64)[order]
-
-
-def _overlapping(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose prefixes allow a similarity of 0.8.
-
-    Of two prefixes, one ends first in the order; what the other lacks of that one, the other's set lacks.
-    """
-    ends = [nodes.select(F.col("fingerprint").alias(e), F.col("_size").alias(f"_n{e}"), F.col("_prefix").alias(f"_p{e}")) for e in "ab"]
-    met = pairs.join(ends[0], "a").join(ends[1], "b")
-    common = F.size(F.array_intersect("_pa", "_pb"))
-    most = F.greatest(*(F.col(f"_n{e}") - F.size(f"_p{e}") + common for e in "ab"))
-    return met.filter(9 * most >= 4 * (F.col("_na") + F.col("_nb"))).select("a", "b")
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets have a Jaccard similarity of 0.8 or more, counted exactly."""
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sets = [shingle_hashes(t, width) for t in texts]
-            keys = [_set_hash(own) for own in sets]
-            yield pd.DataFrame({"node": keys, "own": [own.view(np.int64) for own in sets]}, index=texts.index)
-
-    pairs = checkpointed(_overlapping(pairs, nodes))
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct()
-    wanted = nodes.select("fingerprint", "_text_hash").join(asked, "fingerprint").select("_text_hash").distinct()
-    texts = docs.select("text", F.xxhash64("text").alias("_text_hash")).join(broadcast_if_small(checkpointed(wanted)), "_text_hash")
-    both = F.pandas_udf(run, "node long, own array<long>")("text")
-    sets = checkpointed(texts.dropDuplicates(["_text_hash"]).select(both.alias("s")).select("s.node", "s.own"))
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("_a")), "a")
-    met = met.join(sets.select(F.col("node").alias("b"), F.col("own").alias("_b")), "b")
-    common = F.size(F.array_intersect("_a", "_b"))
-    return met.filter(9 * common >= 4 * (F.size("_a") + F.size("_b"))).select("a", "b")
-
-
-def _could_be_alike(at: str, size: str, other_at: str, other_size: str):
-    """Whether two sets that share a shingle at these places can be similar: what is before it is not shared."""
-    most = F.least(F.col(size) - F.col(at), F.col(other_size) - F.col(other_at))
-    return 9 * most >= 4 * (F.col(size) + F.col(other_size))
-
-
-def alike_links(nodes: DataFrame, docs: DataFrame, width: int = WIDE_SHINGLE) -> DataFrame:
-    """Edges (a, b), enough to connect all sets of shingles with a Jaccard similarity of 0.8 or more.
-
-    ``nodes`` has one row per set: ``fingerprint``, ``_size``, ``_prefix`` and the ``_text_hash`` of a text.
-    """
-    placed = nodes.select("fingerprint", "_size", F.posexplode("_prefix").alias("_at", "_key"))
-    shared = placed.groupBy("_key").agg(F.count("*").alias("_n")).filter("_n > 1").select("_key")
-    met = checkpointed(placed.join(shared, "_key"))
-    # The leader has the shingle at the earliest place, so the fewest that are its own.
-    least = F.min(F.struct("_at", "fingerprint", "_size")).alias("l")
-    lead = met.groupBy("_key").agg(least).select(
-        "_key", F.col("l._at").alias("_at2"), F.col("l.fingerprint").alias("_lead"), F.col("l._size").alias("_size2")
-    )
-    near = met.join(lead, "_key").filter(_could_be_alike("_at", "_size", "_at2", "_size2") & (F.col("fingerprint") != F.col("_lead")))
-    pairs = near.select(F.least("fingerprint", "_lead").alias("a"), F.greatest("fingerprint", "_lead").alias("b")).distinct()
-    first = checkpointed(_verified(checkpointed(pairs), nodes, docs, width))
-    roots = components(first).withColumnRenamed("node", "fingerprint")
-    rooted = met.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    mixed = rooted.groupBy("_key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("_key")
-    open_ = checkpointed(rooted.join(mixed, "_key"))
-    other = open_.select(
-        "_key", F.col("fingerprint").alias("b"), F.col("_at").alias("_at2"), F.col("_size").alias("_size2"), F.col("root").alias("_root2")
-    )
-    apart = (F.col("a._key") == F.col("o._key")) & (F.col("a.fingerprint") < F.col("o.b")) & (F.col("a.root") != F.col("o._root2"))
-    crossed = open_.alias("a").join(other.alias("o"), apart & _could_be_alike("a._at", "a._size", "o._at2", "o._size2"))
-    rest = checkpointed(crossed.select(F.col("a.fingerprint").alias("a"), F.col("o.b").alias("b")).distinct())
-    return first.unionAll(_verified(rest, nodes, docs, width))
-
-
-def alike(docs: DataFrame, width: int = WIDE_SHINGLE, root: str | None = None) -> DataFrame:
-    """Like :func:`near_duplicates`, for a Jaccard similarity of 0.8 or more of sets of shingles, without a miss.
-
-    ``fingerprint`` is a hash of the set. Texts without a word are alike.
-    """
-    frequent, counts = _frequent(docs, width)
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            rows = []
-            for text in texts:
-                own = shingle_hashes(text, width)
-                rows.append((_set_hash(own), len(own), prefix(own, frequent, counts).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "size", "prefix"], index=texts.index)
-
-    both = F.pandas_udf(run, "node long, size int, prefix array<long>")("text")
-    kept = [c for c in docs.columns if c not in ("text", "fingerprint", "_set", "_size", "_prefix", "_text_hash")]
-    prints = checkpointed(
-        docs.withColumn("_set", both).select(
-            *kept, F.xxhash64("text").alias("_text_hash"), F.col("_set.node").alias("fingerprint"),
-            F.col("_set.size").alias("_size"), F.col("_set.prefix").alias("_prefix"),
-        )
-    )
-    own = ["fingerprint", "_text_hash", "_size", "_prefix"]
-    nodes = checkpointed(prints.select(*own).dropDuplicates(["fingerprint"]))
-    return _named(prints.drop(*own[1:]), lambda _: alike_links(nodes, docs, width), root)
+def _for_join(df: DataFrame, key: str, *measures) -> DataFrame:
+    """One row per key. Its layout serves no join, so a join on the key is laid out anew and a crowded key can be split."""
+    return df.groupBy(key, F.xxhash64(key).alias("_spread")).agg(*measures).drop("_spread")
 
 
 def _named(prints: DataFrame, link, root: str | None = None) -> DataFrame:
@@ -541,25 +309,25 @@ def _named(prints: DataFrame, link, root: str | None = None) -> DataFrame:
     placed = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
     )
-    ids = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    ids = _for_join(placed, "root", F.min("least_id").alias("component_id"))
     named = placed.join(ids, "root").select("fingerprint", "component_id", *([F.col("root").alias(root)] if root else []))
     return prints.drop("component_id").join(named, "fingerprint")
 
 
-def one_of_each(docs: DataFrame, find=alike) -> DataFrame:
+def one_of_each(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component exactly one row stays.
 
     It is the row with the least id, NULL last, then the least text hash, then the least other columns.
-    ``find`` gives the components: :func:`alike`, :func:`similar` or :func:`near_duplicates`.
+    Components are those of :func:`near_duplicates`.
 
     A row is known by its id and a hash of its text, so rows without an id and rows that share one are
     decided each. Which go is decided on narrow rows; whole rows meet that list once.
     """
     key = [F.col("doc_id"), F.xxhash64("text").alias("_hash")]
-    found = find(docs.select(*key, "text"), root="_root")
+    found = near_duplicates(docs.select(*key, "text"), radius, width, root="_root")
     keys = checkpointed(found.groupBy("doc_id", "_hash").agg(F.first("_root").alias("_root"), F.count("*").alias("_n")))
     order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_hash")
-    best = keys.groupBy("_root").agg(F.min(order).alias("_best"))
+    best = _for_join(keys, "_root", F.min(order).alias("_best"))
     marks = keys.join(best, "_root").select(
         F.col("doc_id").alias("_id"), F.col("_hash").alias("_of"), (order != F.col("_best")).alias("_gone"), (F.col("_n") > 1).alias("_again")
     )
