@@ -1,6 +1,6 @@
 """The training corpus pipeline: five stages over ``documents``, each written and read again.
 
-Language ID rejects documents without a clear language; of near copies one stays; documents that hold
+Language ID rejects documents without a clear language; of documents whose fingerprints are near one stays; documents that hold
 benchmark passages go; secrets are replaced inside the texts; at last sources are mixed to their target
 weights, which emits documents as often as they have copies.
 """
