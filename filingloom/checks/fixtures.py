@@ -164,6 +164,23 @@ def mixed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON records whose fields differ from one to the next; some are no objects."""
+    k = F.col("event_id")
+
+    def text(column: Column | str) -> Column:
+        return F.concat(F.lit('"'), column, F.lit('"'))
+
+    level = F.when(k % 7 == 0, F.lit('"high"')).otherwise((k % 4).cast("string"))
+    tags = F.concat(F.lit(',"tags":['), text("event_type"), F.lit(',"x"]'))
+    record = F.concat(
+        *(F.lit('{"user":{"id":'), F.col("user_id").cast("string"), F.lit(',"detail":{"kind":'), text("event_type")),
+        *(F.lit('}},"level":'), level, F.when(k % 3 == 0, tags).otherwise("")),
+        *(F.lit(',"extra":'), F.when(k % 5 == 0, F.lit("{}")).otherwise(F.col("props")), F.lit("}")),
+    )
+    return table(spark, sf_dir, "events").select("event_id", F.when(k % 11 == 0, "[1]").otherwise(record).alias("record"))
+
+
 def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times in eight spellings, some of them unreadable."""
     text = F.substring(F.col("ts").cast("string"), 1, 19)

@@ -428,6 +428,14 @@ ORACLE = {
     "flatten_json": """
         SELECT event_id, event_type AS "detail.kind",
           CAST(json_extract(props, '$.k') AS BIGINT) AS "detail.props.k" FROM events""",
+    "flatten_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    "flatten_mixed": """
+        SELECT event_id, CASE WHEN is_object THEN user_id END AS "user.id",
+          CASE WHEN is_object THEN event_type END AS "user.detail.kind",
+          CASE WHEN is_object AND event_id % 7 = 0 THEN '"high"' WHEN is_object THEN (event_id % 4)::VARCHAR END AS level,
+          CASE WHEN is_object AND event_id % 3 = 0 THEN event_type || '|x' END AS tags,
+          CASE WHEN is_object AND event_id % 5 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS "extra.k"
+        FROM (SELECT *, event_id % 11 <> 0 AS is_object FROM events)""",
     "append_new_only": _sql(
         """SELECT news_id, "SCRIP_CD", ingest_seq FROM pdf
            QUALIFY row_number() OVER (PARTITION BY news_id

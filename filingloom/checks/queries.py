@@ -17,6 +17,7 @@ from filingloom.functions.fiscal import bucketize, fiscal_quarter, fiscal_year
 from filingloom.functions.text import strip_strings, without_last_part
 from filingloom.operators import announcements as ann
 from filingloom.operators import counts, keys, master, numbering, reports, shape
+from filingloom.operators.discovered import flatten_discovered
 from filingloom.plans.backfill import backfill_plan
 from filingloom.plans.compact import compact
 from filingloom.plans.duplicates import remove_duplicates
@@ -271,6 +272,18 @@ def flatten_json(spark, sf):
     return shape.flatten(nested)
 
 
+def flatten_props(spark, sf):
+    """The properties of events, whose fields no schema names."""
+    events = fx.table(spark, sf, "events").select("event_id", "props")
+    return flatten_discovered(events, "props").drop("props")
+
+
+def flatten_mixed(spark, sf):
+    """Records whose fields differ, with lists and values of several kinds."""
+    found = flatten_discovered(fx.nested_records(spark, sf)).drop("record")
+    return found.withColumn("tags", F.array_join("tags", "|"))
+
+
 # --- sinks ------------------------------------------------------------------------------------
 
 
@@ -787,6 +800,8 @@ QUERIES = {
     "recheck_scan": recheck_scan,
     "semi_by_ids": semi_by_ids,
     "flatten_json": flatten_json,
+    "flatten_props": flatten_props,
+    "flatten_mixed": flatten_mixed,
     "append_new_only": append_new_only_query,
     "insert_metrics": insert_metrics,
     "jsonl_archive": jsonl_archive,
