@@ -389,6 +389,32 @@ ORACLE = {
            WHERE strftime(d, '%Y%m%d') NOT IN (SELECT tradedt FROM reply_records)""",
         "reply_records",
     ),
+    "retry_plan": _sql(
+        f"""SELECT * FROM (WITH r AS (SELECT e.tradedt, v.ts, e.event_id, status_class = 'ok' AND e.event_type <> 'error' AS good
+                     FROM replies e JOIN events v USING (event_id)),
+             k AS (SELECT tradedt, ts, good FROM r
+                   UNION ALL SELECT tradedt || '-' || (event_id % 97), ts, good FROM r),
+             p AS (SELECT strftime(unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)),
+                     INTERVAL 1 DAY)), '%Y%m%d') AS tradedt FROM events
+                   UNION ALL SELECT DISTINCT tradedt || '-' || (event_id % 97) FROM r),
+             w AS (SELECT *, count(*) FILTER (WHERE good) OVER (PARTITION BY tradedt ORDER BY ts
+                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wins FROM k),
+             g AS (SELECT tradedt, count(*) FILTER (WHERE wins = 0) AS attempts, max(ts) AS last FROM w GROUP BY tradedt),
+             n AS (SELECT p.tradedt, attempts, CASE WHEN attempts BETWEEN 1 AND 2
+                     THEN last + to_seconds(CASE attempts WHEN 1 THEN 2 ELSE 4 END) END AS next
+                   FROM p LEFT JOIN g USING (tradedt))
+           SELECT tradedt, coalesce(attempts, 0) AS attempts, strftime(next, '%Y-%m-%d %H:%M:%S') AS not_before,
+             CASE WHEN attempts IS NULL THEN 'new' WHEN attempts = 0 THEN 'done' WHEN attempts >= 3 THEN 'given_up'
+                  WHEN next > TIMESTAMP '{EVENTS_AS_OF}' THEN 'waiting' ELSE 'due' END AS state FROM n)""",
+        "replies",
+    ),
+    "cursor_log": """
+        SELECT event_id, strftime(last_value(moved IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+            AND 1 PRECEDING), '%Y-%m-%d %H:%M:%S') AS cursor_before,
+          strftime(last_value(moved IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+            AND CURRENT ROW), '%Y-%m-%d %H:%M:%S') AS cursor_after
+        FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN date_trunc('minute', ts) END AS moved FROM events)
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts)""",
     "union_days": _sql(
         """SELECT * REPLACE (
              CASE WHEN o_orderstatus = 'O' THEN NULL ELSE "ATTACHMENTURL" END AS "ATTACHMENTURL",

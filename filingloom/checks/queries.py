@@ -18,6 +18,7 @@ from filingloom.functions.text import strip_strings, without_last_part
 from filingloom.operators import announcements as ann
 from filingloom.operators import counts, keys, master, numbering, reports, shape
 from filingloom.operators.discovered import flatten_discovered
+from filingloom.plans import backfill
 from filingloom.plans.backfill import backfill_plan
 from filingloom.plans.compact import compact
 from filingloom.plans.duplicates import remove_duplicates
@@ -232,6 +233,31 @@ def backfill_gaps(spark, sf):
     return plan.select("tradedt", "hr", "min", "sec")
 
 
+def retry_plan_query(spark, sf):
+    """What is next for each day, and for each of 97 parts of its replies, which end in all states."""
+    days = fx.table(spark, sf, "events").agg(day_start(F.min("ts")).alias("from_dt"), F.max("ts").alias("to_dt"))
+    plan = requests.request_plan(requests.day_spine(days)).select("tradedt")
+    replies = landed.triage(fx.responses(spark, sf)).join(
+        fx.table(spark, sf, "events").select(F.col("event_id").alias("reply_id"), "ts"), "reply_id"
+    )
+    got = (F.col("status_class") == "ok") & (landed.record_count(F.col("body")) > 0)
+    told = backfill.retry_plan(plan, replies, fx.EVENTS_AS_OF, at="ts", succeeded=got)
+    part = F.concat_ws("-", "tradedt", F.col("reply_id") % 97)
+    parts = replies.select(part.alias("tradedt"), "ts", got.alias("succeeded"))
+    each = backfill.retry_plan(parts.select("tradedt").distinct(), parts, fx.EVENTS_AS_OF, at="ts")
+    both = told.unionByName(each)
+    return both.withColumn("not_before", render(F.date_trunc("second", "not_before")))
+
+
+def cursor_log_query(spark, sf):
+    """The cursor of each user's runs, which catch up at every purchase."""
+    runs = fx.table(spark, sf, "events").select(
+        "event_id", F.col("user_id").alias("stream"), F.col("ts").alias("started_at"), (F.col("event_type") == "purchase").alias("caught_up")
+    )
+    found = backfill.cursor_log(runs)
+    return found.select("event_id", *(render(F.col(c)).alias(c) for c in ("cursor_before", "cursor_after")))
+
+
 def union_days(spark, sf):
     raw = fx.announcements(spark, sf)
     parts = [
@@ -792,6 +818,8 @@ QUERIES = {
     "date_spine_live_literal": date_spine_live_literal,
     "request_plan": request_plan,
     "backfill_gaps": backfill_gaps,
+    "retry_plan": retry_plan_query,
+    "cursor_log": cursor_log_query,
     "union_days": union_days,
     "company_master": company_master,
     "master_last_wins": master_last_wins,

@@ -15,7 +15,7 @@ from filingloom.operators.shape import optional, with_default
 from filingloom.rules import CATEGORY_RULES, DEFAULT_CATEGORY, REPORT_CODES, Rule
 from filingloom.schemas import ANNOUNCEMENTS, REPORTS
 from filingloom.sinks.archive import archive_jsonl
-from filingloom.sinks.tables import other_batches, write_batch
+from filingloom.sinks.tables import other_batches, remove_batch, repeated_keys, write_batch
 from filingloom.sinks.workspace import scratch
 from filingloom.sources.stored import (
     empty_table,
@@ -105,6 +105,11 @@ def store_announcements(clean: DataFrame, store: Store, batch: str) -> int:
     )
 
 
+def _all_unique(repeated: list) -> None:
+    if repeated:
+        raise ValueError(f"report ids are or would be stored twice: {repeated}")
+
+
 def store_reports(
     announcements: DataFrame,
     store: Store,
@@ -119,8 +124,9 @@ def store_reports(
 
     Only stored reports of the announcements' own quarters can share an id or a number with the new
     ones; only their folders are read. Reports that the batch made before keep their numbers if it
-    makes them again. Report ids must be unique afterwards: if they are not, another writer was at
-    work, and an error says so.
+    makes them again. Reports are written aside first, and published only if no report id in them is
+    stored by then: if one is, another writer was at work; an error says so and the table is as it was.
+    A writer that publishes in the same moment is found right after; then this batch is taken out again.
     """
     spark = announcements.sparkSession
     quarters = [
@@ -143,12 +149,18 @@ def store_reports(
             narrow_first=narrow_first,
             own=None if own.isEmpty() else own,
         )
-        n_reports = write_batch(reports, store.reports_path, batch, Store.REPORT_PARTITIONS)
+        with scratch(reports, "reports") as aside:
+            others = other_batches(store.reports(spark, quarters), batch).select("report_id")
+            _all_unique(repeated_keys(others.unionAll(aside.select("report_id")), "report_id"))
+            n_reports = write_batch(aside, store.reports_path, batch, Store.REPORT_PARTITIONS)
     if n_reports:
-        ids = store.reports(spark, quarters).groupBy("report_id").agg(F.count(F.lit(1)).alias("n"))
-        repeated = ids.where("n > 1").take(3)
+        now = store.reports(spark, quarters)
+        own = now.where(F.col("batch") == batch).select("report_id")
+        met = now.select("report_id", "batch").join(own, "report_id", "left_semi")
+        repeated = repeated_keys(met, "report_id")
         if repeated:
-            raise ValueError(f"report ids are stored twice: {[row.report_id for row in repeated]}")
+            remove_batch(spark, store.reports_path, batch, Store.REPORT_PARTITIONS)
+        _all_unique(repeated)
     return n_reports
 
 

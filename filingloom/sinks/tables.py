@@ -3,10 +3,10 @@
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from filingloom.operators.keys import keep_first, without_keys
-from filingloom.sinks.workspace import delete_folder, matching_files
+from filingloom.sinks.workspace import delete_folder, matching_files, scratch
 from filingloom.sources.stored import read_table
 
 BATCH_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
@@ -36,17 +36,27 @@ def append_new_only(
     partition_by: Sequence[str] = (),
     schema: T.StructType | None = None,
 ) -> dict[str, int]:
-    """Append the rows whose key is not stored; returns total, inserted and duplicate rows."""
+    """Append the rows whose key is not stored; returns total, inserted and duplicate rows.
+
+    Rows are written aside first and compared once more with the table as it then is, so keys that
+    another writer stored in the meantime count as duplicates.
+    """
+    spark = df.sparkSession
     offered, taken = Observation(), Observation()
-    stored = read_table(df.sparkSession, path, schema or df.schema)
-    rows = new_rows(df.observe(offered, F.count(F.lit(1)).alias("n")), stored, keys, order_by)
-    (
-        even_files(rows, partition_by)
-        .observe(taken, F.count(F.lit(1)).alias("n"))
-        .write.mode("append")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+
+    def stored() -> DataFrame:
+        return read_table(spark, path, schema or df.schema)
+
+    rows = new_rows(df.observe(offered, F.count(F.lit(1)).alias("n")), stored(), keys, order_by)
+    with scratch(rows, "aside") as aside:
+        still_new = without_keys(aside, stored(), keys, narrow_first=True, unique=True)
+        (
+            even_files(still_new, partition_by)
+            .observe(taken, F.count(F.lit(1)).alias("n"))
+            .write.mode("append")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
     total, inserted = offered.get["n"], taken.get["n"]
     return {"total": total, "inserted": inserted, "duplicates": total - inserted}
 
@@ -86,6 +96,18 @@ def write_batch(
     return n_written
 
 
+def repeated_keys(table: DataFrame, key: str) -> list:
+    """Some of the keys that a table holds twice; none if all is well."""
+    counts = table.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return sorted(row[0] for row in counts.where("_n > 1").take(3))
+
+
+def remove_batch(spark: SparkSession, path: str, batch: str, partition_by: Sequence[str]) -> None:
+    """Take the output of one batch out of a table again."""
+    for folder in matching_files(spark, f"{path}{'/*' * len(partition_by)}/batch={batch}/part-*"):
+        delete_folder(spark, folder)
+
+
 def other_batches(table: DataFrame, batch: str) -> DataFrame:
     """A stored table without what the named batch has written (pruned by partition)."""
     return table.where(F.col("batch") != batch)

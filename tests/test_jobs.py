@@ -14,8 +14,10 @@ from filingloom.plans.duplicates import remove_duplicates
 from filingloom.plans.ingest import Store, run_batch
 from filingloom.plans.recheck import recheck
 from filingloom.schemas import COMPANY_MASTER, REPORTS
+from filingloom.sinks import tables
 from filingloom.sinks.archive import archive_jsonl
 from filingloom.sinks.tables import append_new_only, write_batch
+from filingloom.sinks.workspace import staged
 from filingloom.sources.stored import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -270,6 +272,56 @@ def test_repeated_report_ids_are_an_error(spark, tmp_path):
         run_batch(case_raw(spark, ("c", AUG2)), master, store, "b3", as_of=fx.AS_OF)
 
 
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_second_writer_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch, when):
+    """Another writer gives a number in the moment before, or right after, this one publishes it."""
+    store, master = Store(str(tmp_path)), case_master(spark)
+    run_batch(case_raw(spark, ("a", AUG1)), master, store, "b1", as_of=fx.AS_OF)
+    build, publish = ingest.build_reports, ingest.write_batch
+
+    def other_writer(rows):
+        taken = rows.drop("batch").withColumn("news_id", F.lit("other"))
+        publish(taken, store.reports_path, "other", Store.REPORT_PARTITIONS)
+
+    def build_and_lose(*args, **options):
+        made = staged(build(*args, **options), "made")
+        if when == "before":
+            other_writer(made)
+        return made
+
+    def publish_and_lose(rows, path, batch, partitions, **options):
+        n = publish(rows, path, batch, partitions, **options)
+        if when == "after" and path == store.reports_path:
+            other_writer(rows)
+        return n
+
+    monkeypatch.setattr(ingest, "build_reports", build_and_lose)
+    monkeypatch.setattr(ingest, "write_batch", publish_and_lose)
+    with pytest.raises(ValueError, match="stored twice"):
+        run_batch(case_raw(spark, ("c", AUG2)), master, store, "b2", as_of=fx.AS_OF)
+    monkeypatch.undo()
+    assert sorted(r.batch for r in store.reports(spark).collect()) == ["b1", "other"]
+    run_batch(case_raw(spark, ("c", AUG2)), master, store, "b2", as_of=fx.AS_OF)
+    ids = [r.report_id for r in store.reports(spark).collect()]
+    assert len(ids) == len(set(ids)) == 3
+
+
+def test_append_counts_what_another_writer_stored_as_duplicates(spark, tmp_path, monkeypatch):
+    path, columns = str(tmp_path / "t"), "news_id string, n int"
+    offered = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2)], columns)
+    choose = tables.new_rows
+
+    def choose_and_lose(*args):
+        made = staged(choose(*args), "made")
+        spark.createDataFrame([("b", 9)], columns).write.mode("append").parquet(path)
+        return made
+
+    monkeypatch.setattr(tables, "new_rows", choose_and_lose)
+    counts = tables.append_new_only(offered, path, ["news_id"], ["n"])
+    assert counts == {"total": 3, "inserted": 1, "duplicates": 2}
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 1), ("b", 9)]
+
+
 def test_batch_names_are_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="named by"):
         write_batch(spark.range(1), str(tmp_path / "t"), "a/*", ())

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from filingloom.functions.dates import render
-from filingloom.plans.backfill import backfill_plan
+from filingloom.plans.backfill import backfill_plan, cursor_log, retry_plan
 from filingloom.schemas import RAW_ANNOUNCEMENT, RESPONSE
 from filingloom.sources import landed, requests, stored
 
@@ -183,3 +183,42 @@ def test_stored_ids_and_scans(spark):
 def test_missing_table_is_empty(spark, tmp_path):
     out = stored.read_table(spark, str(tmp_path / "none"), RESPONSE)
     assert out.schema == RESPONSE and out.count() == 0
+
+
+# --- retries and cursors ------------------------------------------------------------------------
+
+
+def plan_of(spark, *replies, as_of="2025-01-01 00:00:10", days=("a", "b"), **options):
+    plan = spark.createDataFrame([(d,) for d in days], "tradedt string")
+    history = spark.createDataFrame(list(replies), "tradedt string, asked_at string, succeeded boolean")
+    told = retry_plan(plan, history.withColumn("asked_at", F.to_timestamp_ntz("asked_at")), as_of, **options)
+    return {r.tradedt: (r.attempts, r.not_before and r.not_before.isoformat(sep=" "), r.state) for r in told.collect()}
+
+
+def test_retries_wait_twice_as_long_each_time_and_end(spark):
+    at = "2025-01-01 00:00:0{}".format
+    assert plan_of(spark) == {"a": (0, None, "new"), "b": (0, None, "new")}
+    assert plan_of(spark, ("a", at(1), False))["a"] == (1, "2025-01-01 00:00:03", "due")
+    assert plan_of(spark, ("a", at(9), False))["a"] == (1, "2025-01-01 00:00:11", "waiting")
+    assert plan_of(spark, ("a", at(1), False), ("a", at(7), None))["a"] == (2, "2025-01-01 00:00:11", "waiting")
+    assert plan_of(spark, *[("a", at(i), False) for i in (1, 3, 7)])["a"] == (3, None, "given_up")
+    assert plan_of(spark, *[("a", at(i), False) for i in (1, 3, 7)], max_attempts=4)["a"][2] == "waiting"
+
+
+def test_a_success_ends_retries_until_the_next_failure(spark):
+    at = "2025-01-01 00:00:0{}".format
+    lost = [("a", at(i), False) for i in (1, 2, 3)]
+    assert plan_of(spark, *lost, ("a", at(4), True))["a"] == (0, None, "done")
+    assert plan_of(spark, *lost, ("a", at(3), True))["a"] == (0, None, "done")
+    assert plan_of(spark, *lost, ("a", at(4), True), ("a", at(5), False))["a"] == (1, "2025-01-01 00:00:07", "due")
+    other = plan_of(spark, (None, at(1), False), ("a", None, True), ("z", at(1), True))
+    assert other == {"a": (0, None, "new"), "b": (0, None, "new")}
+
+
+def test_the_cursor_moves_when_a_run_has_caught_up(spark):
+    rows = [("s", "2025-01-01 10:00:30", False), ("s", "2025-01-01 10:01:30", True), ("s", "2025-01-01 10:02:30", None)]
+    rows += [("s", "2025-01-01 10:03:30", True), ("t", "2025-01-01 10:09:00", False), ("s", None, True)]
+    runs = spark.createDataFrame(rows, "stream string, started_at string, caught_up boolean")
+    told = cursor_log(runs.withColumn("started_at", F.to_timestamp_ntz("started_at"))).orderBy("stream", "started_at")
+    minute = [(r.cursor_before and r.cursor_before.minute, r.cursor_after and r.cursor_after.minute) for r in told.collect()]
+    assert minute == [(None, None), (None, 1), (1, 1), (1, 3), (None, None)]
