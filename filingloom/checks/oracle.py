@@ -766,6 +766,6 @@ ORACLE = {
         "s_numbered",
     ),
 }
-ORACLE["src_array_layout"] = ORACLE["src_announcements"]
+ORACLE["src_array_layout"] = ORACLE["src_big_arrays"] = ORACLE["src_announcements"]
 ORACLE["rerun_after_later_batch"] = ORACLE["ingest_batches"]
 ORACLE["new_announcements_narrow"] = ORACLE["new_announcements"]

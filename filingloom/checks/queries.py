@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from filingloom.checks import fixtures as fx
 from filingloom.functions.categories import report_code
@@ -103,10 +103,10 @@ def src_announcements(spark, sf):
 
 
 def src_array_layout(spark, sf):
-    """JSON arrays, forty files."""
+    """JSON arrays of up to five thousand records, each a file: more orders are more files."""
     path = new_folder(spark, "arrays")
     rows = fx.announcements(spark, sf).withColumnRenamed("ingest_seq", "order_seq")
-    arrays = rows.groupBy((F.col("order_seq") % 40).alias("part")).agg(
+    arrays = rows.groupBy(F.floor(F.col("order_seq") / 5000).alias("part")).agg(
         F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value")
     )
     arrays.write.partitionBy("part").text(path)
@@ -114,6 +114,21 @@ def src_array_layout(spark, sf):
     return found.drop("ingest_seq", "record")
 
 
+def src_big_arrays(spark, sf):
+    """All announcements in a few long lists, each read by as many tasks as the file has blocks."""
+    path = new_folder(spark, "lists")
+    rows = fx.announcements(spark, sf).withColumnRenamed("ingest_seq", "order_seq")
+    part = F.floor(F.col("order_seq") / 200_000).alias("part")
+    order = Window.partitionBy("part").orderBy("order_seq")
+    before = F.when(F.lag("order_seq").over(order).isNull(), "[").otherwise(",")
+    after = F.when(F.lead("order_seq").over(order).isNull(), "]").otherwise("")
+    record = F.to_json(F.struct(*rows.columns))
+    lines = rows.select(part, "order_seq", record.alias("record"))
+    texts = lines.select("part", "order_seq", F.concat(before, F.col("record"), after).alias("value"))
+    texts.sortWithinPartitions("part", "order_seq").select("part", "value").write.partitionBy("part").text(path)
+    return landed.read_announcements(spark, f"{path}/*", "big_array", extra=ORDER_SEQ).drop("ingest_seq", "record")
+
+
 def src_rejects(spark, sf):
     """Lines of which some are cut, some no object and some followed by more text."""
     path = new_folder(spark, "broken")
@@ -818,6 +833,7 @@ QUERIES = {
     "date_spine_live_literal": date_spine_live_literal,
     "request_plan": request_plan,
     "backfill_gaps": backfill_gaps,
+    "src_big_arrays": src_big_arrays,
     "retry_plan": retry_plan_query,
     "cursor_log": cursor_log_query,
     "union_days": union_days,

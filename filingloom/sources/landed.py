@@ -1,15 +1,18 @@
 """Landed announcements and landed HTTP replies.
 
-Two layouts of announcements are read: ``lines`` (one JSON object per line, which Spark splits
-freely) and ``array`` (one JSON array per file, as a single reply is; such a file is one task, so
-land big days as lines). Schemas are explicit and nothing is inferred. Nothing is lost unseen: what
-is no record is listed by ``read_rejects`` and ``rejected_records``, and a record keeps its whole
-JSON text in ``record``, with the fields no schema names.
+Three layouts of announcements are read: ``lines`` (one JSON object per line, which Spark splits
+freely), ``array`` (one JSON array per file, as a single reply is; such a file is one task) and
+``big_array`` (the same, but a file is read by many tasks; not for streams). Schemas are explicit and
+nothing is inferred. Nothing is lost unseen: what is no record is listed by ``read_rejects`` and
+``rejected_records``, and a record keeps its whole JSON text in ``record``, with the fields no schema
+names.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from filingloom.schemas import RAW_ANNOUNCEMENT
+from filingloom.sinks.workspace import staged
+from filingloom.sources.arrays import read_array_pieces
 
 # Fixed value: what a reply says when a day has no announcements.
 NO_RECORD_MESSAGE = "No Record found"
@@ -82,16 +85,33 @@ def _pieces(files: DataFrame, layout: str) -> DataFrame:
     )
 
 
+def _elements_of_pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Elements of big arrays: ``record``, ``good`` and ``ingest_seq``. A file that is no list has no good one."""
+    listed = F.col("listed")
+    pieces = read_array_pieces(spark, path).withColumn("_ok", F.coalesce(strict_json(listed), F.lit(False)))
+    pieces = staged(pieces, "pieces")
+    broken = pieces.where("not _ok").select("file").distinct()
+    sound = pieces.join(broken, "file", "left_anti")
+    each = sound.select("arrived", "file", "piece", F.posexplode(_elements(listed)).alias("row", "_element"))
+    order = F.struct("arrived", "file", F.col("piece").alias("block"), F.col("row").cast("bigint").alias("row"))
+    elements = each.select(
+        order.alias("ingest_seq"), F.to_json("_element").alias("record"), _is_object(F.col("_element")).alias("good")
+    )
+    lost = pieces.join(broken, "file", "left_semi").withColumn("row", F.lit(0))
+    return elements.unionByName(lost.select(order.alias("ingest_seq"), F.col("text").alias("record"), F.lit(False).alias("good")))
+
+
 def _read(reader, path: str | list[str], layout: str) -> DataFrame:
     if layout not in ("lines", "array"):
-        raise ValueError(f"layout must be lines or array, not {layout!r}")
+        raise ValueError(f"layout must be lines, array or, in a batch, big_array, not {layout!r}")
     return _pieces(reader.option("wholetext", layout == "array").text(path), layout)
 
 
 def _typed(pieces: DataFrame, extra: T.StructType | None) -> DataFrame:
     schema = T.StructType(RAW_ANNOUNCEMENT.fields + (extra.fields if extra else []))
     parsed = pieces.where("good").withColumn("_typed", F.from_json("record", schema, _JSON))
-    return parsed.select("_typed.*", "record", "ingest_file")
+    order = "ingest_seq" if "ingest_seq" in pieces.columns else "ingest_file"
+    return parsed.select("_typed.*", "record", order)
 
 
 def read_announcements(
@@ -101,6 +121,8 @@ def read_announcements(
     extra: T.StructType | None = None,
 ) -> DataFrame:
     """Raw announcements with ``record`` and ``ingest_seq``; fields named in ``extra`` get columns."""
+    if layout == "big_array":
+        return _typed(_elements_of_pieces(spark, path), extra)
     return with_arrival_order(_typed(_read(spark.read, path, layout), extra))
 
 
@@ -108,8 +130,11 @@ def read_rejects(spark: SparkSession, path: str | list[str], layout: str = "line
     """What landed and is no record: ``file`` and ``record``, its text.
 
     A line that is no JSON object, an element of a list that is none, or a whole file whose JSON is
-    broken. Together with ``read_announcements`` these are all landed records.
+    broken (its pieces, for a big array). Together with ``read_announcements`` these are all landed records.
     """
+    if layout == "big_array":
+        lost = _elements_of_pieces(spark, path).where(~F.col("good"))
+        return lost.select(F.col("ingest_seq.file").alias("file"), "record")
     pieces = _read(spark.read, path, layout).where(~F.col("good"))
     return pieces.select(F.col("ingest_file.file").alias("file"), "record")
 
