@@ -15,6 +15,8 @@ from filingloom.sinks.workspace import new_folder, path_exists, staged
 AS_OF = "2001-07-31 12:00:00"
 # Days of the live window of the streams: about the last three years of orders.
 STREAM_DAYS = 2200
+# Days by which a trade may lie behind the latest one in a stream that goes by event time.
+LATE_DAYS = 1100
 EVENTS_AS_OF = "2024-01-30 12:00:00"
 
 

@@ -1,6 +1,6 @@
 """DuckDB SQL for the registered queries, written from the description of each operator."""
 
-from filingloom.checks.fixtures import AS_OF, EVENTS_AS_OF, STREAM_DAYS
+from filingloom.checks.fixtures import AS_OF, EVENTS_AS_OF, LATE_DAYS, STREAM_DAYS
 
 # Building blocks: name -> (the blocks it needs, its SELECT).
 BLOCKS: dict[str, tuple[list[str], str]] = {
@@ -221,6 +221,31 @@ BLOCKS["w_numbered"] = (
     FROM (SELECT *, row_number() OVER (PARTITION BY base_id ORDER BY part, dt, news_id) AS n
           FROM w_based)""",
 )
+# A stream in three parts by event time: ids seen in an earlier part are dropped, then late rows.
+BLOCKS["x_seen"] = (
+    ["a"],
+    """
+    SELECT * FROM (
+      SELECT ingest_seq, ingest_seq % 3 AS part,
+        CASE WHEN "Tradedate" <> 'n/a' THEN strptime("Tradedate", '%d/%m/%Y %H:%M:%S') END AS dt,
+        CASE WHEN "Tradedate" <> 'n/a' AND "AttachmentName" LIKE '%.pdf' THEN "AttachmentName"
+             ELSE 'row ' || ingest_seq END AS seen
+      FROM a)
+    QUALIFY row_number() OVER (PARTITION BY seen ORDER BY part) = 1""",
+)
+BLOCKS["x_told"] = (
+    ["x_seen"],
+    f"""
+    SELECT x.*, coalesce(x.dt < high - INTERVAL {LATE_DAYS} DAY, FALSE) AS late
+    FROM x_seen x LEFT JOIN (SELECT p.part, max(f.dt) FILTER (f.dt <= TIMESTAMP '{AS_OF}') AS high
+                             FROM (VALUES (1), (2)) p(part) JOIN x_seen f ON f.part < p.part GROUP BY p.part) m USING (part)""",
+)
+BLOCKS["x_firsts"] = (
+    ["listed", "x_told"],
+    """SELECT l.* FROM listed l JOIN x_told x USING (ingest_seq) WHERE NOT late AND dt IS NOT NULL""",
+)
+BLOCKS["x_dated"] = _same_chain("dated", "firsts", "x_firsts")
+BLOCKS["x_clean"] = _same_chain("clean", "dated", "x_dated")
 BLOCKS["replies"] = (
     [],
     """
@@ -760,6 +785,12 @@ ORACLE = {
                 date_trunc('day', TIMESTAMP '{AS_OF}' - INTERVAL {STREAM_DAYS - 1} DAY)""",
         "a",
     ),
+    "stream_event_time": _sql(
+        """SELECT ingest_seq AS order_seq, 'stored' AS kind FROM x_clean
+           UNION ALL SELECT ingest_seq, 'late' FROM x_told WHERE late""",
+        "x_clean",
+        "x_told",
+    ),
     "stream_ingest": _sql(
         """SELECT news_id, report_id, category AS report_type, n AS "count", "Tradedate" AS dt_tm
            FROM s_numbered""",

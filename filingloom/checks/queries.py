@@ -1,6 +1,6 @@
 """One registered query per operator, each over whole shared tables."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -803,6 +803,29 @@ def stream_late(spark, sf):
     return spark.read.parquet(store.late_path).select("order_seq").distinct()
 
 
+def stream_event_time(spark, sf):
+    """Three parts with repeats; late is what lies far behind the latest trade of the parts before."""
+    path = new_folder(spark, "stream")
+    raw = fx.announcements(spark, sf).withColumnRenamed("ingest_seq", "order_seq")
+    store = Store(f"{path}/store", ORDER_SEQ, period="year")
+    for number in range(3):
+        again = (F.col("order_seq") % 30 == 0) & F.lit(number > 0)
+        raw.where((F.col("order_seq") % 3 == number) | again).write.mode("append").json(f"{path}/landed")
+        run_stream(
+            landed.stream_announcements(spark, f"{path}/landed", extra=ORDER_SEQ),
+            lambda: master.company_master(fx.companies(spark, sf)),
+            store,
+            f"{path}/checkpoint",
+            available_now=True,
+            late_after=timedelta(days=fx.LATE_DAYS),
+            dedup_delay="5 days",
+            now=lambda: datetime.fromisoformat(fx.AS_OF),
+            order_by=["order_seq"],
+        ).awaitTermination()
+    kept = store.announcements(spark).select("order_seq", F.lit("stored").alias("kind"))
+    return kept.unionByName(spark.read.parquet(store.late_path).select("order_seq", F.lit("late").alias("kind")))
+
+
 def stream_ingest(spark, sf):
     """All announcements landed as files and ingested by the stream, then the stored reports."""
     path = new_folder(spark, "stream")
@@ -904,4 +927,5 @@ QUERIES = {
     "recheck_all_history": recheck_all_history,
     "stream_batches": stream_batches,
     "stream_late": stream_late,
+    "stream_event_time": stream_event_time,
 }

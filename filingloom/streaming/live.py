@@ -3,17 +3,19 @@
 from collections.abc import Callable, Sequence
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from filingloom.functions.dates import parse_trade_date, timestamp
-from filingloom.functions.text import strip
+from filingloom.functions.text import strip, without_last_chars
+from filingloom.operators.announcements import ATTACHMENT_SUFFIX
 from filingloom.plans.ingest import Store, run_batch
 from filingloom.rules import CATEGORY_RULES, REPORT_CODES, Rule
 from filingloom.sinks.tables import write_batch
 from filingloom.sinks.workspace import child_folders, delete_folder
 from filingloom.sources.landed import with_arrival_order
 from filingloom.sources.requests import LIVE_DAYS
+from filingloom.streaming.dedup import dedup_within_watermark
 
 # Fixed value: time between two live runs.
 LIVE_INTERVAL = "1 minute"
@@ -46,15 +48,59 @@ def _clock(spark: SparkSession, folder: str, batch_id: int, now: datetime) -> da
     return now
 
 
+def _traded(raw: DataFrame) -> Column:
+    return parse_trade_date(strip(F.col("Tradedate")))
+
+
+def _high_water(folder: str, batch_id: int, rows: DataFrame, moment: datetime) -> datetime | None:
+    """The latest trade time of all earlier micro-batches; the one up to this batch is noted for the next.
+
+    A micro-batch that is replayed finds what its first attempt found, and notes the same. Times after
+    ``moment`` are no trades yet: one of them would make all that follows late.
+    """
+    spark = rows.sparkSession
+    earlier = [name for name in child_folders(spark, folder) if int(name) < batch_id]
+    found = spark.read.text(f"{folder}/{earlier[-1]}").first() if earlier else None
+    high = datetime.fromisoformat(found.value) if found is not None else None
+    dt = _traded(rows)
+    own = rows.where(dt <= timestamp(moment)).agg(F.max(dt)).first()[0]
+    reached = max((t for t in (high, own) if t is not None), default=None)
+    line = spark.createDataFrame([(reached.isoformat(),)] if reached else [], "value string")
+    line.coalesce(1).write.mode("overwrite").text(f"{folder}/{batch_id:09d}")
+    for name in earlier[:-1]:
+        delete_folder(spark, f"{folder}/{name}")
+    return high
+
+
+def first_arrivals(raw: DataFrame, delay: str) -> DataFrame:
+    """The stream without rows whose news id has arrived in the ``delay`` before, by the stream's state.
+
+    A row without a PDF or a valid date has no say about its id: only its exact repeats go. Of copies in
+    one micro-batch any may stay, and rows of one block of a file may change places. The state goes by the time of the micro-batch, which never runs back, so
+    no row is dropped as late here.
+    """
+    name = strip(F.col("AttachmentName"))
+    news_id = without_last_chars(name, len(ATTACHMENT_SUFFIX))
+    own = F.sha2(F.to_json(F.struct(*(f"`{c}`" for c in raw.columns if c not in ("ingest_file", "ingest_seq")))), 256)
+    good = name.endswith(ATTACHMENT_SUFFIX) & _traded(raw).isNotNull()
+    named = raw.withColumns(
+        {
+            "_key": F.when(good, F.concat(F.lit("id "), news_id)).otherwise(F.concat(F.lit("row "), own)),
+            "_arrived": F.current_timestamp(),
+        }
+    )
+    return dedup_within_watermark(named, "_key", "_arrived", delay).drop("_key", "_arrived")
+
+
 def not_late(raw: DataFrame, since: datetime) -> DataFrame:
     """Rows traded since then; rows without a valid date stay for the cleaning to judge."""
-    dt = parse_trade_date(strip(F.col("Tradedate")))
+    dt = _traded(raw)
     return raw.where(dt.isNull() | (dt >= timestamp(since)))
 
 
 def late(raw: DataFrame, since: datetime) -> DataFrame:
     """The other rows: traded before."""
-    return raw.where(parse_trade_date(strip(F.col("Tradedate"))) < timestamp(since))
+    return raw.where(_traded(raw) < timestamp(since))
 
 
 def run_stream(
@@ -65,6 +111,8 @@ def run_stream(
     *,
     available_now: bool = False,
     live_days: int | None = LIVE_DAYS,
+    late_after: timedelta | None = None,
+    dedup_delay: str | None = None,
     now: Callable[[], datetime] = datetime.now,
     rules: Sequence[Rule] = CATEGORY_RULES,
     codes: dict[str, str] = REPORT_CODES,
@@ -78,7 +126,11 @@ def run_stream(
     Every micro-batch is a ``run_batch``: duplicates inside it are resolved by rank, duplicates of
     earlier batches by the stored ids of the last ``live_days`` days, and rows older than that are
     late: they are counted and written to the table ``late`` of the store as they came, where
-    ``run_batch`` can take them up (``None`` keeps them in and compares with all stored ids). The
+    ``run_batch`` can take them up (``None`` keeps them in and compares with all stored ids).
+    ``late_after`` goes by event time instead: late is what was traded so long before the latest trade
+    of the micro-batches before, restarts included. With ``dedup_delay`` (as "5 days") the stream's
+    state drops repeats of ids that arrived less than that before, so that they reach neither the
+    cleaning nor the stored ids, whatever became of the first one: see ``first_arrivals``. The
     stored tables are the state, so numbers continue across batches and restarts. Output is labelled
     with ``name``, or else the id of the checkpoint, and the batch number: a replayed batch has the
     time of its first attempt and replaces its own output. The company master is read anew for each
@@ -87,14 +139,20 @@ def run_stream(
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if dedup_delay is not None and batch.isEmpty():
+            return  # after each micro-batch the state has one of its own, to forget what is old
         stream = name or _query_id(batch)
         label = f"{stream}-{batch_id:09d}"
         moment = _clock(spark, f"{store.root}/_clocks/{stream}", batch_id, now())
         since, n_late = None, 0
         rows = with_arrival_order(batch) if "ingest_file" in batch.columns else batch
-        if live_days is not None:
+        if late_after is not None:
+            high = _high_water(f"{store.root}/_marks/{stream}", batch_id, rows, moment)
+            since = high and high - late_after
+        elif live_days is not None:
             today: date = moment.date()
             since = datetime.combine(today - timedelta(days=live_days - 1), time())
+        if since is not None:
             n_late = write_batch(late(rows, since), store.late_path, label, ())
             rows = not_late(rows, since)
         counts = run_batch(
@@ -113,6 +171,8 @@ def run_stream(
         if report is not None:
             report(label, {**counts, "late": n_late})
 
+    if dedup_delay is not None:
+        raw = first_arrivals(raw, dedup_delay)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
         raw.writeStream.foreachBatch(ingest)

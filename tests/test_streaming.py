@@ -2,7 +2,7 @@
 
 import json
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -100,6 +100,53 @@ def test_restart_repeats_and_late_rows(live):
     assert len(live.announcements()) == 5
 
 
+def test_event_time_decides_what_is_late_across_restarts(live):
+    day = "{:02d}/08/2025 10:00:00".format
+    live.land(record("first", at=day(1)), record("future", at="01/01/2099 00:00:00"))
+    live.land(record("high", at=day(20)), record("old", at=day(2)))
+    options = {"late_after": timedelta(days=5)}
+    live.run(**options)
+    # Nothing is late before the mark has moved; what lies ahead of the clock does not move it.
+    assert live.announcements() == ["first", "future", "high", "old"]
+    live.land(record("too late", at=day(14)), record("edge", at=day(15)), record("bad", at="n/a"))
+    live.run(**options)
+    assert live.announcements() == ["edge", "first", "future", "high", "old"]
+    late = live.spark.read.parquet(live.store.late_path)
+    assert [r.AttachmentName for r in late.collect()] == ["too late.pdf"]
+    live.land(record("later", at=day(16)))
+    live.run(**options)
+    assert "later" in live.announcements()
+
+
+def test_a_failed_batch_finds_the_same_mark_again(live, monkeypatch):
+    day, options = "{:02d}/08/2025 10:00:00".format, {"late_after": timedelta(days=5), "name": "live"}
+    live.land(record("high", at=day(20)))
+    live.run(**options)
+    live.land(record("higher", at=day(30)), record("edge", at=day(16)))
+    write = ingest.write_batch
+    monkeypatch.setattr(ingest, "write_batch", lambda *a, **k: 1 / 0)
+    with pytest.raises(StreamingQueryException):
+        live.run(**options)
+    monkeypatch.setattr(ingest, "write_batch", write)
+    live.run(**options)
+    assert live.announcements() == ["edge", "high", "higher"]
+
+
+def test_state_drops_repeats_across_restarts(live):
+    counts = []
+    options = {"dedup_delay": "5 days", "live_days": None, "report": lambda label, told: counts.append(told)}
+    live.land(record("a"), record("b"), record("stranger", company=99), record("n", at="n/a"))
+    live.land(record("a", headline="Annual Report"), record("c"), record("n"))
+    live.run(**options)
+    live.land(record("a"), record("b"), record("c"), record("n"), record("stranger", company=1), record("d"))
+    live.run(**options)
+    assert live.announcements() == ["a", "b", "c", "d", "n"]
+    assert [c["announcements"] for c in counts if c["announcements"]] == [2, 2, 1]
+    # The state lost nothing but repeats: a row with a bad date did not hide the good one after it.
+    stored = live.store.announcements(live.spark).where("news_id = 'a'").collect()
+    assert [r.HeadLine for r in stored] == ["credit rating"] or [r.category for r in stored] == ["Credit Rating"]
+
+
 def test_history_without_a_window(live):
     live.land(record("old", at="01/01/2020 00:00:00"))
     live.land(record("old", at="01/01/2020 00:00:00"), record("new"))
