@@ -4,9 +4,10 @@ Words meet in two tries, one of words and one of reversed words. A state is a wo
 a node (a prefix that words share) and the edits made, none or one. Level by level all states are joined
 with the edges that leave their nodes; the edges of a level are counted from the words that are still
 there without an edit. Along an edge a state without an edit goes on if the next code point agrees, and
-otherwise spends its edit: the code point is replaced, one is put in before it, or it is left out. A
-state with an edit goes on only if the next code point agrees. One-edit states that end where a word ends
-are neighbours.
+otherwise may spend its edit: the code point is replaced, or it is left out. A state with an edit goes
+on only if the next code point agrees, and the one behind it follows somewhere. One-edit states that end
+where a word ends are neighbours. Of a pair the longer word finds the other, or of equal ones that with
+the lesser code point, and the pair is returned both ways.
 
 Two words one edit apart agree up to the edit and behind it, so in one of the tries they part in the
 second half of either. Words therefore enter at half their length, where nodes have few words, and no
@@ -79,48 +80,51 @@ def one_edit(a: str, b: str) -> Column:
 
 
 def _level(states: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """Join all states at one depth with the edges there: (states one level deeper, neighbours found)."""
+    """Join all states at one depth with the edges there: (states one level deeper, pairs found)."""
     own = states.filter((F.col("edits") == 0) & (F.char_length("word") > depth))
     edges = own.groupBy("side", "node", _at("word", F.lit(depth)).alias("letter")).agg(
-        F.count("*").alias("n"), F.min("word").alias("low"), F.max("word").alias("high")
+        F.count("*").alias("n"),
+        F.min("word").alias("low"),
+        F.max("word").alias("high"),
+        F.collect_set(_at("word", F.lit(depth + 1))).alias("next"),  # no more than the letters there are
     )
-    met = states.join(edges, ["side", "node"])
+    # At most one row per letter and node on the right, so no key is crowded there.
+    met = states.join(edges.hint("shuffle_hash"), ["side", "node"])
     size, place, letter = F.char_length("word"), F.col("place"), F.col("letter")
     agrees = letter == _at("word", place)
-    may_edit = (F.col("edits") == 0) & ~agrees & (F.lit(depth) >= F.floor(size / 2))
+    may_edit = (F.col("edits") == 0) & (place < size) & (F.lit(depth) >= F.floor(size / 2))
 
     def to(when: Column, place: Column, edits: Column) -> Column:
         return F.when(when, F.struct(place.cast("int").alias("place"), edits.cast("int").alias("edits")))
 
     moves = F.array(
         to(agrees, place + 1, F.col("edits")),
-        to(may_edit & (place < size), place + 1, F.lit(1)),  # another code point in its place
-        to(may_edit, place, F.lit(1)),  # one more before it
-        to(may_edit & (letter == _at("word", place + 1)), place + 2, F.lit(1)),  # it is left out
+        to(may_edit & (letter > _at("word", place)), place + 1, F.lit(1)),  # another code point in its place
+        to(may_edit & ~agrees & (letter == _at("word", place + 1)), place + 2, F.lit(1)),  # it is left out
     )
-    node = F.concat("node", "letter").alias("node")
-    moved = met.select("side", "word", node, "n", "low", "high", F.explode(F.array_compact(moves)).alias("m"))
-    # A written table, as size estimates of a checkpoint multiply from level to level.
-    moved = staged(moved.select("side", "word", "node", "n", "low", "high", "m.place", "m.edits"), "states")
+    moved = met.select(
+        "side", "word", F.concat("node", "letter").alias("node"), "n", "low", "high", "next", F.explode(F.array_compact(moves)).alias("m")
+    ).select("side", "word", "node", "n", "low", "high", "next", "m.place", "m.edits")
     edited, open_, ends = F.col("edits") == 1, F.col("n") > LEAF, F.col("low") == F.col("node")
     deeper = F.lit(depth + 1)
     rest = _after("word", F.col("place"))
     # Two words at a node, neither with an edit: the row of the lesser one compares them.
     first_of_two = ~edited & (F.col("n") == LEAF) & (F.col("word") == F.col("low"))
-    found = F.array(
+    near = F.array(
         F.when(edited & ~open_ & (_after("low", deeper) == rest), F.col("low")),
         F.when(edited & ~open_ & (F.col("low") != F.col("high")) & (_after("high", deeper) == rest), F.col("high")),
         F.when(edited & open_ & ends & (rest == ""), F.col("node")),
         F.when(~edited & open_ & ends & (size == depth + 2), F.col("node")),
         F.when(first_of_two, F.when(one_edit("low", "high"), F.col("high"))),
     )
-    pairs = moved.select("side", "word", F.explode(F.array_compact(found)).alias("near"))
-    # Of two words compared directly only one finds the other.
-    pairs = pairs.unionAll(pairs.select("side", F.col("near").alias("word"), F.col("word").alias("near")))
     # Until all words of about its length have entered, a word alone at its node is still needed.
     early = ~edited & (F.lit(depth) < F.floor((size + 1) / 2))
-    left = moved.filter(F.when(edited, open_ & (rest != "")).otherwise(open_ | early))
-    return left.select("side", "word", "place", "node", "edits"), pairs
+    goes_on = F.when(edited, open_ & (rest != "") & F.array_contains("next", _at("word", F.col("place")))).otherwise(open_ | early)
+    told = moved.select("side", "word", "place", "node", "edits", F.array_compact(near).alias("near"), goes_on.alias("goes_on"))
+    # A written table, as size estimates of a checkpoint multiply from level to level.
+    kept = staged(told.filter(F.col("goes_on") | (F.size("near") > 0)), "states")
+    pairs = kept.filter(F.size("near") > 0).select("side", "word", F.explode("near").alias("near"))
+    return kept.filter("goes_on").select("side", "word", "place", "node", "edits"), pairs
 
 
 def neighbours(words: DataFrame) -> DataFrame:
@@ -148,8 +152,9 @@ def neighbours(words: DataFrame) -> DataFrame:
             states = None
     if found is None:
         return words.select("word", F.col("word").alias("near")).filter(F.lit(False))
-    ahead = [F.when(F.col("side") == 0, F.col(c)).otherwise(F.reverse(c)).alias(c) for c in ("word", "near")]
-    return found.select(*ahead).distinct()
+    one, other = (F.when(F.col("side") == 0, F.col(c)).otherwise(F.reverse(c)) for c in ("word", "near"))
+    both_ways = F.array(*(F.struct(a.alias("word"), b.alias("near")) for a, b in ((one, other), (other, one))))
+    return found.select(F.explode(both_ways).alias("p")).select("p.word", "p.near").distinct()
 
 
 def roots(forms: DataFrame) -> DataFrame:
