@@ -8,6 +8,9 @@ nothing is inferred. Nothing is lost unseen: what is no record is listed by ``re
 names.
 """
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from filingloom.schemas import RAW_ANNOUNCEMENT
@@ -18,27 +21,45 @@ from filingloom.sources.arrays import read_array_pieces
 NO_RECORD_MESSAGE = "No Record found"
 
 
+# Ends the list that a text is parsed in; no text can know it.
+_END = uuid.uuid4().hex
+
 # JSON as the standard has it.
 _JSON = {"allowSingleQuotes": "false"}
 
 
-def _in_list(text: Column) -> Column:
-    return F.concat(F.lit("["), text, F.lit("]"))
+def _parsed(text: Column) -> Column:
+    """A text as the first element of a list that ends with ``_END``; NULL if that is no JSON.
 
+    Parsers stop after the first value. If the list's own end is the second element and no third one
+    follows, the text was one value from its first to its last sign: see :func:`_strict`.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
 
-def strict_json(text: Column) -> Column:
-    """Whether a text is JSON from its first to its last sign.
 
-    Parsers stop after the first value; inside a list and inside an object nothing may follow it.
-    """
-    inside_list = F.try_parse_json(_in_list(text))
-    inside_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
-    return inside_list.isNotNull() & inside_object.isNotNull()
+def _strict(parsed: Column) -> Column:
+    ends = F.try_variant_get(parsed, "$[1]", "string") == _END
+    return F.coalesce(ends, F.lit(False)) & F.try_variant_get(parsed, "$[2]", "variant").isNull()
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used, in filters as well."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def strict_json(text: Column) -> Column:
+    """Whether a text is JSON from its first to its last sign."""
+    return _once(_parsed(text), _strict)
 
 
 def _elements(text: Column) -> Column:
     """The elements of a JSON list; NULL if the text is none."""
-    return F.from_json(text, T.ArrayType(T.VariantType()), _JSON)
+    return _once(_parsed(text), lambda v: F.when(_strict(v), F.try_variant_get(v, "$[0]", "array<variant>")))
+
+
+def _value(text: Column) -> Column:
+    """The value of a JSON text; NULL if it is none."""
+    return _once(_parsed(text), lambda v: F.when(_strict(v), F.try_variant_get(v, "$[0]", "variant")))
 
 
 def _is_object(element: Column) -> Column:
@@ -74,9 +95,7 @@ def _pieces(files: DataFrame, layout: str) -> DataFrame:
     if layout == "lines":
         good = strict_json(text) & text.rlike(r"^\s*\{")
         return rows.select("ingest_file", text.alias("record"), good.alias("good"))
-    whole = F.when(
-        strict_json(text), F.coalesce(_elements(text), F.array(F.try_parse_json(text)))
-    ).otherwise(F.array(F.lit(None).cast(T.VariantType())))
+    whole = _once(_value(text), lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)))
     each = rows.select("ingest_file", "value", F.explode(whole).alias("_element"))
     return each.select(
         "ingest_file",
@@ -160,20 +179,23 @@ def triage(responses: DataFrame, status: str = "status", body: str = "body") ->
     ``unexpected_type``. Only ``ok`` replies hold records. A body must be JSON to its last sign;
     numbers that JSON does not know, such as NaN, make it unparseable.
     """
-    text = F.col(body)
-    # The value is taken from the list that the strict check parses anyway.
-    found = F.try_variant_get(F.try_parse_json(_in_list(text)), "$[0]", "variant")
-    kind = F.when(strict_json(text), F.schema_of_variant(found))
-    message = F.try_variant_get(found, "$.Error_Msg", "string")
-    return responses.withColumn(
-        "status_class",
-        F.when(F.coalesce(F.col(status) != 200, F.lit(True)), "http_error")
-        .when(kind.isNull(), "unparseable")
-        .when(kind.startswith("ARRAY"), "ok")
-        .when(message == NO_RECORD_MESSAGE, "no_record")
-        .when(kind.startswith("OBJECT"), "unexpected_object")
-        .otherwise("unexpected_type"),
-    )
+
+    def of(parsed: Column) -> Column:
+        found = F.try_variant_get(parsed, "$[0]", "variant")
+        return _once(
+            F.struct(
+                F.when(_strict(parsed), F.schema_of_variant(found)).alias("kind"),
+                F.try_variant_get(found, "$.Error_Msg", "string").alias("message"),
+            ),
+            lambda v: F.when(v["kind"].isNull(), "unparseable")
+            .when(v["kind"].startswith("ARRAY"), "ok")
+            .when(v["message"] == NO_RECORD_MESSAGE, "no_record")
+            .when(v["kind"].startswith("OBJECT"), "unexpected_object")
+            .otherwise("unexpected_type"),
+        )
+
+    failed = F.coalesce(F.col(status) != 200, F.lit(True))
+    return responses.withColumn("status_class", F.when(failed, "http_error").otherwise(_once(_parsed(F.col(body)), of)))
 
 
 def _exploded(triaged: DataFrame, body: str) -> tuple[list[str], DataFrame]:
@@ -213,4 +235,4 @@ def rejected_records(triaged: DataFrame, body: str = "body") -> DataFrame:
 
 def record_count(body: Column) -> Column:
     """Elements of a reply; 0 unless it is a list."""
-    return F.when(strict_json(body), F.coalesce(F.size(_elements(body)), F.lit(0))).otherwise(0).cast("bigint")
+    return F.coalesce(F.size(_elements(body)), F.lit(0)).cast("bigint")

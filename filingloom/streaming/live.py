@@ -12,7 +12,7 @@ from filingloom.operators.announcements import ATTACHMENT_SUFFIX
 from filingloom.plans.ingest import Store, run_batch
 from filingloom.rules import CATEGORY_RULES, REPORT_CODES, Rule
 from filingloom.sinks.tables import write_batch
-from filingloom.sinks.workspace import child_folders, delete_folder
+from filingloom.sinks.workspace import child_folders, delete_folder, scratch
 from filingloom.sources.landed import with_arrival_order
 from filingloom.sources.requests import LIVE_DAYS
 from filingloom.streaming.dedup import dedup_within_watermark
@@ -138,9 +138,16 @@ def run_stream(
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
+        if dedup_delay is None:
+            take(batch, batch_id)
+            return
+        # Every reader of the batch would run through the state again.
+        with scratch(batch, "micro-batch") as rows:
+            if not rows.isEmpty():  # the state has micro-batches of its own, to forget what is old
+                take(rows, batch_id)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if dedup_delay is not None and batch.isEmpty():
-            return  # after each micro-batch the state has one of its own, to forget what is old
         stream = name or _query_id(batch)
         label = f"{stream}-{batch_id:09d}"
         moment = _clock(spark, f"{store.root}/_clocks/{stream}", batch_id, now())
