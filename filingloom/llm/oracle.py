@@ -35,4 +35,37 @@ ORACLE = {
                vec_id, score
         FROM s QUALIFY rank <= 20
     """,
+    # CRC-32 from its table; neighbours by words with one place left out.
+    "op13_spelling_forms": r"""
+        WITH RECURSIVE crc AS (SELECT i, 0 AS k, i AS c FROM range(256) t(i)
+                     UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+                     FROM crc WHERE k < 8),
+        codes AS (SELECT list(c ORDER BY i) AS code FROM crc WHERE k = 8),
+        runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+        told AS (SELECT doc_id, run, count(*) AS times FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+        drawn AS (SELECT run, times, xor(4294967295, list_reduce(
+                     flatten([CASE WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT]
+                              ELSE [192 + (unicode(s) >> 6), 128 + (unicode(s) & 63)]::BIGINT[] END
+                              FOR s IN string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, '')]),
+                     lambda h, b: xor(h >> 8, code[(xor(h, b) & 255) + 1]), 4294967295::BIGINT)) AS h
+                  FROM told, codes),
+        spelt AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                         ELSE run END AS word, times FROM drawn),
+        v AS (SELECT word, sum(times)::BIGINT AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+        cut AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest
+                FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM v)),
+        pairs AS (SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+                  UNION SELECT c.word, v.word FROM cut c JOIN v ON c.rest = v.word
+                  UNION SELECT v.word, c.word FROM cut c JOIN v ON c.rest = v.word),
+        best AS (SELECT p.word, count(*) AS n_near, arg_min(p.near, (-m.n, p.near)) AS near, max(m.n) AS near_n
+                 FROM pairs p JOIN v m ON m.word = p.near GROUP BY p.word),
+        forms AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+                         CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n FROM v LEFT JOIN best USING (word)),
+        chain AS (SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+                  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.at WHERE f.form IS NOT NULL),
+        ends AS (SELECT c.word, c.at FROM chain c JOIN forms f ON f.word = c.at WHERE f.form IS NULL)
+        SELECT f.word, f.n, f.n_near, f.form, f.form_n, coalesce(e.at, f.word) AS root
+        FROM forms f LEFT JOIN ends e USING (word)
+    """,
 }
