@@ -1,16 +1,18 @@
 """Benchmark decontamination with a positional inverted index of the training words.
 
-The rarest words of every benchmark window (by how often they occur in training) are its anchors. The
-index stores the postings of anchor words: word, document, position and, as payload, the words around
-it. Windows fetch the postings of their rarest word; the list is intersected with that of the second
-rarest word, adjusted by the offset between the two, and what is left with the lists of all other words
-at their offsets, which gives exact phrases. Proximity matches ask for the rarest words within a
-distance, in any order.
-
-Everything is DataFrame expressions. The text is read three times (word counts, postings, document
-lengths), and what is shuffled is counts per benchmark word, confirmed matches and narrow rows. A word
-is looked up by its folded form, lower case in full Unicode, which can only join more, and compared by
-the exact form, which lowers A-Z alone. Folding a whole text keeps its words and their places.
+The index stores the postings (word, document, place) of every training word that some benchmark window
+has, so it also tells how often each of them occurs. Windows are looked up from their rarest word on: its
+posting list gives candidates, places where the window may lie. The lists of the second and the third
+rarest word are intersected with them, adjusted by the offsets between the words, and what is left with
+the lists of all other words. A list is met at its offset for an exact phrase and within ``distance``
+places of the rarest word, in any order, for a proximity match; a phrase is always a proximity match, so
+one pass from list to list finds both.
+
+Everything is DataFrame expressions. The text is read twice (postings, document lengths). Lists are met by
+document, word and block of places, so a word that fills a long document meets few candidates at a time.
+Rare lists are short, and candidates are few when the long lists come: then the documents and blocks that
+still matter are sent to the long lists, if they are measured to be few enough, so that the lists stay where
+they are. Compared is the exact form of a word, which lowers A-Z alone.
 
 Defined cases: NULL text and NULL items have no words; an item with fewer words than a window is one
 window, an item without words none; rows that repeat an id or a whole row are answered each, from their
@@ -20,9 +22,11 @@ columns pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from filingloom.llm.common import LOWER, UPPER, broadcast_if_small
+from filingloom.llm.common import BROADCAST_BYTES, LOWER, UPPER, broadcast_if_small
 from filingloom.sinks.workspace import checkpointed, scratch
 
 WIDTH = 13
@@ -48,9 +52,9 @@ def lowered(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def folded(text: Column) -> Column:
-    """Lower case that does not depend on a letter's neighbours: the one letter that would is replaced."""
-    return F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3")))
+def exact(word: Column) -> Column:
+    """A word with A-Z lowered; a word of ASCII alone takes the faster way."""
+    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(lowered(word))
 
 
 def windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -67,113 +71,138 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("_text_hash"), "text")
 
 
-def word_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """(term, n): how often each of ``words`` occurs in training, 0 included."""
-    found = docs.select(F.explode(raw_words(folded(F.col("text")))).alias("term"))
-    known = words.select(folded(F.col("word")).alias("term")).distinct()
-    counts = found.join(broadcast_if_small(known, "term"), "term").groupBy("term").agg(F.count("*").alias("n"))
-    return known.join(counts, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
+def numbered(wins: DataFrame) -> DataFrame:
+    """(win, words, items): each different window once, with the ids, as text, of the items that have it."""
+    ids = F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit("")))
+    once = wins.groupBy("words").agg(ids.alias("items"))
+    return checkpointed(once.select(F.monotonically_increasing_id().alias("win"), "words", "items"))
+
+
+def postings(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """The index: (word, doc_id, _text_hash, place) for every occurrence of one of ``words`` (one row each)."""
+    spread = _documents(docs).select(*KEY, F.posexplode(raw_words(F.col("text"))).alias("place", "raw"))
+    own = spread.select(exact(F.col("raw")).alias("word"), *KEY, "place")
+    return own.join(broadcast_if_small(words, "word"), "word")
 
 
-def anchored(wins: DataFrame, counts: DataFrame) -> DataFrame:
-    """Windows with the offsets of their rarest word and of the second rarest, ``first`` and ``second``.
+def ranked(wins: DataFrame, index: DataFrame) -> DataFrame:
+    """(win, word, offset, rank, first, n): the words of each window, ``rank`` 0 the rarest of the training words.
 
-    A window of one word has itself as both. Windows with a word that never occurs are left out.
+    ``first`` is the offset of that rarest word, ``n`` the words of the window. Windows with a word that
+    never occurs are left out.
     """
-    placed = wins.select("*", F.posexplode("words").alias("offset", "word"))
-    rated = placed.join(counts, folded(F.col("word")) == F.col("term")).groupBy("item_id", "start", "words").agg(
-        F.min("n").alias("least"),
-        F.sort_array(F.collect_list(F.struct("n", "offset"))).alias("order"),
-    )
-    return rated.filter("least > 0").select(
-        "item_id",
-        "start",
-        "words",
-        F.col("order")[0]["offset"].alias("first"),
-        F.col("order")[F.least(F.lit(1), F.size("order") - 1)]["offset"].alias("second"),
+    counts = checkpointed(index.groupBy("word").agg(F.count("*").alias("_n")))
+    placed = wins.select("win", F.size("words").alias("n"), F.posexplode("words").alias("offset", "word"))
+    rated = placed.join(counts, "word").groupBy("win", "n").agg(
+        F.sort_array(F.collect_list(F.struct("_n", "offset", "word"))).alias("order")
     )
+    whole = rated.filter(F.size("order") == F.col("n")).withColumn("first", F.col("order")[0]["offset"])
+    spread = whole.select("win", "n", "first", F.posexplode("order").alias("rank", "own"))
+    return checkpointed(spread.select("win", "own.word", "own.offset", "rank", "first", "n"))
+
 
+def _renamed(df: DataFrame, mark: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{mark}{c}") for c in df.columns])
 
-def postings(docs: DataFrame, anchors: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The index: (term, doc_id, _text_hash, place, before, around) for every occurrence of an anchor word.
 
-    ``around`` holds the words from ``before`` places ahead of the occurrence to ``width - 1`` places
-    after it, with A-Z lowered. ``anchors`` has one row per lower-case ``term``.
+def _same(names: tuple[str, ...], mark: str) -> Column:
+    """Equal, NULL ids included, in columns of two sides, one of them renamed."""
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{mark}{c}")) for c in names])
+
+
+def _met(cands: DataFrame, index: DataFrame, terms: DataFrame, reach: int, distance: int) -> DataFrame:
+    """Candidates whose window's ``terms`` all lie within reach, in any order.
+
+    ``phrase`` stays true if each is at its offset, ``close`` if each is within ``distance``. Windows
+    without a row in ``terms`` keep their candidates.
     """
-    text = F.col("text")
-    both = _documents(docs).select(*KEY, raw_words(text).alias("_raw"), raw_words(folded(text)).alias("_folded"))
-    spread = both.select(*KEY, "_raw", F.posexplode("_folded").alias("place", "term"))
-    found = spread.join(broadcast_if_small(anchors, "term"), "term")
-    before = F.least(F.col("place"), F.lit(width - 1))
-    around = F.slice("_raw", F.col("place") - before + 1, before + F.lit(width))
-    return found.select("term", *KEY, "place", before.alias("before"), F.transform(around, lowered).alias("around"))
-
-
-def _candidates(index: DataFrame, wins: DataFrame) -> DataFrame:
-    """Postings of each window's rarest word."""
-    named = wins.withColumn("term", folded(F.element_at("words", F.col("first") + 1)))
-    return index.join(broadcast_if_small(named.withColumn("_size", F.array_join("words", " ")), "term", "_size"), "term")
-
-
-def phrases(index: DataFrame, wins: DataFrame) -> DataFrame:
-    """(doc_id, _text_hash, item_id, start, place, n): exact occurrences of windows, first word at ``place``."""
-    met = _candidates(index, wins)
-    # Where the window's first word would be within the payload, counted from 1.
-    begin = F.col("before") - F.col("first") + 1
-    room = (begin >= 1) & (begin + F.size("words") - 1 <= F.size("around"))
-    at_second = F.get("around", begin - 1 + F.col("second")) == F.get("words", F.col("second"))
-    close = met.filter(room & at_second)
-    whole = F.slice("around", F.greatest(begin, F.lit(1)), F.size("words")) == F.col("words")
-    return close.filter(whole).select(
-        *KEY, "item_id", "start", (F.col("place") - F.col("first")).alias("place"), F.size("words").alias("n")
+    size = reach + 1
+    terms = broadcast_if_small(terms, "word")
+    through = cands.join(broadcast_if_small(terms.select("win").distinct()), "win", "left_anti")
+    asked = cands.join(terms.select("win", "word", (F.col("offset") - F.col("first")).alias("shift")), "win")
+    blocks = F.sequence(F.floor((F.col("at") - reach) / size), F.floor((F.col("at") + reach) / size))
+    asked = asked.withColumn("block", F.explode(blocks))
+    words = terms.select("word").distinct()
+    lists = index.join(broadcast_if_small(words, "word"), "word", "left_semi")
+    lists = lists.select("word", *KEY, "place", F.floor(F.col("place") / size).alias("block"))
+    spots = checkpointed(cands.select(*KEY, F.explode(blocks).alias("block")).distinct())
+    if spots.count() * 16 * len(spots.columns) <= BROADCAST_BYTES:
+        lists = lists.join(F.broadcast(_renamed(spots, "of_")), _same((*KEY, "block"), "of_"), "left_semi")
+    gap = F.col("in_place") - F.col("at")
+    here = _same(("word", *KEY, "block"), "in_")
+    pairs = asked.join(_renamed(lists, "in_"), here & (F.abs(gap) <= reach))
+    met = pairs.groupBy("win", *KEY, "at", "phrase", "close").agg(
+        F.collect_set("word").alias("_words"),
+        F.collect_set(F.when(F.abs(gap) <= distance, F.col("word"))).alias("_close"),
+        F.collect_set(F.when(gap == F.col("shift"), F.col("shift"))).alias("_shifts"),
+    )
+    needs = terms.groupBy("win").agg(F.count_distinct("word").alias("_n_words"), F.count("*").alias("_n_shifts"))
+    kept = met.join(broadcast_if_small(needs), "win").filter(F.size("_words") == F.col("_n_words"))
+    told = kept.select(
+        "win",
+        *KEY,
+        "at",
+        (F.col("phrase") & (F.size("_shifts") == F.col("_n_shifts"))).alias("phrase"),
+        (F.col("close") & (F.size("_close") == F.col("_n_words"))).alias("close"),
     )
+    return checkpointed(through.unionByName(told).filter("phrase or close"))
 
 
-def near(index: DataFrame, wins: DataFrame, distance: int = WIDTH - 1) -> DataFrame:
-    """(doc_id, _text_hash, item_id, start): windows whose two rarest words lie within ``distance`` words.
+def matches(index: DataFrame, terms: DataFrame, width: int = WIDTH, distance: int = WIDTH - 1) -> DataFrame:
+    """(win, doc_id, _text_hash, at, phrase, close, place, n): where windows occur.
 
-    The distance is at most the payload's reach on either side.
+    ``at`` is a place of the window's rarest word. ``phrase``: the window stands there word by word, from
+    ``place`` on; ``close``: each of its words is at most ``distance`` places from ``at``. ``terms`` are
+    those of :func:`ranked`.
     """
-    met = _candidates(index, wins)
-    low = F.greatest(F.col("before") - distance, F.lit(0))
-    reach = F.slice("around", low + 1, F.col("before") + distance + 1 - low)
-    return met.filter(F.array_contains(reach, F.get("words", F.col("second")))).select(*KEY, "item_id", "start").distinct()
+    reach = max(distance, width - 1)
+    rarest = broadcast_if_small(terms.filter("rank = 0").select("win", "word"), "word")
+    found = index.join(rarest, "word").select("win", *KEY, F.col("place").alias("at")).distinct()
+    cands = checkpointed(found.withColumns({"phrase": F.lit(True), "close": F.lit(True)}))
+    for ranks in ("rank = 1", "rank = 2", "rank > 2"):
+        cands = _met(cands, index, terms.filter(ranks), reach, distance)
+    own = broadcast_if_small(terms.filter("rank = 0").select("win", "first", "n"))
+    return cands.join(own, "win").withColumn("place", F.col("at") - F.col("first")).drop("first")
 
 
-def _covered(found: DataFrame) -> DataFrame:
-    """Per document: words inside any occurrence, and the items with one.
+def _covered(found: DataFrame, wins: DataFrame) -> DataFrame:
+    """Per document: words inside any phrase, the items with one, and how many items have a proximity match.
 
-    Occurrences of a document are ordered by place; each adds the words past the furthest end so far.
+    Phrases of a document are ordered by place; each adds the words past the furthest end so far.
     """
-    places = found.groupBy(*KEY, "place").agg(F.max(F.col("place") + F.col("n")).alias("end"))
+    whole = found.filter("phrase")
+    places = whole.groupBy(*KEY, "place").agg(F.max(F.col("place") + F.col("n")).alias("end"))
     order = Window.partitionBy(*KEY).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max("end").over(order), F.lit(0))
     fresh = F.greatest(F.col("end") - F.greatest(F.col("place"), reached), F.lit(0))
     hit = places.withColumn("fresh", fresh).groupBy(*KEY).agg(F.sum("fresh").alias("n_hit"))
-    ids = found.select(*KEY, F.col("item_id").cast("string").alias("item")).distinct()
-    items = ids.groupBy(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash")).agg(
-        F.sort_array(F.collect_list("item")).alias("items")
+    met = found.groupBy(*KEY, "win").agg(F.bool_or("phrase").alias("phrase"), F.bool_or("close").alias("close"))
+    named = met.join(broadcast_if_small(wins.select("win", "items")), "win")
+    ids = named.select(*KEY, "phrase", "close", F.explode("items").alias("item"))
+    each = ids.groupBy(*KEY, "item").agg(F.bool_or("phrase").alias("phrase"), F.bool_or("close").alias("close"))
+    items = each.groupBy(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash")).agg(
+        F.sort_array(F.collect_list(F.when(F.col("phrase"), F.col("item")))).alias("items"),
+        F.count_if("close").alias("n_near"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    return hit.join(items, same).drop("_id", "_hash")
+    return items.join(hit, same, "left").select(F.col("_id"), F.col("_hash"), "n_hit", "items", "n_near")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Every row without its text, with n_words, n_hit, items and ``contaminated``.
+def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, distance: int = WIDTH - 1) -> DataFrame:
+    """Every row without its text, with n_words, n_hit, items, n_near and ``contaminated``.
 
-    ``items`` lists the ids, as text and in order, of the items with an occurring window.
+    ``items`` lists the ids, as text and in order, of the items with an occurring window; ``n_near`` counts
+    the items of which some window has all its words within ``distance`` places of its rarest one.
     """
-    wins = checkpointed(windows(items, width))
-    words = wins.select(F.explode("words").alias("word")).distinct()
-    rare = checkpointed(anchored(wins, word_counts(docs, words)))
-    terms = rare.select(folded(F.element_at("words", F.col("first") + 1)).alias("term")).distinct()
-    with scratch(postings(docs, terms, width), "postings") as index:
-        hits = checkpointed(_covered(phrases(index, rare)))
-    own = ["n_words", "n_hit", "items", "contaminated"]
+    wins = numbered(windows(items, width))
+    words = checkpointed(wins.select(F.explode("words").alias("word")).distinct())
+    with scratch(postings(docs, words), "postings") as index:
+        hits = checkpointed(_covered(matches(index, ranked(wins, index), width, distance), wins))
+    own = ["n_words", "n_hit", "items", "n_near", "contaminated"]
     kept = [c for c in docs.columns if c not in own and c != "text"]
     split = docs.select(*kept, F.xxhash64("text").alias("_text_hash"), raw_words(F.col("text")).alias("_raw"))
     rows = split.withColumn("n_words", count_words(F.col("_raw"))).drop("_raw")
-    marks = broadcast_if_small(hits.select(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash"), "n_hit", "items"))
+    marks = broadcast_if_small(hits, "items")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
     found = rows.join(marks, same, "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
@@ -182,6 +211,7 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataF
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         ((n_hit > 0) & (ONE_IN * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 

@@ -126,6 +126,7 @@ def op5_decontaminate(spark, sf_dir):
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
+        "n_near",
     )
 
 

@@ -1,6 +1,7 @@
 import hashlib
+import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def test_query_on_whole_table(spark):
     expected = set()
     for (doc_id, _), (n, hit, found, bad) in zip(docs, plain(docs, items)):
         expected.add((doc_id, n, hit, len(found), hashlib.sha256(",".join(found).encode()).hexdigest(), bad))
-    got = QUERIES["op5_decontaminate"](spark, SF).collect()
+    got = QUERIES["op5_decontaminate"](spark, SF).drop("n_near").collect()
     assert len(got) == len(docs) and {tuple(r) for r in got} == expected
     assert any(e[5] for e in expected)
 
@@ -95,13 +96,53 @@ def test_without_broadcast(spark, make_docs, monkeypatch):
     case(spark, make_docs, [(i, f"{i} {item} {i % 3}") for i in range(40)], [(1, item), (2, "t3 t4")])
 
 
+def plain_near(docs, items, width=13):
+    """Per document: items of which a window has all its words near some place of its rarest word."""
+    texts = [WORD.findall((t or "").translate(LOW)) for _, t in docs]
+    counts = Counter(w for words in texts for w in words)
+    out = []
+    for words in texts:
+        places = defaultdict(list)
+        for i, w in enumerate(words):
+            places[w].append(i)
+        met = set()
+        for item_id, text in items:
+            own = WORD.findall((text or "").translate(LOW))
+            for i in range(max(1, len(own) - width + 1)) if own else ():
+                win = own[i : i + width]
+                rare = min(enumerate(win), key=lambda x: (counts[x[1]], x[0]))[1]
+                near = lambda w, p: any(abs(q - p) < width for q in places[w])
+                if any(all(near(w, p) for w in win) for p in places[rare]):
+                    met.add(str(item_id))
+        out.append(len(met))
+    return out
+
+
+def test_proximity_by_brute_force(spark, make_docs):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice((1, 2, 3, 14))))) for i in range(12)] + [(3, "w1 w2"), (90, "w1 w1 w1")]
+    rows = [(i, " ".join(rng.choices(words, weights=range(1, 13), k=rng.choice((0, 1, 5, 40, 300))))) for i in range(25)]
+    rows.append(rows[-1])
+    got = contamination.contaminated(make_docs(rows), spark.createDataFrame(items, "item_id long, text string"))
+    found = sorted((r["doc_id"], r["n_near"]) for r in got.collect())
+    assert found == sorted((d[0], n) for d, n in zip(rows, plain_near(rows, items)))
+    case(spark, make_docs, rows, items)
+
+
 def test_near_words_in_any_order(spark, make_docs):
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     docs = make_docs([(1, "gamma x beta alpha"), (2, "alpha " + "x " * 20 + "beta gamma"), (3, "alpha beta gamma")])
-    wins = contamination.windows(items)
-    words = wins.select(F.explode("words").alias("word")).distinct()
-    rare = contamination.anchored(wins, contamination.word_counts(docs, words))
-    terms = rare.select(contamination.folded(F.element_at("words", F.col("first") + 1)).alias("term")).distinct()
-    index = contamination.postings(docs, terms)
-    assert {r["doc_id"] for r in contamination.near(index, rare).collect()} == {1, 3}
-    assert {r["doc_id"] for r in contamination.phrases(index, rare).collect()} == {3}
+    got = {r["doc_id"]: r for r in contamination.contaminated(docs, items).collect()}
+    assert [got[i]["n_near"] for i in (1, 2, 3)] == [1, 0, 1]
+    assert [len(got[i]["items"]) for i in (1, 2, 3)] == [0, 0, 1]
+
+
+def test_repeated_rows_meet_once(spark, make_docs):
+    items = [(1, "one two three four")]
+    case(spark, make_docs, [(None, "a one two three four b")] * 300 + [(7, "one two four")], items)
+
+
+def test_long_lists_without_broadcast(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(contamination, "BROADCAST_BYTES", 0)
+    case(spark, make_docs, [(1, "a " * 3000 + "b a a"), (2, "a b a a")], [(1, "a b a a"), (2, "a " * 13)])
