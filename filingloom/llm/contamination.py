@@ -32,6 +32,7 @@ from filingloom.sinks.workspace import checkpointed, scratch
 WIDTH = 13
 #: Words are ASCII letters and digits and everything beyond ASCII; this is what lies between them.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WITHIN = BETWEEN.replace("[", "[^", 1)
 #: A document is contaminated if at least one word in this many is hit.
 ONE_IN = 20
 KEY = ("doc_id", "_text_hash")
@@ -42,10 +43,10 @@ def raw_words(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), BETWEEN)
 
 
-def count_words(words: Column) -> Column:
-    """How many of :func:`raw_words` are words."""
-    edges = (F.element_at(words, 1) == "").cast("int") + (F.element_at(words, -1) == "").cast("int")
-    return F.greatest(F.size(words) - edges, F.lit(0)).cast("long")
+def count_words(text: Column) -> Column:
+    """How many words a text has: each becomes one letter, and what lies between them goes."""
+    marks = F.regexp_replace(F.coalesce(text, F.lit("")), WITHIN, "a")
+    return F.char_length(F.regexp_replace(marks, BETWEEN, "")).cast("long")
 
 
 def lowered(text: Column) -> Column:
@@ -117,20 +118,20 @@ def _met(cands: DataFrame, index: DataFrame, terms: DataFrame, reach: int, dista
     without a row in ``terms`` keep their candidates.
     """
     size = reach + 1
-    terms = broadcast_if_small(terms, "word")
     through = cands.join(broadcast_if_small(terms.select("win").distinct()), "win", "left_anti")
-    asked = cands.join(terms.select("win", "word", (F.col("offset") - F.col("first")).alias("shift")), "win")
-    blocks = F.sequence(F.floor((F.col("at") - reach) / size), F.floor((F.col("at") + reach) / size))
-    asked = asked.withColumn("block", F.explode(blocks))
+    asked = cands.join(broadcast_if_small(terms.select("win").distinct()), "win", "left_semi")
+    blocks = F.explode(F.sequence(F.floor((F.col("at") - reach) / size), F.floor((F.col("at") + reach) / size)))
+    asked = asked.withColumn("block", blocks)
     words = terms.select("word").distinct()
     lists = index.join(broadcast_if_small(words, "word"), "word", "left_semi")
     lists = lists.select("word", *KEY, "place", F.floor(F.col("place") / size).alias("block"))
-    spots = checkpointed(cands.select(*KEY, F.explode(blocks).alias("block")).distinct())
+    spots = checkpointed(asked.select(*KEY, "block").distinct())
     if spots.count() * 16 * len(spots.columns) <= BROADCAST_BYTES:
         lists = lists.join(F.broadcast(_renamed(spots, "of_")), _same((*KEY, "block"), "of_"), "left_semi")
     gap = F.col("in_place") - F.col("at")
-    here = _same(("word", *KEY, "block"), "in_")
-    pairs = asked.join(_renamed(lists, "in_"), here & (F.abs(gap) <= reach))
+    here = asked.join(_renamed(lists, "in_"), _same((*KEY, "block"), "in_") & (F.abs(gap) <= reach))
+    shifts = terms.select("win", "word", (F.col("offset") - F.col("first")).alias("shift"))
+    pairs = here.withColumnRenamed("in_word", "word").join(broadcast_if_small(shifts, "word"), ["win", "word"])
     met = pairs.groupBy("win", *KEY, "at", "phrase", "close").agg(
         F.collect_set("word").alias("_words"),
         F.collect_set(F.when(F.abs(gap) <= distance, F.col("word"))).alias("_close"),
@@ -200,8 +201,7 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, distance
         hits = checkpointed(_covered(matches(index, ranked(wins, index), width, distance), wins))
     own = ["n_words", "n_hit", "items", "n_near", "contaminated"]
     kept = [c for c in docs.columns if c not in own and c != "text"]
-    split = docs.select(*kept, F.xxhash64("text").alias("_text_hash"), raw_words(F.col("text")).alias("_raw"))
-    rows = split.withColumn("n_words", count_words(F.col("_raw"))).drop("_raw")
+    rows = docs.select(*kept, F.xxhash64("text").alias("_text_hash"), count_words(F.col("text")).alias("n_words"))
     marks = broadcast_if_small(hits, "items")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
     found = rows.join(marks, same, "left")
