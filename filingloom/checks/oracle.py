@@ -635,6 +635,21 @@ ORACLE = {
                WHEN regexp_matches(text, '(?i) the ') OR contains(source, 'src1') THEN 'The'
                ELSE 'Other' END AS category
         FROM documents""",
+    "categorise_by_rule_table": """
+        WITH words AS (
+          SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS w FROM benchmark),
+        rules AS (SELECT w, row_number() OVER (ORDER BY length(w) DESC, w) AS precedence FROM words),
+        hits AS (
+          SELECT doc_id, min_by(w, precedence) AS w
+          FROM documents JOIN rules ON contains(lower(text), w) GROUP BY doc_id)
+        SELECT d.doc_id,
+          CASE WHEN regexp_matches(text, '(?i)@[a-z]+[.]|phone|e-mail') THEN 'Contact'
+               WHEN regexp_matches(text, '(?i)licen[cs]e|copyright') THEN 'Licence'
+               WHEN h.w IS NOT NULL THEN 'word ' || h.w
+               WHEN regexp_matches(text, '(?i)[a-z]{14}') THEN 'Long words'
+               WHEN regexp_matches(text, '(?i) the ') OR contains(source, 'src1') THEN 'The'
+               ELSE 'Other' END AS category
+        FROM documents d LEFT JOIN hits h USING (doc_id)""",
     "category_counts": _sql("SELECT category, count(*) AS n FROM clean GROUP BY category", "clean"),
     "clean_announcements": _sql(
         """SELECT ingest_seq, news_id, "SCRIP_CD", company, selected, "Tradedate", "Descriptor",
@@ -689,6 +704,13 @@ ORACLE = {
     ),
     "reports_full": _sql(f"SELECT {_REPORT_COLUMNS} FROM numbered", "numbered"),
     "reports_continued": _sql(f"SELECT {_REPORT_COLUMNS} FROM fresh", "fresh"),
+    "maintained_counts": _sql(
+        """SELECT regexp_replace(report_id, '_[^_]*$', '') AS base_report_id, count(*) AS n
+           FROM (SELECT report_id FROM e_reports UNION ALL SELECT report_id FROM second)
+           GROUP BY 1""",
+        "e_reports",
+        "second",
+    ),
     "ingest_batches": _sql(
         """SELECT news_id, report_id, category AS report_type, n AS "count", 'run-1' AS batch
            FROM e_reports

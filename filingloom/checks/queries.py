@@ -18,6 +18,7 @@ from filingloom.functions.text import strip_strings, without_last_part
 from filingloom.operators import announcements as ann
 from filingloom.operators import counts, keys, master, numbering, reports, shape
 from filingloom.operators.discovered import flatten_discovered
+from filingloom.operators.rule_table import categorise_by_table
 from filingloom.plans import backfill
 from filingloom.plans.backfill import backfill_plan
 from filingloom.plans.compact import compact
@@ -548,6 +549,37 @@ def categorise_documents(spark, sf):
     return rows.select("doc_id", "category")
 
 
+def word_rules(spark, sf):
+    """A rule per longer word of ``benchmark``, the longest first, between rules that are patterns."""
+    words = fx.table(spark, sf, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))).alias("headline")
+    )
+    place = F.row_number().over(Window.orderBy(F.length("headline").desc(), "headline"))
+    plain = words.distinct().select(
+        (place + 10).cast("bigint").alias("precedence"),
+        F.concat(F.lit("word "), "headline").alias("category"),
+        "headline",
+        F.lit(None).cast("string").alias("body"),
+    )
+    listed = [(0 if i < 2 else 10**9, *rule) for i, rule in enumerate(TEXT_RULES)]
+    return plain.unionByName(
+        spark.createDataFrame(listed, "precedence bigint, category string, headline string, body string")
+    )
+
+
+def categorise_by_rule_table(spark, sf):
+    """Hundreds of rules, read from a table, over whole document texts."""
+    rows = categorise_by_table(
+        fx.table(spark, sf, "documents"),
+        word_rules(spark, sf),
+        descriptor="lang",
+        headline="text",
+        body="source",
+        default="Other",
+    )
+    return rows.select("doc_id", "category")
+
+
 def category_counts(spark, sf):
     return counts.counts_by(clean(spark, sf), "category")
 
@@ -660,9 +692,9 @@ def reports_continued(spark, sf):
     return report_columns(reports.build_reports(rows, earlier_reports(spark, sf), fx.AS_OF))
 
 
-def _batches(spark, sf, name):
+def _batches(spark, sf, name, keep_counts=False):
     """The earlier run and the full run as two stored batches."""
-    store = Store(new_folder(spark, name), period="year")
+    store = Store(new_folder(spark, name), period="year", keep_counts=keep_counts)
     companies = master.company_master(fx.companies(spark, sf))
     raw = fx.announcements(spark, sf)
     for batch, rows in (("run-1", raw.where("o_orderstatus = 'F'")), ("run-2", raw)):
@@ -670,6 +702,15 @@ def _batches(spark, sf, name):
     return store
 
 
+def maintained_counts(spark, sf):
+    """Kept counts number the second batch, and hold after a rerun of the first and a compaction."""
+    store = _batches(spark, sf, "counts", keep_counts=True)
+    raw = fx.announcements(spark, sf).where("o_orderstatus = 'F'")
+    run_batch(raw, master.company_master(fx.companies(spark, sf)), store, "run-1", as_of=fx.AS_OF)
+    compact(spark, store, "merged", ["run-1", "run-2"])
+    return store.report_counts(spark)
+
+
 def ingest_batches(spark, sf):
     store = _batches(spark, sf, "ingest")
     return store.reports(spark).select("news_id", "report_id", "report_type", "count", "batch")
@@ -898,6 +939,7 @@ QUERIES = {
     "remove_duplicates": remove_duplicates_query,
     "categorise": categorise,
     "categorise_documents": categorise_documents,
+    "categorise_by_rule_table": categorise_by_rule_table,
     "category_counts": category_counts,
     "clean_announcements": clean_announcements,
     "clean_after_parse": clean_after_parse,
@@ -910,6 +952,7 @@ QUERIES = {
     "reports_full": reports_full,
     "reports_continued": reports_continued,
     "ingest_batches": ingest_batches,
+    "maintained_counts": maintained_counts,
     "recheck_reports": recheck_reports,
     "stream_ingest": stream_ingest,
     "batch_rerun": batch_rerun,

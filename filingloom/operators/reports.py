@@ -114,13 +114,15 @@ def build_reports(
     narrow_first: bool = False,
     literal_count: bool = False,
     own: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Reports the announcements give rise to, numbered after the stored ones.
 
     Numbers go on after the stored count or the highest stored number, whichever is more;
     ``literal_count``, or ``since``, makes it the count alone. ``own`` holds reports that the same
     batch has made before: those it makes again keep their number, and none of their numbers is given
-    to another.
+    to another. ``counts`` hands in the numbers taken (``base_report_id, n``), ``own`` ones included, so
+    that stored reports are not counted.
 
     ``announcements`` is counted first and read again for group sizes if it is large, so hand in a
     stored table, whose count is in its file footers, rather than a long computation. ``as_of``
@@ -131,7 +133,9 @@ def build_reports(
     candidates = new_reports(based, stored, literal_no_op, narrow_first)
     wanted = based if narrow_first else None
     used = stored if own is None else stored.unionByName(own)
-    if literal_count or since is not None:
+    if counts is not None:
+        pass
+    elif literal_count or since is not None:
         counts = existing_counts(used, since, wanted)
     else:
         counts = taken_numbers(used, wanted)

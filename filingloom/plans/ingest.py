@@ -12,6 +12,7 @@ from filingloom.operators.counts import run_metrics
 from filingloom.operators.numbering import MAX_GROUP_ROWS
 from filingloom.operators.reports import build_reports
 from filingloom.operators.shape import optional, with_default
+from filingloom.plans.report_counts import report_counts
 from filingloom.rules import CATEGORY_RULES, DEFAULT_CATEGORY, REPORT_CODES, Rule
 from filingloom.schemas import ANNOUNCEMENTS, REPORTS
 from filingloom.sinks.archive import archive_jsonl
@@ -34,12 +35,14 @@ class Store:
     that state windows and rechecks read only the periods they need; choose the shortest period that
     still fills files of a good size. Reports are partitioned by calendar quarter and type, because a
     report number counts the reports of one quarter. ``extra`` names further raw fields to keep with
-    the announcements.
+    the announcements. ``keep_counts`` keeps counts per base id beside the reports, for tables in which
+    counting a quarter's reports for every batch is too much.
     """
 
     root: str
     extra: T.StructType = T.StructType()
     period: str = "day"
+    keep_counts: bool = False
 
     ANNOUNCEMENT_PARTITIONS = ("trade_period",)
     REPORT_PARTITIONS = ("quarter_start", "report_type")
@@ -52,6 +55,14 @@ class Store:
     def reports_path(self) -> str:
         return f"{self.root}/reports"
 
+    @property
+    def counts_path(self) -> str:
+        return f"{self.root}/report_counts"
+
+    def report_counts(self, spark: SparkSession, quarters: Iterable[date] | None = None) -> DataFrame:
+        """Numbers used up per base id, from maintained counts: ``base_report_id, n``."""
+        return report_counts(spark, self.reports_path, self.counts_path, quarters)
+
     @property
     def late_path(self) -> str:
         """Raw rows that came too late for a stream."""
@@ -148,6 +159,7 @@ def store_reports(
             max_group_rows=max_group_rows,
             narrow_first=narrow_first,
             own=None if own.isEmpty() else own,
+            counts=store.report_counts(spark, quarters) if store.keep_counts else None,
         )
         with scratch(reports, "reports") as aside:
             others = other_batches(store.reports(spark, quarters), batch).select("report_id")
