@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from filingloom.sinks.workspace import broadcast_up_to, checkpointed
 
@@ -28,7 +28,9 @@ def number_within(
     Group sizes are counted first: a narrow, pre-aggregated pass, left out when the caller knows that
     there are ``rows_at_most`` so many rows and one group could hold them all. Groups of ordinary size
     are numbered by a window. Groups above ``max_group_rows`` are spread over many tasks by range, see
-    ``_number_spread``. All ways give the same numbers.
+    ``_number_spread``. They are as many tasks as the session's shuffles have, or as it takes to keep each
+    below ``MAX_GROUP_ROWS``; a small ``max_group_rows`` adds none, for every task reports to the driver.
+    All ways give the same numbers.
     """
     df = df.where(F.col(group).isNotNull())
     if rows_at_most is not None and rows_at_most <= max_group_rows:
@@ -43,7 +45,7 @@ def number_within(
     df = checkpointed(df)
     large = checkpointed(oversized.select(group))
     large = broadcast_up_to(large, n_groups)
-    parts = 2 * -(-n_rows // max_group_rows)
+    parts = _parts(df.sparkSession, n_rows, max_group_rows)
     ordinary = _number_by_window(df.join(large, group, "left_anti"), group, order_by, start, into)
     spread = _number_spread(
         df.join(large, group, "left_semi"), group, order_by, start, into, parts
@@ -51,6 +53,13 @@ def number_within(
     return ordinary.unionByName(spread)
 
 
+def _parts(spark: SparkSession, n_rows: int, max_group_rows: int) -> int:
+    """How many tasks share the rows of the large groups."""
+    needed = 2 * -(-n_rows // MAX_GROUP_ROWS)
+    ordinary = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(2 * -(-n_rows // max_group_rows), max(needed, ordinary))
+
+
 def _with_start(df: DataFrame, start: DataFrame | None, group: str) -> DataFrame:
     if start is None:
         return df.withColumn("_start", F.lit(0).cast("bigint"))

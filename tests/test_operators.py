@@ -220,6 +220,20 @@ def test_spread_groups_use_many_tasks(spark, skewed):
     assert len(sizes) > 1 and max(r["count"] for r in sizes) < 2000
 
 
+@pytest.mark.parametrize("taken", [None, 5])
+def test_a_small_limit_makes_no_task_per_few_rows(spark, taken):
+    rows = spark.range(600).select(F.lit("hot").alias("g"), "id")
+    start = None if taken is None else spark.createDataFrame([("hot", taken)], "g string, n long")
+    out = numbering.number_within(rows, "g", ["id"], start, max_group_rows=2)
+    assert out.rdd.getNumPartitions() <= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted((r.id, r["count"]) for r in out.collect()) == [(k, k + 1 + (taken or 0)) for k in range(600)]
+
+
+def test_parts_grow_with_the_rows_once_they_are_many(spark):
+    most = numbering.MAX_GROUP_ROWS
+    assert numbering._parts(spark, 100 * most, 100) == numbering._parts(spark, 100 * most, most) == 200
+
+
 # --- reports ----------------------------------------------------------------------------------
 
 
