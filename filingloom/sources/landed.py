@@ -106,16 +106,17 @@ def _pieces(files: DataFrame, layout: str) -> DataFrame:
 
 def _elements_of_pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Elements of big arrays: ``record``, ``good`` and ``ingest_seq``. A file that is no list has no good one."""
-    listed = F.col("listed")
-    pieces = read_array_pieces(spark, path).withColumn("_ok", F.coalesce(strict_json(listed), F.lit(False)))
+    # Each piece is parsed once: what it holds is kept beside it, and NULL tells that it is no list.
+    element = F.transform(
+        _elements(F.col("listed")), lambda e: F.struct(F.to_json(e).alias("record"), _is_object(e).alias("good"))
+    )
+    pieces = read_array_pieces(spark, path).select("arrived", "file", "piece", "text", element.alias("elements"))
     pieces = staged(pieces, "pieces")
-    broken = pieces.where("not _ok").select("file").distinct()
+    broken = pieces.where("elements is null").select("file").distinct()
     sound = pieces.join(broken, "file", "left_anti")
-    each = sound.select("arrived", "file", "piece", F.posexplode(_elements(listed)).alias("row", "_element"))
+    each = sound.select("arrived", "file", "piece", F.posexplode("elements").alias("row", "_element"))
     order = F.struct("arrived", "file", F.col("piece").alias("block"), F.col("row").cast("bigint").alias("row"))
-    elements = each.select(
-        order.alias("ingest_seq"), F.to_json("_element").alias("record"), _is_object(F.col("_element")).alias("good")
-    )
+    elements = each.select(order.alias("ingest_seq"), "_element.record", "_element.good")
     lost = pieces.join(broken, "file", "left_semi").withColumn("row", F.lit(0))
     return elements.unionByName(lost.select(order.alias("ingest_seq"), F.col("text").alias("record"), F.lit(False).alias("good")))
 

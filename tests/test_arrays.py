@@ -91,3 +91,13 @@ def test_layouts_agree(spark, tmp_path):
     path = landed(tmp_path, *(json.dumps([{"HeadLine": f"{i}-{j}", "SCRIP_CD": j} for j in range(50)]) for i in range(3)))
     rows = [sorted(map(tuple, read_announcements(spark, path, layout).drop("ingest_seq").collect())) for layout in ("array", "big_array")]
     assert rows[0] == rows[1] and len(rows[0]) == 150
+
+
+def test_a_list_is_parsed_once(spark, tmp_path):
+    path = landed(tmp_path, '[{"AttachmentName":"a.pdf"},7,{"AttachmentName":"b.pdf"}]', '[{"AttachmentName":"c.pdf"}')
+    plan = read_announcements(spark, path, "big_array")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" in plan or "jsontostructs" in plan.lower()
+    assert "parse_json" not in plan and "variant" not in plan
+    good, lost = read(spark, path)
+    assert [r["AttachmentName"] for r in good] == ["a.pdf", "b.pdf"]
+    assert lost == ["7", '[{"AttachmentName":"c.pdf"}']
