@@ -138,21 +138,23 @@ def run_stream(
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        if dedup_delay is None:
-            take(batch, batch_id)
+        rows = with_arrival_order(batch) if "ingest_file" in batch.columns else batch
+        if dedup_delay is None and late_after is None and live_days is None:
+            take(rows, batch_id)
             return
-        # Every reader of the batch would run through the state again.
-        with scratch(batch, "micro-batch") as rows:
-            if not rows.isEmpty():  # the state has micro-batches of its own, to forget what is old
-                take(rows, batch_id)
-
-    def take(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stream = name or _query_id(batch)
+        # Late rows and the others are read apart: each reader would parse the files, or run through
+        # the state, again.
+        with scratch(rows, "micro-batch") as kept:
+            # The state has micro-batches of its own, to forget what is old.
+            if dedup_delay is None or not kept.isEmpty():
+                take(kept, batch_id)
+
+    def take(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        stream = name or _query_id(rows)
         label = f"{stream}-{batch_id:09d}"
         moment = _clock(spark, f"{store.root}/_clocks/{stream}", batch_id, now())
         since, n_late = None, 0
-        rows = with_arrival_order(batch) if "ingest_file" in batch.columns else batch
         if late_after is not None:
             high = _high_water(f"{store.root}/_marks/{stream}", batch_id, rows, moment)
             since = high and high - late_after

@@ -13,6 +13,7 @@ from filingloom.plans import ingest
 from filingloom.plans.ingest import Store
 from filingloom.schemas import COMPANY_MASTER
 from filingloom.sources.landed import stream_announcements
+from filingloom.streaming import live as streaming
 from filingloom.streaming.dedup import dedup_within_watermark
 from filingloom.streaming.live import run_stream
 
@@ -100,6 +101,22 @@ def test_restart_repeats_and_late_rows(live):
     assert len(live.announcements()) == 5
 
 
+@pytest.mark.parametrize("options", [{}, {"late_after": timedelta(days=5)}])
+def test_late_rows_are_found_without_parsing_the_files_again(live, monkeypatch, options):
+    plans, write = [], streaming.write_batch
+
+    def noted(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args)
+
+    monkeypatch.setattr(streaming, "write_batch", noted)
+    for number in (1, 2):  # the first micro-batch has no mark to be late by
+        live.land(record(f"new{number}"), record(f"old{number}", at="10/09/2001 10:00:00"))
+        live.run(**options)
+    assert plans and all("json" not in plan for plan in plans)
+    assert "new1" in live.announcements() and "old2" not in live.announcements()
+
+
 def test_event_time_decides_what_is_late_across_restarts(live):
     day = "{:02d}/08/2025 10:00:00".format
     live.land(record("first", at=day(1)), record("future", at="01/01/2099 00:00:00"))
