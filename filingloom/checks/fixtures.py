@@ -42,7 +42,7 @@ def kept(
 def filed_at() -> Column:
     """Order date plus a time of day."""
     seconds = (F.col("o_orderkey") * 37) % 86400
-    return F.col("o_orderdate") + F.make_dt_interval(secs=seconds)
+    return F.col("o_orderdate") + F.expr("INTERVAL '1' SECOND") * seconds
 
 
 def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,11 +50,12 @@ def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     name = F.when(k % 10 == 9, k - 1).otherwise(k).cast("string")
     suffix = F.when(k % 17 == 0, ".xml").when(k % 19 == 0, ".PDF").otherwise(".pdf")
-    at = render(filed_at())
-    day, month, year, clock = (F.substring(at, *p) for p in ((9, 2), (6, 2), (1, 4), (11, 9)))
+    # The text of the time has a step of its own: four parts of it are taken.
+    orders = table(spark, sf_dir, "orders").withColumn("_at", render(filed_at()))
+    day, month, year, clock = (F.substring("_at", *p) for p in ((9, 2), (6, 2), (1, 4), (11, 9)))
     day_first = F.concat(day, F.lit("/"), month, F.lit("/"), year, clock)
     headline = F.substring("o_orderpriority", 1, 1)
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         k.alias("ingest_seq"),
         F.concat(F.lit(" "), name, suffix).alias("AttachmentName"),
         (F.col("o_custkey") + 500000).cast("string").alias("SCRIP_CD"),

@@ -18,12 +18,14 @@ def number_within(
     into: str = "count",
     max_group_rows: int = MAX_GROUP_ROWS,
     rows_at_most: int | None = None,
+    given: str | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3, ... in the given order, as a BIGINT.
 
     ``start`` holds, per group, how many numbers are taken already (columns ``group`` and ``n``);
     groups it does not mention start at 1. ``order_by`` must be a total order inside a group. Rows
-    without a group are left out.
+    without a group are left out. ``given`` names a column of numbers: a row that has one keeps it, and
+    the others are numbered as if it were not there.
 
     Group sizes are counted first: a narrow, pre-aggregated pass, left out when the caller knows that
     there are ``rows_at_most`` so many rows and one group could hold them all. Groups of ordinary size
@@ -34,23 +36,27 @@ def number_within(
     """
     df = df.where(F.col(group).isNotNull())
     if rows_at_most is not None and rows_at_most <= max_group_rows:
-        return _number_by_window(df, group, order_by, start, into)
+        return _number_by_window(df, group, order_by, start, into, given)
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
     oversized = sizes.where(F.col("_size") > max_group_rows)
     n_groups, n_rows = oversized.agg(F.count(F.lit(1)), F.sum("_size")).first()
     if not n_groups:
-        return _number_by_window(df, group, order_by, start, into)
+        return _number_by_window(df, group, order_by, start, into, given)
 
     # From here on the rows are read twice: they are worked out once more and kept.
     df = checkpointed(df)
     large = checkpointed(oversized.select(group))
     large = broadcast_up_to(large, n_groups)
     parts = _parts(df.sparkSession, n_rows, max_group_rows)
-    ordinary = _number_by_window(df.join(large, group, "left_anti"), group, order_by, start, into)
-    spread = _number_spread(
-        df.join(large, group, "left_semi"), group, order_by, start, into, parts
+    ordinary = _number_by_window(
+        df.join(large, group, "left_anti"), group, order_by, start, into, given
     )
-    return ordinary.unionByName(spread)
+    crowded = df.join(large, group, "left_semi")
+    if given is None:
+        return ordinary.unionByName(_number_spread(crowded, group, order_by, start, into, parts))
+    spread = _number_spread(crowded.where(F.col(given).isNull()), group, order_by, start, into, parts)
+    kept = crowded.where(F.col(given).isNotNull()).withColumn(into, F.col(given).cast("bigint"))
+    return ordinary.unionByName(spread).unionByName(kept)
 
 
 def _parts(spark: SparkSession, n_rows: int, max_group_rows: int) -> int:
@@ -67,14 +73,14 @@ def _with_start(df: DataFrame, start: DataFrame | None, group: str) -> DataFrame
     return df.join(taken, group, "left").withColumn("_start", F.coalesce("_start", F.lit(0)))
 
 
-def _number_by_window(df, group, order_by, start, into) -> DataFrame:
+def _number_by_window(df, group, order_by, start, into, given=None) -> DataFrame:
     """Join and window share one shuffle on the group."""
-    position = F.row_number().over(Window.partitionBy(group).orderBy(*order_by))
-    return (
-        _with_start(df, start, group)
-        .withColumn(into, F.col("_start") + position.cast("bigint"))
-        .drop("_start")
-    )
+    apart = [] if given is None else [F.col(given).isNull()]
+    position = F.row_number().over(Window.partitionBy(group, *apart).orderBy(*order_by))
+    number = F.col("_start") + position.cast("bigint")
+    if given is not None:
+        number = F.coalesce(F.col(given).cast("bigint"), number)
+    return _with_start(df, start, group).withColumn(into, number).drop("_start")
 
 
 def _number_spread(df, group, order_by, start, into, parts: int) -> DataFrame:

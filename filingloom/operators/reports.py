@@ -89,8 +89,12 @@ def number_reports(
     counts: DataFrame,
     max_group_rows: int = MAX_GROUP_ROWS,
     rows_at_most: int | None = None,
+    given: str | None = None,
 ) -> DataFrame:
-    """Add ``count`` and ``report_id``, continuing after the stored counts, in filing order."""
+    """Add ``count`` and ``report_id``, continuing after the stored counts, in filing order.
+
+    Rows with a number in the column ``given`` keep it.
+    """
     numbered = number_within(
         candidates,
         "base_report_id",
@@ -98,10 +102,43 @@ def number_reports(
         counts,
         max_group_rows=max_group_rows,
         rows_at_most=rows_at_most,
+        given=given,
     )
     return numbered.withColumn("report_id", report_id(F.col("base_report_id"), F.col("count")))
 
 
+def _with_own_numbers(candidates: DataFrame, own: DataFrame) -> DataFrame:
+    """Add ``_own_number`` and ``_own_id``: those of a candidate in ``own``, under the same base id; else NULL.
+
+    They are looked up by type and news id, the layout in which reported candidates were left out, so
+    that the candidates don't move once more; the one under the base id is picked from the few found.
+    """
+    base = without_last_part(F.col("report_id"))
+    made = (
+        own.where(F.col("news_id").isNotNull())
+        .select(
+            F.col("report_type").alias("category"),
+            "news_id",
+            F.struct("count", "report_id", base.alias("base")).alias("_made"),
+        )
+        .groupBy("category", "news_id")
+        .agg(F.collect_set("_made").alias("_made"))
+    )
+    same = F.filter("_made", lambda row: row["base"] == F.col("base_report_id"))
+    return (
+        candidates.join(made, ["category", "news_id"], "left")
+        .withColumn("_own", F.array_min(same))
+        .withColumns({"_own_number": F.col("_own.count"), "_own_id": F.col("_own.report_id")})
+        .drop("_made", "_own")
+    )
+
+
+def _largest_group(based: DataFrame) -> int:
+    """Rows of the base id that has most; what is left out later only makes groups smaller."""
+    sizes = based.where(F.col("base_report_id").isNotNull()).groupBy("base_report_id").count()
+    return sizes.agg(F.max("count")).first()[0] or 0
+
+
 def build_reports(
     announcements: DataFrame,
     stored: DataFrame,
@@ -124,36 +161,34 @@ def build_reports(
     to another. ``counts`` hands in the numbers taken (``base_report_id, n``), ``own`` ones included, so
     that stored reports are not counted.
 
-    ``announcements`` is counted first and read again for group sizes if it is large, so hand in a
-    stored table, whose count is in its file footers, rather than a long computation. ``as_of``
+    ``announcements`` is counted first and, if it is large, read again for the most rows of a base id,
+    before any join, so hand in a stored table, whose count is in its file footers, rather than a long
+    computation. ``as_of``
     becomes ``document_date``; without it the time of the query counts. ``narrow_first`` suits few
     announcements against many stored reports.
     """
     based = with_base_report_id(report_candidates(announcements, codes), codes)
     candidates = new_reports(based, stored, literal_no_op, narrow_first)
     wanted = based if narrow_first else None
-    used = stored if own is None else stored.unionByName(own)
+    used = stored
+    if own is not None:
+        counted = ["report_id"] if since is None else ["report_id", "dt_tm"]
+        used = stored.select(*counted).unionByName(own.select(*counted))
     if counts is not None:
         pass
     elif literal_count or since is not None:
         counts = existing_counts(used, since, wanted)
     else:
         counts = taken_numbers(used, wanted)
-    kept = None
     if own is not None:
-        given = own.select(
-            F.col("report_type").alias("category"),
-            "news_id",
-            without_last_part(F.col("report_id")).alias("base_report_id"),
-            "count",
-            "report_id",
-        ).dropDuplicates(["category", "news_id", "base_report_id"])
-        on = ["category", "news_id", "base_report_id"]
-        kept = candidates.join(given, on)
-        candidates = candidates.join(given.select(*on), on, "left_anti")
-    numbered = number_reports(candidates, counts, max_group_rows, announcements.count())
-    if kept is not None:
-        numbered = numbered.unionByName(kept)
+        candidates = _with_own_numbers(candidates, own)
+    rows_at_most = announcements.count()
+    if rows_at_most > max_group_rows:
+        rows_at_most = _largest_group(based)
+    given = None if own is None else "_own_number"
+    numbered = number_reports(candidates, counts, max_group_rows, rows_at_most, given)
+    if own is not None:
+        numbered = numbered.withColumn("report_id", F.coalesce("_own_id", "report_id"))
     made = render(timestamp(as_of) if as_of is not None else F.localtimestamp())
     dt = F.col("dt")
     return numbered.select(

@@ -150,7 +150,10 @@ def store_reports(
             empty_table(spark, REPORTS).drop("batch"), store.reports_path, batch, Store.REPORT_PARTITIONS
         )
     stored = store.reports(spark, quarters)
-    with scratch(stored.where(F.col("batch") == batch), "own-reports") as own:
+    own_numbers = stored.where(F.col("batch") == batch).select(
+        "report_type", "news_id", "report_id", "count"
+    )
+    with scratch(own_numbers, "own-reports") as own:
         reports = build_reports(
             announcements,
             other_batches(stored, batch),
@@ -166,10 +169,7 @@ def store_reports(
             _all_unique(repeated_keys(others.unionAll(aside.select("report_id")), "report_id"))
             n_reports = write_batch(aside, store.reports_path, batch, Store.REPORT_PARTITIONS)
     if n_reports:
-        now = store.reports(spark, quarters)
-        own = now.where(F.col("batch") == batch).select("report_id")
-        met = now.select("report_id", "batch").join(own, "report_id", "left_semi")
-        repeated = repeated_keys(met, "report_id")
+        repeated = repeated_keys(store.reports(spark, quarters), "report_id", F.col("batch") == batch)
         if repeated:
             remove_batch(spark, store.reports_path, batch, Store.REPORT_PARTITIONS)
         _all_unique(repeated)

@@ -96,10 +96,14 @@ def write_batch(
     return n_written
 
 
-def repeated_keys(table: DataFrame, key: str) -> list:
-    """Some of the keys that a table holds twice; none if all is well."""
-    counts = table.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return sorted(row[0] for row in counts.where("_n > 1").take(3))
+def repeated_keys(table: DataFrame, key: str, among: Column | None = None) -> list:
+    """Some of the keys that a table holds twice; none if all is well.
+
+    With ``among``, only non-NULL keys of the rows for which that holds count.
+    """
+    held = F.lit(True) if among is None else F.bool_or(among) & F.col(key).isNotNull()
+    counts = table.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), held.alias("_held"))
+    return sorted(row[0] for row in counts.where("_n > 1 and _held").take(3))
 
 
 def remove_batch(spark: SparkSession, path: str, batch: str, partition_by: Sequence[str]) -> None:

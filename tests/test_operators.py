@@ -331,3 +331,30 @@ def test_insert_metrics_counts_repeats(spark):
     before = spark.createDataFrame([("b",), ("b",)], "news_id string")
     assert tuple(counts.insert_metrics(batch, before).first()) == (4, 2, 2)
     assert tuple(counts.insert_metrics(batch.limit(0), before).first()) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("limit", [2, 5, numbering.MAX_GROUP_ROWS])
+def test_given_numbers_stay_and_do_not_count(spark, limit):
+    """Rows with a number keep it, whichever way their group is numbered."""
+    rows = [("big", 1, 7), ("big", 2, None), ("big", 3, 2), ("big", 4, None), ("big", 5, None), ("big", 6, 9)]
+    rows += [("small", 7, None), ("kept", 8, 4), (None, 9, 1)]
+    df = spark.createDataFrame(rows, "g string, id int, had bigint")
+    start = spark.createDataFrame([("big", 9), ("kept", 4)], "g string, n long")
+    out = numbering.number_within(df, "g", ["id"], start, max_group_rows=limit, given="had")
+    assert {r.id: r["count"] for r in out.collect()} == {1: 7, 2: 10, 3: 2, 4: 11, 5: 12, 6: 9, 7: 1, 8: 4}
+
+
+def test_own_reports_keep_number_and_id(spark):
+    """Also where a news id was reported under two base ids, or the stored id is not spelled from the number."""
+    dt = F.lit("2025-08-01").cast("timestamp_ntz")
+    news = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "news_id string").select(
+        "news_id", F.lit("C").alias("company"), F.lit("Credit Rating").alias("category"), dt.alias("dt")
+    )
+    own = spark.createDataFrame(
+        [("a", "C_CR_FY2025Q1_07", 7), ("a", "D_CR_FY2025Q1_1", 1), ("b", "D_CR_FY2025Q1_2", 2), (None, "x_1", 1)],
+        "news_id string, report_id string, count bigint",
+    ).withColumn("report_type", F.lit("Credit Rating"))
+    made = reports.build_reports(news, empty_table(spark, REPORTS), "2025-08-10 00:00:00", own=own)
+    found = {r.news_id: (r["count"], r.report_id) for r in made.collect()}
+    assert found["a"] == (7, "C_CR_FY2025Q1_07")
+    assert {found[k] for k in ("b", "c", None)} == {(n, f"C_CR_FY2025Q1_{n}") for n in (8, 9, 10)}
