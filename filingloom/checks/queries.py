@@ -89,6 +89,17 @@ def _duplicated(spark, sf):
     return fx.kept(spark, sf, "copies", lambda: fx.duplicated(all_reports(spark, sf), ids))
 
 
+def _duplicated_keys(spark, sf):
+    """``row_id, news_id, report_id`` of the reports and their copies: no other column is moved or kept."""
+
+    def build():
+        told = reports.report_candidates(clean(spark, sf)).select("company", "news_id", "category", "dt")
+        ids = _reports_of(spark, told).select("news_id", "report_id")
+        return fx.duplicated(staged(ids, "report-keys"), fx.urgent_ids(spark, sf))
+
+    return fx.kept(spark, sf, "copied-keys", build)
+
+
 def report_columns(df: DataFrame) -> DataFrame:
     return flat_symbols(df).drop("quarter_start")
 
@@ -300,7 +311,7 @@ def recheck_scan(spark, sf):
 
 
 def semi_by_ids(spark, sf):
-    return stored.stored_rows_of(_duplicated(spark, sf), fx.urgent_ids(spark, sf))
+    return stored.stored_rows_of(_duplicated_keys(spark, sf), fx.urgent_ids(spark, sf))
 
 
 def flatten_json(spark, sf):
@@ -492,15 +503,15 @@ def dedup_documents(spark, sf):
 
 
 def duplicate_groups(spark, sf):
-    return keys.duplicate_groups(_duplicated(spark, sf))
+    return keys.duplicate_groups(_duplicated_keys(spark, sf))
 
 
 def duplicates_to_delete(spark, sf):
-    return keys.surplus_rows(_duplicated(spark, sf)).select("row_id", "news_id", "report_id")
+    return keys.surplus_rows(_duplicated_keys(spark, sf)).select("row_id", "news_id", "report_id")
 
 
 def duplicates_kept(spark, sf):
-    return keys.without_surplus(_duplicated(spark, sf)).select("row_id", "news_id", "report_id")
+    return keys.without_surplus(_duplicated_keys(spark, sf)).select("row_id", "news_id", "report_id")
 
 
 def duplicates_of_listed_ids(spark, sf):
@@ -511,7 +522,8 @@ def duplicates_of_listed_ids(spark, sf):
         .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
         .select(F.col("o_orderkey").cast("string").alias("news_id"))
     )
-    return keys.without_surplus(_duplicated(spark, sf), listed).select("row_id", "news_id")
+    rows = _duplicated_keys(spark, sf).select("row_id", "news_id")
+    return keys.without_surplus(rows, listed)
 
 
 def remove_duplicates_query(spark, sf):
