@@ -50,14 +50,15 @@ def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     name = F.when(k % 10 == 9, k - 1).otherwise(k).cast("string")
     suffix = F.when(k % 17 == 0, ".xml").when(k % 19 == 0, ".PDF").otherwise(".pdf")
-    # The text of the time has a step of its own: four parts of it are taken.
-    orders = table(spark, sf_dir, "orders").withColumn("_at", render(filed_at()))
+    # What is used more than once has a step of its own: four parts of the time are taken.
+    steps = {"_at": render(filed_at()), "_file": F.concat(name, suffix)}
+    orders = table(spark, sf_dir, "orders").withColumns(steps)
     day, month, year, clock = (F.substring("_at", *p) for p in ((9, 2), (6, 2), (1, 4), (11, 9)))
     day_first = F.concat(day, F.lit("/"), month, F.lit("/"), year, clock)
     headline = F.substring("o_orderpriority", 1, 1)
     return orders.select(
         k.alias("ingest_seq"),
-        F.concat(F.lit(" "), name, suffix).alias("AttachmentName"),
+        F.concat(F.lit(" "), "_file").alias("AttachmentName"),
         (F.col("o_custkey") + 500000).cast("string").alias("SCRIP_CD"),
         F.when(k % 23 == 0, "n/a").otherwise(day_first).alias("Tradedate"),
         F.when(k % 11 == 0, "Annual Report")
@@ -71,7 +72,7 @@ def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("Annual Report presentation")
         .alias("HeadLine"),
         F.concat(F.lit("  Body "), k.cast("string"), F.lit(" ")).alias("NewsBody"),
-        F.concat(F.lit("https://example.org/"), name, suffix).alias("ATTACHMENTURL"),
+        F.concat(F.lit("https://example.org/"), "_file").alias("ATTACHMENTURL"),
         "o_orderstatus",
     )
 

@@ -19,8 +19,14 @@ def bucketize(value: Column, bounds: list, labels: list[str], include_lowest: bo
     return result
 
 
+def _quarter_of(month: int) -> str:
+    return next(label for label, bound in zip(QUARTER_LABELS, QUARTER_BOUNDS[1:]) if month <= bound)
+
+
 def fiscal_quarter(ts: Column) -> Column:
-    return bucketize(F.month(ts), QUARTER_BOUNDS, QUARTER_LABELS, include_lowest=True)
+    """Looked up by month, which is worked out once, not once per bound."""
+    by_month = F.array(*(F.lit(_quarter_of(month)) for month in range(1, 13)))
+    return F.get(by_month, F.month(ts) - F.lit(1))
 
 
 def fiscal_year(ts: Column) -> Column:

@@ -9,10 +9,19 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The ASCII part of it, the commonest first.
+ASCII_WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
+
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind from both ends (``trim`` removes blanks only)."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Remove white space of every kind from both ends (``trim`` removes blanks only).
+
+    Every character at an end is searched in the list byte by byte, so ASCII text has the short list.
+    """
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(ascii_only, F.btrim(text, F.lit(ASCII_WHITESPACE))).otherwise(
+        F.btrim(text, F.lit(WHITESPACE))
+    )
 
 
 def strip_strings(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -32,7 +41,8 @@ def without_last_chars(text: Column, n: int) -> Column:
 
 def without_last_part(text: Column, separator: str = "_") -> Column:
     """Everything before the last separator; empty when there is none."""
-    return F.regexp_extract(text, f"(?s)^(.*){separator}[^{separator}]*$", 1)
+    last = F.substring_index(text, separator, -1)
+    return F.left(text, F.length(text) - F.length(last) - F.lit(len(separator)))
 
 
 def non_empty(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from filingloom.functions.categories import category, folded
 from filingloom.functions.dates import parse_trade_date, render
-from filingloom.functions.text import normalised, strip, strip_strings, without_last_chars
+from filingloom.functions.text import WHITESPACE, normalised, strip, strip_strings, without_last_chars
 from filingloom.operators.keys import keep_first, without_keys
 from filingloom.operators.shape import optional
 from filingloom.rules import CATEGORY_RULES, DEFAULT_CATEGORY, Rule
@@ -21,17 +21,31 @@ def with_attachment(
     suffix: str = ATTACHMENT_SUFFIX,
     into: str = "news_id",
 ) -> DataFrame:
-    """Rows whose attachment ends in the suffix; the name without it becomes the id."""
+    """Rows whose attachment ends in the suffix; the name without it becomes the id.
+
+    Spark tests the suffix before it makes the stripped name, so the test strips only where the name as
+    it is does not tell.
+    """
+    name = F.col(attachment)
+    listed = strip(name).endswith(suffix)
+    if suffix == suffix.strip(WHITESPACE):
+        listed = name.endswith(suffix) | listed
     return (
-        df.withColumn(attachment, strip(F.col(attachment)))
-        .where(F.col(attachment).endswith(suffix))
-        .withColumn(into, without_last_chars(F.col(attachment), len(suffix)))
+        df.where(listed)
+        .withColumn(attachment, strip(name))
+        .withColumn(into, without_last_chars(name, len(suffix)))
     )
 
 
+def _with_code(df: DataFrame, code: str) -> DataFrame:
+    """Rows with a company code, stripped. It is never NULL, which spares the join a test that strips again."""
+    known = df.where(F.col(code).isNotNull())
+    return known.withColumn(code, F.coalesce(strip(F.col(code)), F.lit("")))
+
+
 def known_company(df: DataFrame, master: DataFrame, code: str = "SCRIP_CD") -> DataFrame:
     """Rows of companies in the master."""
-    return df.withColumn(code, strip(F.col(code))).join(master.select(code), code, "left_semi")
+    return _with_code(df, code).join(master.select(code), code, "left_semi")
 
 
 def enrich_company(df: DataFrame, master: DataFrame, code: str = "SCRIP_CD") -> DataFrame:
@@ -41,13 +55,16 @@ def enrich_company(df: DataFrame, master: DataFrame, code: str = "SCRIP_CD") ->
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle, where adaptive
     execution splits the partition of a company with very many filings.
     """
-    return df.withColumn(code, strip(F.col(code))).join(master, code)
+    return _with_code(df, code).join(master, code)
 
 
 def with_trade_date(df: DataFrame, column: str = "Tradedate", into: str = "dt") -> DataFrame:
-    """Parse the trade date, drop rows without a valid one and render it in sortable form."""
+    """Parse the trade date, drop rows without a valid one and render it in sortable form.
+
+    Taken out of an array, the date is parsed once; Spark would parse a plain column again for the test.
+    """
     return (
-        df.withColumn(into, parse_trade_date(strip(F.col(column))))
+        df.withColumn(into, F.explode(F.array(parse_trade_date(strip(F.col(column))))))
         .where(F.col(into).isNotNull())
         .withColumn(column, render(F.col(into)))
     )

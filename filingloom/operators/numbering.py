@@ -74,13 +74,18 @@ def _with_start(df: DataFrame, start: DataFrame | None, group: str) -> DataFrame
 
 
 def _number_by_window(df, group, order_by, start, into, given=None) -> DataFrame:
-    """Join and window share one shuffle on the group."""
-    apart = [] if given is None else [F.col(given).isNull()]
-    position = F.row_number().over(Window.partitionBy(group, *apart).orderBy(*order_by))
-    number = F.col("_start") + position.cast("bigint")
+    """Window and join share one shuffle on the group and, as the window comes first, one sort of the rows."""
+    window = Window.partitionBy(group).orderBy(*order_by)
+    if given is None:
+        position = F.row_number().over(window)
+    else:
+        so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        position = F.count_if(F.col(given).isNull()).over(so_far)
+    placed = df.withColumn("_position", position.cast("bigint"))
+    number = F.col("_start") + F.col("_position")
     if given is not None:
         number = F.coalesce(F.col(given).cast("bigint"), number)
-    return _with_start(df, start, group).withColumn(into, number).drop("_start")
+    return _with_start(placed, start, group).withColumn(into, number).drop("_start", "_position")
 
 
 def _number_spread(df, group, order_by, start, into, parts: int) -> DataFrame:

@@ -14,6 +14,11 @@ from filingloom.operators.shape import optional
 from filingloom.rules import REPORT_CODES
 from filingloom.schemas import SYMBOLMAP
 
+# What a report is known by. News ids come first: rows are sorted by these, and few differ in the type alone.
+REPORTED_BY = ["news_id", "category"]
+# Lots of companies whose rows are counted to bound those of a base id.
+COMPANY_BUCKETS = 8192
+
 
 def report_candidates(
     announcements: DataFrame, codes: dict[str, str] = REPORT_CODES
@@ -35,8 +40,17 @@ def new_reports(
     """
     if literal_no_op:
         return candidates
-    reported = stored.select(F.col("report_type").alias("category"), "news_id")
-    return without_keys(candidates, reported, ["category", "news_id"], narrow_first, unique=True)
+    reported = stored.select("news_id", F.col("report_type").alias("category"))
+    return without_keys(candidates, reported, REPORTED_BY, narrow_first, unique=True)
+
+
+def _distinct_ids(stored: DataFrame, wanted: DataFrame | None) -> DataFrame:
+    """Distinct stored report ids with their base ids, which are taken from the ids after these have moved."""
+    base = without_last_part(F.col("report_id")).alias("base_report_id")
+    ids = stored.where(non_empty(F.col("report_id"))).select("report_id")
+    if wanted is not None:
+        ids = only_keys(ids.select("report_id", base), wanted, "base_report_id").select("report_id")
+    return ids.distinct().select("report_id", base)
 
 
 def existing_counts(
@@ -50,12 +64,8 @@ def existing_counts(
     """
     if since is not None:
         stored = stored.where(F.col("dt_tm") >= render(timestamp(since)))
-    ids = stored.where(non_empty(F.col("report_id"))).select(
-        "report_id", without_last_part(F.col("report_id")).alias("base_report_id")
-    )
-    if wanted is not None:
-        ids = only_keys(ids, wanted, "base_report_id")
-    return ids.distinct().groupBy("base_report_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = _distinct_ids(stored, wanted)
+    return ids.groupBy("base_report_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def taken_numbers(stored: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
@@ -64,14 +74,10 @@ def taken_numbers(stored: DataFrame, wanted: DataFrame | None = None) -> DataFra
     ``n`` is the count of stored report ids, or the highest number among them if that is more, as it
     is once reports have been removed.
     """
-    last = F.regexp_extract("report_id", "([0-9]{1,18})$", 1).try_cast("bigint")
-    ids = stored.where(non_empty(F.col("report_id"))).select(
-        "report_id", without_last_part(F.col("report_id")).alias("base_report_id"), last.alias("number")
-    )
-    if wanted is not None:
-        ids = only_keys(ids, wanted, "base_report_id")
-    counted = ids.distinct().groupBy("base_report_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("number").alias("highest")
+    last_part = F.substring_index("report_id", "_", -1)
+    last = F.regexp_extract(last_part, "([0-9]{1,18})$", 1).try_cast("bigint")
+    counted = _distinct_ids(stored, wanted).groupBy("base_report_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max(last).alias("highest")
     )
     return counted.select("base_report_id", F.greatest("n", F.coalesce("highest", F.lit(0))).alias("n"))
 
@@ -117,24 +123,33 @@ def _with_own_numbers(candidates: DataFrame, own: DataFrame) -> DataFrame:
     made = (
         own.where(F.col("news_id").isNotNull())
         .select(
-            F.col("report_type").alias("category"),
             "news_id",
+            F.col("report_type").alias("category"),
             F.struct("count", "report_id", base.alias("base")).alias("_made"),
         )
-        .groupBy("category", "news_id")
+        .groupBy(REPORTED_BY)
         .agg(F.collect_set("_made").alias("_made"))
     )
     same = F.filter("_made", lambda row: row["base"] == F.col("base_report_id"))
     return (
-        candidates.join(made, ["category", "news_id"], "left")
+        candidates.join(made, REPORTED_BY, "left")
         .withColumn("_own", F.array_min(same))
         .withColumns({"_own_number": F.col("_own.count"), "_own_id": F.col("_own.report_id")})
         .drop("_made", "_own")
     )
 
 
-def _largest_group(based: DataFrame) -> int:
-    """Rows of the base id that has most; what is left out later only makes groups smaller."""
+def _largest_group(based: DataFrame, enough: int) -> int:
+    """A base id has at most so many rows; what is left out later only makes groups smaller.
+
+    The rows of a base id are of one company, so the largest of ``COMPANY_BUCKETS`` lots of companies will
+    do if it has no more than ``enough``: a sum of few numbers. Else base ids are counted.
+    """
+    bucket = F.pmod(F.xxhash64("company"), F.lit(COMPANY_BUCKETS))
+    lots = based.where(F.col("company").isNotNull()).groupBy(bucket.alias("_bucket")).count()
+    largest = lots.agg(F.max("count")).first()[0] or 0
+    if largest <= enough:
+        return largest
     sizes = based.where(F.col("base_report_id").isNotNull()).groupBy("base_report_id").count()
     return sizes.agg(F.max("count")).first()[0] or 0
 
@@ -184,7 +199,7 @@ def build_reports(
         candidates = _with_own_numbers(candidates, own)
     rows_at_most = announcements.count()
     if rows_at_most > max_group_rows:
-        rows_at_most = _largest_group(based)
+        rows_at_most = _largest_group(based, max_group_rows)
     given = None if own is None else "_own_number"
     numbered = number_reports(candidates, counts, max_group_rows, rows_at_most, given)
     if own is not None:

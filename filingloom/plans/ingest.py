@@ -46,6 +46,11 @@ class Store:
 
     ANNOUNCEMENT_PARTITIONS = ("trade_period",)
     REPORT_PARTITIONS = ("quarter_start", "report_type")
+    # Columns whose values hardly ever repeat.
+    VARIOUS_IN_ANNOUNCEMENTS = (
+        "AttachmentName", "Tradedate", "NewsBody", "ATTACHMENTURL", "record", "news_id", "dt",
+    )
+    VARIOUS_IN_REPORTS = ("news_id", "dt_tm", "url", "report_id", "report_line")
 
     @property
     def announcements_path(self) -> str:
@@ -113,6 +118,7 @@ def store_announcements(clean: DataFrame, store: Store, batch: str) -> int:
         store.announcements_path,
         batch,
         Store.ANNOUNCEMENT_PARTITIONS,
+        various=Store.VARIOUS_IN_ANNOUNCEMENTS,
     )
 
 
@@ -153,7 +159,8 @@ def store_reports(
     own_numbers = stored.where(F.col("batch") == batch).select(
         "report_type", "news_id", "report_id", "count"
     )
-    with scratch(own_numbers, "own-reports") as own:
+    various = Store.VARIOUS_IN_REPORTS
+    with scratch(own_numbers, "own-reports", various) as own:
         reports = build_reports(
             announcements,
             other_batches(stored, batch),
@@ -164,10 +171,12 @@ def store_reports(
             own=None if own.isEmpty() else own,
             counts=store.report_counts(spark, quarters) if store.keep_counts else None,
         )
-        with scratch(reports, "reports") as aside:
+        with scratch(reports, "reports", various) as aside:
             others = other_batches(store.reports(spark, quarters), batch).select("report_id")
             _all_unique(repeated_keys(others.unionAll(aside.select("report_id")), "report_id"))
-            n_reports = write_batch(aside, store.reports_path, batch, Store.REPORT_PARTITIONS)
+            n_reports = write_batch(
+                aside, store.reports_path, batch, Store.REPORT_PARTITIONS, various=various
+            )
     if n_reports:
         repeated = repeated_keys(store.reports(spark, quarters), "report_id", F.col("batch") == batch)
         if repeated:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from filingloom.operators.keys import keep_first, without_keys
-from filingloom.sinks.workspace import delete_folder, matching_files, scratch
+from filingloom.sinks.workspace import delete_folder, matching_files, scratch, without_dictionaries
 from filingloom.sources.stored import read_table
 
 BATCH_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
@@ -62,14 +62,20 @@ def append_new_only(
 
 
 def write_batch(
-    df: DataFrame, path: str, batch: str, partition_by: Sequence[str], format: str = "parquet"
+    df: DataFrame,
+    path: str,
+    batch: str,
+    partition_by: Sequence[str],
+    format: str = "parquet",
+    various: Sequence[str] = (),
 ) -> int:
     """Write the output of one named batch; returns its rows.
 
     The batch name is the last partition column. Partitions that the output has are replaced by the
     write; those that only an earlier run of the same batch had are removed after it, so the table
     ends with the new output alone, also if that is empty. A run that stops in between leaves old
-    partitions, which the next run removes. The overwrite mode is set for this write alone.
+    partitions, which the next run removes. The overwrite mode is set for this write alone. ``various``
+    names columns that are written without dictionaries.
     """
     if not BATCH_NAME.fullmatch(batch):
         raise ValueError(f"a batch is named by letters, digits, dots, dashes and underscores: {batch!r}")
@@ -83,6 +89,7 @@ def write_batch(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
+        .options(**without_dictionaries(various))
         .partitionBy(*partition_by, "batch")
         .format(format)
         .save(path)

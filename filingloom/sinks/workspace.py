@@ -3,7 +3,7 @@
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -78,22 +78,30 @@ def matching_files(spark: SparkSession, pattern: str) -> dict[str, set[str]]:
     return found
 
 
-def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def without_dictionaries(columns: Sequence[str]) -> dict[str, str]:
+    """Options of a Parquet write: no dictionary is tried for columns whose values hardly ever repeat."""
+    return {f"parquet.enable.dictionary#{name}": "false" for name in columns}
+
+
+def staged(
+    df: DataFrame, name: str, path: str | None = None, various: Sequence[str] = ()
+) -> DataFrame:
     """Write once as Parquet in the shared folder and read back.
 
     For a result that several later steps read: each step then scans just the columns it needs
-    instead of computing the result again.
+    instead of computing the result again. ``various`` names columns that are written without
+    dictionaries.
     """
     path = path or new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**without_dictionaries(various)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def scratch(df: DataFrame, name: str) -> Iterator[DataFrame]:
+def scratch(df: DataFrame, name: str, various: Sequence[str] = ()) -> Iterator[DataFrame]:
     """``staged`` for the length of a ``with`` block; the copy is removed when the block is left."""
     path = new_folder(df.sparkSession, name)
     try:
-        yield staged(df, name, path)
+        yield staged(df, name, path, various)
     finally:
         delete_folder(df.sparkSession, path)

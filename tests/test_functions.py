@@ -111,6 +111,13 @@ def test_strip_like_python(spark):
     assert got == [t if t is None else t.strip() for t in texts]
 
 
+def test_strip_of_ascii_and_other_texts_like_python(spark):
+    ends = ["", " ", "\t\x1f", "\xa0", "\u3000 ", "\x85\n"]
+    texts = [a + core + b for core in ("x", "é y", "") for a in ends for b in ends]
+    got = values(spark, texts, strip(F.col("v")))
+    assert got == [t.strip() for t in texts]
+
+
 def test_strip_strings_leaves_other_types(spark):
     df = spark.createDataFrame([(1, " a ", " b ")], "n int, `x.y` string, z string")
     assert strip_strings(df).collect()[0] == (1, "a", "b")
