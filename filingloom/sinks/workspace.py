@@ -84,24 +84,30 @@ def without_dictionaries(columns: Sequence[str]) -> dict[str, str]:
 
 
 def staged(
-    df: DataFrame, name: str, path: str | None = None, various: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    various: Sequence[str] = (),
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """Write once as Parquet in the shared folder and read back.
 
     For a result that several later steps read: each step then scans just the columns it needs
     instead of computing the result again. ``various`` names columns that are written without
-    dictionaries.
+    dictionaries. ``spark`` is the session that reads, if not the one that writes.
     """
     path = path or new_folder(df.sparkSession, name)
     df.write.options(**without_dictionaries(various)).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (spark or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def scratch(df: DataFrame, name: str, various: Sequence[str] = ()) -> Iterator[DataFrame]:
+def scratch(
+    df: DataFrame, name: str, various: Sequence[str] = (), spark: SparkSession | None = None
+) -> Iterator[DataFrame]:
     """``staged`` for the length of a ``with`` block; the copy is removed when the block is left."""
     path = new_folder(df.sparkSession, name)
     try:
-        yield staged(df, name, path, various)
+        yield staged(df, name, path, various, spark)
     finally:
         delete_folder(df.sparkSession, path)

@@ -1,6 +1,7 @@
 """The live run as a stream of landed files."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,6 +20,20 @@ from filingloom.streaming.dedup import dedup_within_watermark
 
 # Fixed value: time between two live runs.
 LIVE_INTERVAL = "1 minute"
+# Settings of a stream's state unless the session has its own: kept on the executors' disks, with bounded memory, as
+# there is a row of state for every id of the delay.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+# Parts of the state per core: each is loaded and committed by every micro-batch, however few rows it gets.
+STATE_PARTS_PER_CORE = 2
+# Stored ids are cut down to those of a micro-batch, which is read twice for it, if they are so many times its rows.
+NARROW_FROM = 10
+# The trade time that rows of a micro-batch bring along.
+TRADED = "_traded"
 
 
 def _query_id(batch: DataFrame) -> str:
@@ -43,12 +58,20 @@ def _clock(spark: SparkSession, folder: str, batch_id: int, now: datetime) -> da
         found = spark.read.text(f"{folder}/{name}").first()
         if found is not None:
             return datetime.fromisoformat(found.value)
-    one = spark.createDataFrame([(now.isoformat(),)], "value string").coalesce(1)
-    one.write.mode("overwrite").text(f"{folder}/{name}")
+    _note(spark, f"{folder}/{name}", now)
     return now
 
 
+def _note(spark: SparkSession, path: str, moment: datetime | None) -> None:
+    """Write one moment, or that there is none, as a text."""
+    one = spark.range(0, 1, 1, 1).select(F.lit(moment and moment.isoformat()).cast("string").alias("value"))
+    one.where("value is not null").write.mode("overwrite").text(path)
+
+
 def _traded(raw: DataFrame) -> Column:
+    """The trade time of raw rows: parsed, unless they bring it along."""
+    if TRADED in raw.columns:
+        return F.col(TRADED)
     return parse_trade_date(strip(F.col("Tradedate")))
 
 
@@ -65,8 +88,7 @@ def _high_water(folder: str, batch_id: int, rows: DataFrame, moment: datetime) -
     dt = _traded(rows)
     own = rows.where(dt <= timestamp(moment)).agg(F.max(dt)).first()[0]
     reached = max((t for t in (high, own) if t is not None), default=None)
-    line = spark.createDataFrame([(reached.isoformat(),)] if reached else [], "value string")
-    line.coalesce(1).write.mode("overwrite").text(f"{folder}/{batch_id:09d}")
+    _note(spark, f"{folder}/{batch_id:09d}", reached)
     for name in earlier[:-1]:
         delete_folder(spark, f"{folder}/{name}")
     return high
@@ -92,6 +114,29 @@ def first_arrivals(raw: DataFrame, delay: str) -> DataFrame:
     return dedup_within_watermark(named, "_key", "_arrived", delay).drop("_key", "_arrived")
 
 
+@contextmanager
+def _state_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings that a stream with state starts with; the session has its own ones again afterwards.
+
+    A stream keeps the settings of its first start with its checkpoint, so one that was begun with others goes on with those.
+    """
+    parts = "spark.sql.shuffle.partitions"
+    ordinary = int(spark.conf.get(parts))
+    wanted = {parts: str(min(ordinary, STATE_PARTS_PER_CORE * spark.sparkContext.defaultParallelism))}
+    wanted |= {key: value for key, value in STATE_SETTINGS.items() if spark.conf.get(key, None) is None}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def not_late(raw: DataFrame, since: datetime) -> DataFrame:
     """Rows traded since then; rows without a valid date stay for the cleaning to judge."""
     dt = _traded(raw)
@@ -137,14 +182,18 @@ def run_stream(
     batch. ``report`` gets the label and the counts of every batch.
     """
 
+    session = raw.sparkSession
+
     def ingest(batch: DataFrame, batch_id: int) -> None:
         rows = with_arrival_order(batch) if "ingest_file" in batch.columns else batch
         if dedup_delay is None and late_after is None and live_days is None:
             take(rows, batch_id)
             return
         # Late rows and the others are read apart: each reader would parse the files, or run through
-        # the state, again.
-        with scratch(rows, "micro-batch") as kept:
+        # the state, again. The session of a stream with state has no adaptive execution, so the copy is
+        # read by the one that started the stream.
+        dated = rows.withColumn(TRADED, _traded(rows))
+        with scratch(dated, "micro-batch", Store.VARIOUS_IN_ANNOUNCEMENTS, session) as kept:
             # The state has micro-batches of its own, to forget what is old.
             if dedup_delay is None or not kept.isEmpty():
                 take(kept, batch_id)
@@ -154,7 +203,7 @@ def run_stream(
         stream = name or _query_id(rows)
         label = f"{stream}-{batch_id:09d}"
         moment = _clock(spark, f"{store.root}/_clocks/{stream}", batch_id, now())
-        since, n_late = None, 0
+        since, n_late, few = None, 0, False
         if late_after is not None:
             high = _high_water(f"{store.root}/_marks/{stream}", batch_id, rows, moment)
             since = high and high - late_after
@@ -162,10 +211,13 @@ def run_stream(
             today: date = moment.date()
             since = datetime.combine(today - timedelta(days=live_days - 1), time())
         if since is not None:
-            n_late = write_batch(late(rows, since), store.late_path, label, ())
+            few = rows.count() * NARROW_FROM <= store.announcements(spark, since).count()
+            n_late = write_batch(
+                late(rows, since).drop(TRADED), store.late_path, label, (), "parquet", Store.VARIOUS_IN_ANNOUNCEMENTS
+            )
             rows = not_late(rows, since)
         counts = run_batch(
-            rows,
+            rows.drop(TRADED),
             master(),
             store,
             label,
@@ -175,7 +227,7 @@ def run_stream(
             codes=codes,
             order_by=order_by,
             dedup="after_parse",
-            narrow_first=since is not None,
+            narrow_first=few,
         )
         if report is not None:
             report(label, {**counts, "late": n_late})
@@ -183,9 +235,8 @@ def run_stream(
     if dedup_delay is not None:
         raw = first_arrivals(raw, dedup_delay)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return (
-        raw.writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    writer = raw.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint).trigger(**trigger)
+    if dedup_delay is None:
+        return writer.start()
+    with _state_settings(session):
+        return writer.start()

@@ -12,6 +12,7 @@ from filingloom.operators.master import company_master
 from filingloom.plans import ingest
 from filingloom.plans.ingest import Store
 from filingloom.schemas import COMPANY_MASTER
+from filingloom.sinks.workspace import child_folders, matching_files
 from filingloom.sources.landed import stream_announcements
 from filingloom.streaming import live as streaming
 from filingloom.streaming.dedup import dedup_within_watermark
@@ -264,3 +265,63 @@ def test_watermark_dedup(spark, tmp_path):
         )
     ids = sorted(r.news_id for r in spark.read.parquet(out).collect())
     assert ids == ["a", "b", "c", "d", "e"] and dropped > 0
+
+
+def test_a_stream_with_state_writes_few_files(live):
+    """The session of such a stream has no adaptive execution; its micro-batches are stored by one that has."""
+    live.land(*(record(f"n{i}") for i in range(400)))
+    live.run(dedup_delay="5 days", live_days=None)
+    assert len(live.announcements()) == len(live.reports()) == 400
+    for path in (live.store.announcements_path, live.store.reports_path):
+        folders = matching_files(live.spark, f"{path}/*/batch=*/part-*") or matching_files(
+            live.spark, f"{path}/*/*/batch=*/part-*"
+        )
+        assert [len(files) for files in folders.values()] == [1]
+
+
+def test_the_state_has_parts_by_cores_and_the_session_keeps_its_settings(live):
+    keys = ["spark.sql.shuffle.partitions", *streaming.STATE_SETTINGS]
+    before = live.spark.conf.get(keys[0])
+    live.spark.conf.set(keys[0], "40")
+    try:
+        live.land(record("a"))
+        live.run(dedup_delay="5 days")
+        assert [live.spark.conf.get(key, None) for key in keys] == ["40"] + [None] * len(streaming.STATE_SETTINGS)
+    finally:
+        live.spark.conf.set(keys[0], before)
+    parts = [name for name in child_folders(live.spark, str(live.path / "checkpoint" / "state" / "0")) if name.isdigit()]
+    assert len(parts) == streaming.STATE_PARTS_PER_CORE * live.spark.sparkContext.defaultParallelism
+    live.land(record("a"), record("b"))
+    live.run(dedup_delay="5 days")
+    assert live.announcements() == ["a", "b"]
+
+
+def test_state_begun_with_other_settings_goes_on(live, monkeypatch):
+    counts = []
+    options = {"dedup_delay": "5 days", "live_days": None, "report": lambda label, told: counts.append(told)}
+    live.land(record("a"), record("b"))
+    with monkeypatch.context() as patch:
+        patch.setattr(streaming, "STATE_SETTINGS", {})
+        patch.setattr(streaming, "STATE_PARTS_PER_CORE", 1000)
+        live.run(**options)
+    live.land(record("a"), record("c"))
+    # The rows that reach the cleaning tell what the state has dropped.
+    offered, batch = [], streaming.run_batch
+    monkeypatch.setattr(streaming, "run_batch", lambda rows, *a, **k: offered.append(rows.count()) or batch(rows, *a, **k))
+    live.run(**options)
+    assert offered == [1] and live.announcements() == ["a", "b", "c"]
+
+
+def test_only_a_small_micro_batch_is_read_twice_to_narrow_the_stored_ids(live, monkeypatch):
+    narrow, batch = [], streaming.run_batch
+
+    def noted(*args, **options):
+        narrow.append(options["narrow_first"])
+        return batch(*args, **options)
+
+    monkeypatch.setattr(streaming, "run_batch", noted)
+    for ids in (range(20), range(10, 30), [5, 40]):
+        live.land(*(record(f"n{i}") for i in ids))
+        live.run()
+    assert narrow == [False, False, True]
+    assert live.announcements() == sorted(f"n{i}" for i in [*range(30), 40])
